@@ -21,10 +21,10 @@ ISO_MILLIS = "yyyy-MM-dd'T'HH:mm:ss.SSSXXX"
 
 def event_type(op: Column) -> Column:
     """Readable name of an operation code; anything else, null included, is UNKNOWN."""
-    name = F.lit(UNKNOWN_EVENT)
+    name = None
     for code, label in EVENT_TYPES.items():
-        name = F.when(op == code, F.lit(label)).otherwise(name)
-    return name
+        name = (F if name is None else name).when(op == code, label)
+    return name.otherwise(UNKNOWN_EVENT)
 
 
 def row_image(op: Column, before: Column, after: Column) -> Column:

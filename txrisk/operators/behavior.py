@@ -140,7 +140,7 @@ def _fresh(now: Column, then: Column, windows: Windows) -> Column:
 FEATURES = ("tx_count_1m", "amount_sum_5m", "failed_tx_5m")
 
 
-def _marks(tx: DataFrame, windows: Windows, lookback: int, counts: Column) -> DataFrame:
+def _marks(tx: DataFrame, windows: Windows, lookback: int, event_types) -> DataFrame:
     """Turn each transaction into marks on its account's time line.
 
     One mark where it enters the windows and one where it leaves each of them; running sums over
@@ -148,64 +148,68 @@ def _marks(tx: DataFrame, windows: Windows, lookback: int, counts: Column) -> Da
     time linear in the rows however dense an account is. (A sliding frame would add up its whole
     content anew for every row.) Near the end of a slot the marks are repeated in the next one,
     where they count but are not output.
+
+    The marks that are output keep all columns, the others only what the sums need, so a query
+    that uses few columns reads and shuffles few.
     """
-    seconds = windows.slot_for(lookback)
-    account, timed = F.col("account_id"), F.col("_at").isNotNull()
-    at = F.coalesce(F.col("_at"), F.lit(0))
-    own = slot_start(at, seconds)
-    following = own + seconds * MICROS
+    slot = windows.slot_for(lookback)
+    owned = F.col("account_id").isNotNull() & F.col("_at").isNotNull()
+    counts = F.col("event_type").isin(*event_types) if event_types else F.lit(True)
+    counts = owned & F.coalesce(counts, F.lit(False))
     zero = F.lit(0).cast(C.MONEY)
-    cnt = F.when(counts, 1).otherwise(0)
-    spend = F.when(counts, C.spent(F.col("amount"), F.col("status"))).otherwise(zero)
-    failures = F.when(counts, C.failed(F.col("status"))).otherwise(0)
-    row = F.struct(*_payload(tx))
     # Rows without an account or a time have no neighbours: spread them over slots of their own
     # (negative, and so small that no real slot has that start).
     spread = -1 - F.pmod(F.xxhash64("tx_id"), F.lit(1 << 16))
-    own_name = F.when(account.isNotNull() & timed, own).otherwise(spread)
-
-    def mark(when, slot, time, c, s, f, entering, emit):
-        def enters(col):
-            return F.when(F.lit(entering), col)
-
-        body = F.struct(
-            account.alias("account_id"), slot.alias("slot"), time.alias("at"),
-            enters(F.col("tx_id")).alias("tx_id"), enters(F.col("lsn")).alias("lsn"),
-            c.alias("c"), s.alias("s"), f.alias("f"),
-            F.lit(entering).alias("entering"), emit.alias("emit"),
-            enters(F.col("location")).alias("location"),
-            F.when(emit, row).alias("row"),
-        )
-        return F.when(when, body)
 
-    def leaves(when, slot, slot_end):
-        # Both ends of a window belong to it, so a row leaves one microsecond after the far end.
-        for seconds_in, change in (
-            (windows.count, (-cnt, zero, F.lit(0))), (windows.spend, (F.lit(0), -spend, -failures)),
-        ):
-            gone = at + (seconds_in * MICROS + 1)
-            yield mark(when & (gone < slot_end), slot, gone, *change, False, F.lit(False))
-
-    in_next = account.isNotNull() & timed & (at >= following - lookback * MICROS)
-    every = [
-        mark(F.lit(True), own_name, at, cnt, spend, failures, True, F.col("_emit")),
-        *leaves(counts, own, following),
-        mark(in_next, following, at, cnt, spend, failures, True, F.lit(False)),
-        *leaves(counts & in_next, following, following + seconds * MICROS),
-    ]
-    return (
-        tx.select(F.explode(F.array(*every)).alias("m"))
-        .filter(F.col("m").isNotNull())
-        .select("m.*")
+    entering = tx.select(
+        *[c for c in tx.columns if c != "_at"],
+        F.when(owned, slot_start(F.col("_at"), slot)).otherwise(spread).alias("slot"),
+        F.coalesce(F.col("_at"), F.lit(0)).alias("at"),
+        F.when(counts, 1).otherwise(0).alias("_count"),
+        F.when(counts, C.spent(F.col("amount"), F.col("status"))).otherwise(zero).alias("_spend"),
+        F.when(counts, C.failed(F.col("status"))).otherwise(0).alias("_failures"),
+        F.lit(True).alias("_entering"),
+    )
+
+    at, own = F.col("at"), F.col("slot")
+    following = own + slot * MICROS
+    neighbours = entering.filter(
+        F.col("account_id").isNotNull() & F.col("event_time").isNotNull()
     )
 
+    def mark(when, slot, time, count, spend, failures, enters):
+        def kept(name):
+            return F.when(F.lit(enters), F.col(name)).alias(name)
 
-# Carried on every entering mark; the other columns travel only with rows that are output.
-_ON_MARK = ("account_id", "tx_id", "lsn", "location")
+        return F.when(when, F.struct(
+            slot.alias("slot"), time.alias("at"), kept("tx_id"), kept("lsn"), kept("location"),
+            count.alias("_count"), spend.alias("_spend"), failures.alias("_failures"),
+            F.lit(enters).alias("_entering"),
+        ))
 
+    def leaving(when, slot, slot_end):
+        # Both ends of a window belong to it, so a row leaves one microsecond after the far end.
+        none = F.lit(0)
+        gone = at + (windows.count * MICROS + 1)
+        yield mark(when & (gone < slot_end), slot, gone, -F.col("_count"), zero, none, False)
+        gone = at + (windows.spend * MICROS + 1)
+        yield mark(
+            when & (gone < slot_end), slot, gone, none, -F.col("_spend"), -F.col("_failures"), False
+        )
 
-def _payload(tx: DataFrame) -> list[str]:
-    return [c for c in tx.columns if c not in (*_ON_MARK, "_at", "_emit")]
+    in_next = at >= following - lookback * MICROS
+    sums = [F.col(c) for c in ("_count", "_spend", "_failures")]
+    more = F.array(
+        *leaving(F.lit(True), own, following),
+        mark(in_next, following, at, *sums, True),
+        *leaving(in_next, following, following + slot * MICROS),
+    )
+    others = (
+        neighbours.select("account_id", F.explode(more).alias("m"))
+        .filter(F.col("m").isNotNull())
+        .select("account_id", "m.*", F.lit(False).alias("_emit"))
+    )
+    return entering.unionByName(others, allowMissingColumns=True)
 
 
 def trailing_behavior(
@@ -233,12 +237,9 @@ def trailing_behavior(
         rows = rows.unionByName(context.select(*tx.columns).withColumn("_emit", F.lit(False)))
     rows = rows.withColumn("_at", F.unix_micros("event_time"))
 
-    owned = F.col("account_id").isNotNull() & F.col("_at").isNotNull()
-    counts = owned & F.col("event_type").isin(*event_types) if event_types else owned
-
     # Sorting once by the full order serves both windows below.
     marks = (
-        _marks(rows, windows, lookback, counts)
+        _marks(rows, windows, lookback, event_types)
         .repartition("account_id", "slot")
         .sortWithinPartitions("account_id", "slot", "at", "tx_id", "lsn")
     )
@@ -246,19 +247,19 @@ def trailing_behavior(
     so_far = part.orderBy("at").rangeBetween(Window.unboundedPreceding, Window.currentRow)
     in_order = part.orderBy("at", "tx_id", "lsn")
     features = marks.select(
-        "*",
-        F.sum("c").over(so_far).alias("tx_count_1m"),
-        F.sum("s").over(so_far).alias("_spend"),
-        F.sum("f").over(so_far).alias("failed_tx_5m"),
-    ).filter("entering").withColumn("amount_sum_5m", F.col("_spend").cast("double"))
+        *tx.columns, "slot", "at", "_entering", "_emit",
+        F.sum("_count").over(so_far).alias("tx_count_1m"),
+        F.sum("_spend").over(so_far).cast("double").alias("amount_sum_5m"),
+        F.sum("_failures").over(so_far).alias("failed_tx_5m"),
+    ).filter("_entering")
     seen = F.struct("at", "location", *FEATURES)
-    known = F.col("account_id").isNotNull() & F.col("row.event_time").isNotNull()
+    known = F.col("account_id").isNotNull() & F.col("event_time").isNotNull()
     return (
         features.withColumn("previous", F.lag(seen).over(in_order))
-        .filter("emit")
+        .filter("_emit")
         .select(
-            *[c if c in _ON_MARK else f"row.{c}" for c in tx.columns], *FEATURES,
-            F.when(known, F.col("previous")).alias("previous"), "slot", "at",
+            *tx.columns, *FEATURES, F.when(known, F.col("previous")).alias("previous"),
+            "slot", "at",
         )
     )
 

@@ -10,7 +10,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from txrisk import schemas
 from txrisk.functions import columns as C
@@ -23,17 +23,24 @@ NO_ACCOUNT = "NO_ACCOUNT"
 NO_AMOUNT = "NO_AMOUNT"
 
 
+def _parsed_once(text: Column, schema: StructType) -> Column:
+    """JSON text to a struct, parsed once per row.
+
+    A plain `from_json` column is copied by the optimizer into every expression and filter that
+    uses one of its fields, and is then parsed again there; plans that branch later grow without
+    bound. A generator's output is not copied.
+    """
+    options = {"columnNameOfCorruptRecord": schemas.CORRUPT}
+    return F.explode(F.array(F.from_json(text, schema, options)))
+
+
 def decode_envelopes(raw: DataFrame, row: StructType) -> DataFrame:
     """Decode `value` (bytes or text). Columns: value, payload fields, row image, corrupt text.
 
     Reading is permissive: text that is not JSON, or a field of the wrong type, gives nulls.
     """
-    parsed = raw.select(F.col("value").cast("string").alias("value")).withColumn(
-        "data",
-        F.from_json(
-            "value", schemas.envelope(row), {"columnNameOfCorruptRecord": schemas.CORRUPT}
-        ),
-    )
+    text = raw.select(F.col("value").cast("string").alias("value"))
+    parsed = text.select("value", _parsed_once(F.col("value"), schemas.envelope(row)).alias("data"))
     return parsed.select("value", f"data.{schemas.CORRUPT}", "data.payload.*").withColumn(
         "record", C.row_image(F.col("op"), F.col("before"), F.col("after"))
     )
@@ -44,7 +51,7 @@ def _normalised(raw: DataFrame, precision: str) -> DataFrame:
         "value", schemas.CORRUPT, "op", "source", "record.*",
         C.event_type(F.col("op")).alias("event_type"),
     )
-    is_delete = F.col("event_type") == "DELETE"
+    is_delete = F.coalesce(F.col("op") == "d", F.lit(False))
     return (
         decoded
         .withColumn("amount", F.when(~is_delete, F.col("amount").try_cast("double")))
@@ -106,16 +113,15 @@ def encode(df: DataFrame, key: str, timestamp_format: str = C.ISO_MICROS) -> Dat
 def decode_flat(raw: DataFrame, schema: StructType, keep: Sequence[str] = ()) -> DataFrame:
     """Rows encoded by `encode`; `schema` names the fields wanted, others are skipped. `keep`
     names columns of the message, such as its key, to leave in front."""
-    text = F.col("value").cast("string")
-    return raw.select(*keep, F.from_json(text, schema).alias("row")).select(*keep, "row.*")
+    row = _parsed_once(F.col("value").cast("string"), schema)
+    return raw.select(*keep, row.alias("row")).select(*keep, "row.*")
 
 
 def split_undecodable(raw: DataFrame, schema: StructType) -> tuple[DataFrame, DataFrame]:
     """(rows, dead letters) of a topic of flat JSON objects."""
-    checked = StructType(schema.fields).add(schemas.CORRUPT, "string")
-    parsed = raw.select(F.col("value").cast("string").alias("value")).withColumn(
-        "row", F.from_json("value", checked, {"columnNameOfCorruptRecord": schemas.CORRUPT})
-    )
+    checked = StructType([*schema.fields, StructField(schemas.CORRUPT, StringType())])
+    text = raw.select(F.col("value").cast("string").alias("value"))
+    parsed = text.select("value", _parsed_once(F.col("value"), checked).alias("row"))
     bad = F.col("row").isNull() | F.col(f"row.{schemas.CORRUPT}").isNotNull()
     rows = parsed.filter(~bad).select(*[F.col(f"row.{n}").alias(n) for n in schema.names])
     return rows, parsed.filter(bad).select("value")
