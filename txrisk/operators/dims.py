@@ -10,10 +10,8 @@ from pyspark.sql import functions as F
 from txrisk import schemas
 from txrisk.operators.decode import decode_envelopes
 
-CUSTOMER_STATE = ("customer_id", "risk_level", "is_deleted", "updated_at")
-ACCOUNT_STATE = (
-    "account_id", "customer_id", "account_type", "status", "is_deleted", "updated_at",
-)
+CUSTOMER_STATE = schemas.CUSTOMER_STATE.names
+ACCOUNT_STATE = schemas.ACCOUNT_STATE.names
 # The order of changes to one key: the event's time, then its log position.
 CHANGE_ORDER = ("ts_ms", "lsn")
 

@@ -11,6 +11,8 @@ from txrisk.operators import asof, behavior, decode, dims, enrich, rules
 from txrisk.operators.behavior import Windows
 from txrisk.plans import tables as T
 from txrisk.schemas import CLEAN
+from txrisk.session import shared_dir
+from txrisk.sources import sinks
 
 DAY = 24 * 3600
 # The given events are sparse, so minute windows rarely hold two of an account's events. Day
@@ -47,6 +49,12 @@ def enriched(spark, sf_dir, tx: DataFrame, windows: Windows = behavior.DEFAULT)
     return enrich.enrich(tx, T.accounts(spark, sf_dir), T.customers(spark, sf_dir), windows)
 
 
+def landed(spark: SparkSession, clean: DataFrame) -> DataFrame:
+    lake = shared_dir(spark, "lake")
+    sinks.write_lake(clean, lake)
+    return spark.read.schema(CLEAN).parquet(lake)
+
+
 # --- decode ------------------------------------------------------------------------------------
 
 def cdc_decode_clean(spark, sf_dir):
@@ -71,6 +79,11 @@ def clean_key_value(spark, sf_dir):
     return comparable(decode.decode_flat(pairs, CLEAN, keep=["key"]))
 
 
+def lake_partition_counts(spark, sf_dir):
+    lake = landed(spark, transactions(spark, sf_dir))
+    return lake.groupBy("event_date").agg(F.count(F.lit(1)).alias("n"))
+
+
 # --- dimension state ---------------------------------------------------------------------------
 
 def account_state_changes(spark, sf_dir):
@@ -177,8 +190,9 @@ def behavior_asof_join(spark, sf_dir):
 # --- enriched rows and verdicts ------------------------------------------------------------------
 
 def enriched_full(spark, sf_dir):
-    tx = decode.clean_transactions(T.transaction_envelopes(events(spark, sf_dir)))
-    return comparable(enriched(spark, sf_dir, tx))
+    """From change events. They are decoded once and landed in the lake; enrichment reads that."""
+    clean = decode.clean_transactions(T.transaction_envelopes(events(spark, sf_dir)))
+    return comparable(enriched(spark, sf_dir, landed(spark, clean)))
 
 
 def judged(spark, sf_dir):
@@ -186,18 +200,18 @@ def judged(spark, sf_dir):
     return rules.verdicts(rows, TEST_LIMITS)
 
 
-def _flat_verdicts(verdicts: DataFrame) -> DataFrame:
+def flat_verdicts(verdicts: DataFrame) -> DataFrame:
     codes = F.array_join(F.transform("alerts", lambda a: a["code"]), ",")
     return verdicts.select("tx_id", "account_id", "verdict", codes.alias("codes"))
 
 
 def risk_verdicts(spark, sf_dir):
-    return _flat_verdicts(judged(spark, sf_dir))
+    return flat_verdicts(judged(spark, sf_dir))
 
 
 def risk_verdicts_default(spark, sf_dir):
     rows = enriched(spark, sf_dir, transactions(spark, sf_dir))
-    return _flat_verdicts(rules.verdicts(rows))
+    return flat_verdicts(rules.verdicts(rows))
 
 
 def risk_alert_rows(spark, sf_dir):
@@ -208,6 +222,7 @@ BATCH: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         cdc_decode_clean, cdc_decode_second_precision, cdc_bad_records, clean_key_value,
+        lake_partition_counts,
         account_state_changes, account_state_latest, customer_state_latest,
         velocity_tumbling_1m, velocity_tumbling_inserts, spend_fail_sliding_5m,
         behavior_latest, behavior_latest_days, behavior_trailing, behavior_trailing_days,

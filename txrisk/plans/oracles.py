@@ -195,6 +195,8 @@ SELECT CASE k WHEN 25 THEN 'UNDECODABLE' WHEN 26 THEN 'NULL_VALUE' WHEN 27 THEN
        count(*) AS n
 FROM src GROUP BY 1""",
     "clean_key_value": _with(TX) + f"SELECT CAST(tx_id AS VARCHAR) AS key, {CLEAN_COLUMNS} FROM tx",
+    "lake_partition_counts": _with(TX)
+    + "SELECT event_date, count(*) AS n FROM tx GROUP BY event_date",
     "account_state_changes": _with(CHANGES) + "SELECT * FROM account_changes",
     "account_state_latest": _with(CHANGES)
     + "SELECT account_id, customer_id, account_type, status, is_deleted, updated_at "
@@ -260,3 +262,16 @@ SELECT tx_id, account_id,
        code, message
 FROM fired""",
 }
+
+STREAMS: dict[str, str] = {
+    "stream_clean_lake": BATCH["cdc_decode_clean"],
+    "stream_dead_letters": f"SELECT * FROM ({BATCH['cdc_bad_records']}) WHERE reason <> 'VALID'",
+    "stream_account_state": BATCH["account_state_latest"],
+    "stream_customer_state": BATCH["customer_state_latest"],
+    "stream_velocity_1m": BATCH["velocity_tumbling_1m"],
+    "stream_spend_fail_5m": BATCH["spend_fail_sliding_5m"],
+    "stream_behavior_latest": BATCH["behavior_latest"],
+    "stream_enriched": BATCH["enriched_full"],
+    "stream_verdicts": BATCH["risk_verdicts"],
+    "stream_judged_topic": BATCH["risk_verdicts"],
+}

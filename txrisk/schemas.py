@@ -57,6 +57,13 @@ CLEAN = struct_of(
     ingest_time=TimestampType(), is_deleted=BooleanType(),
     cdc_source=_S, table=_S, lsn=_L,
 )
+CUSTOMER_STATE = struct_of(
+    customer_id=_I, risk_level=_S, is_deleted=BooleanType(), updated_at=TimestampType(),
+)
+ACCOUNT_STATE = struct_of(
+    account_id=_I, customer_id=_I, account_type=_S, status=_S,
+    is_deleted=BooleanType(), updated_at=TimestampType(),
+)
 ENRICHED_COLUMNS = (
     "tx_id", "account_id", "amount", "currency", "tx_type", "merchant", "device_id",
     "ip_address", "location", "tx_status", "event_type", "event_time", "event_date",
@@ -70,6 +77,6 @@ ENRICHED_COLUMNS = (
 
 # What the rules read of an enriched event on the wire.
 ENRICHED_WIRE = struct_of(
-    tx_id=_L, account_id=_L, amount=DoubleType(), location=_S, customer_risk=_S,
+    tx_id=_L, account_id=_I, amount=DoubleType(), location=_S, customer_risk=_S,
     tx_count_1m=_L, amount_sum_5m=DoubleType(), failed_tx_5m=_L, last_location=_S,
 )
