@@ -10,9 +10,11 @@ EVENT_TYPES = {"c": "INSERT", "u": "UPDATE", "d": "DELETE", "r": "SNAPSHOT"}
 UNKNOWN_EVENT = "UNKNOWN"
 # ---------------------------------------------------------------------------------------------
 
-# Money is NUMERIC(18,2) at the source. Sums are taken on decimals so that they do not depend on
-# the order in which partitions arrive; the wider type leaves room for any double on the wire.
-MONEY = "decimal(24,2)"
+# Money is NUMERIC(18,2) at the source. Sums are taken on whole hundredths, so they are exact and do
+# not depend on the order in which partitions arrive. A decimal that fits a machine word is as fast
+# as a bigint, and its sums are wider and cannot overflow.
+HUNDREDTHS = "decimal(18,0)"
+MONEY_LIMIT = 1e16
 
 # Text forms. ISO keeps microseconds, unlike the JSON writer's default of milliseconds.
 ISO_MICROS = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
@@ -44,13 +46,19 @@ def micros_to_timestamp(text: Column, precision: str = "micros") -> Column:
     return ts
 
 
-def money(amount: Column) -> Column:
-    return amount.try_cast(MONEY)
+def no_money() -> Column:
+    return F.lit(0).cast(HUNDREDTHS)
 
 
 def spent(amount: Column, status: Column) -> Column:
-    """What a transaction adds to spend: its amount if it succeeded, else nothing."""
-    return F.coalesce(F.when(status == "SUCCESS", money(amount)), F.lit(0).cast(MONEY))
+    """What a transaction adds to spend, in hundredths: its amount if it succeeded, else nothing.
+    Values no NUMERIC(18,2) can hold (infinities, say) add nothing."""
+    possible = (status == "SUCCESS") & (F.abs(amount) < MONEY_LIMIT)
+    return F.when(possible, F.floor(amount * 100 + 0.5).cast(HUNDREDTHS)).otherwise(no_money())
+
+
+def units(hundredths: Column) -> Column:
+    return hundredths.cast("double") / 100
 
 
 def failed(status: Column) -> Column:

@@ -91,7 +91,7 @@ def sliding_spend(
         panes = _panes(tx, windows.slide)
         grouped = panes.groupBy("account_id", F.window("pane", length, slide))
         spend, failures = F.sum("spend"), F.sum("failures")
-    table = grouped.agg(spend.cast("double").alias("sum_5m"), failures.alias("fail_5m"))
+    table = grouped.agg(C.units(spend).alias("sum_5m"), failures.alias("fail_5m"))
     return _flat(table, "sum_5m", "fail_5m")
 
 
@@ -119,7 +119,7 @@ def latest_behavior(
         .groupBy("account_id", "latest")
         .agg(
             F.sum(F.when(F.col("pane") == F.col("latest"), F.col("cnt"))).alias("tx_count_1m"),
-            F.sum("spend").cast("double").alias("amount_sum_5m"),
+            C.units(F.sum("spend")).alias("amount_sum_5m"),
             F.sum("failures").alias("failed_tx_5m"),
         )
         .withColumnRenamed("latest", "updated_at")
@@ -156,7 +156,7 @@ def _marks(tx: DataFrame, windows: Windows, lookback: int, event_types) -> DataF
     owned = F.col("account_id").isNotNull() & F.col("_at").isNotNull()
     counts = F.col("event_type").isin(*event_types) if event_types else F.lit(True)
     counts = owned & F.coalesce(counts, F.lit(False))
-    zero = F.lit(0).cast(C.MONEY)
+    zero = C.no_money()
     # Rows without an account or a time have no neighbours: spread them over slots of their own
     # (negative, and so small that no real slot has that start).
     spread = -1 - F.pmod(F.xxhash64("tx_id"), F.lit(1 << 16))
@@ -249,7 +249,7 @@ def trailing_behavior(
     features = marks.select(
         *tx.columns, "slot", "at", "_entering", "_emit",
         F.sum("_count").over(so_far).alias("tx_count_1m"),
-        F.sum("_spend").over(so_far).cast("double").alias("amount_sum_5m"),
+        C.units(F.sum("_spend").over(so_far)).alias("amount_sum_5m"),
         F.sum("_failures").over(so_far).alias("failed_tx_5m"),
     ).filter("_entering")
     seen = F.struct("at", "location", *FEATURES)
