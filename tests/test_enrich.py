@@ -97,46 +97,53 @@ def features(df):
     return {r.tx_id: tuple(r[n] for n in names) for r in df.collect()}
 
 
-@pytest.mark.parametrize("slot", [300, 900, 100_000])
+@pytest.mark.parametrize("slot", [7, 300, 900, 100_000])
 def test_trailing_features_against_all_pairs(spark, slot):
     rows = skewed()
-    got = enrich.previous_location(frame(spark, rows), Windows(slot=slot))
+    got = behavior.trailing_features(frame(spark, rows), Windows(slot=slot))
     assert features(got) == expected(rows)
 
 
 @pytest.mark.parametrize("types", [["INSERT"], ["INSERT", "UPDATE"]])
 def test_trailing_features_of_some_event_types(spark, types):
     rows = skewed(300, seed=9)
-    got = enrich.previous_location(frame(spark, rows), Windows(slot=300), event_types=types)
+    got = behavior.trailing_features(frame(spark, rows), Windows(slot=300), event_types=types)
     want = expected(rows, types=types)
     assert features(got) == want
 
 
 def test_window_ends_belong_to_the_window(spark):
     rows = [tx(1, 1, 0, 5.0), tx(2, 1, 60, 7.0), tx(3, 1, 300, 1.0), tx(4, 1, 300.000001, 2.0)]
-    got = features(enrich.previous_location(frame(spark, rows)))
+    got = features(behavior.trailing_features(frame(spark, rows)))
     assert [got[i][:2] for i in (1, 2, 3, 4)] == [(1, 5.0), (2, 12.0), (1, 13.0), (2, 10.0)]
 
 
-def test_hot_account_is_split_over_slots(spark):
+def largest_group(plan_input, windows=behavior.DEFAULT):
+    marks = behavior._entering(plan_input.withColumn("_emit", F.lit(True)), windows, None)
+    marks = marks.unionByName(behavior._leaving(marks, windows), allowMissingColumns=True)
+    return marks.groupBy("account_id", "slot").count().agg(F.max("count")).first()[0]
+
+
+@pytest.mark.parametrize("windows", [Windows(), Windows(count=5000, spend=20000)])
+def test_hot_account_is_split_over_slots(spark, windows):
+    """However long the windows are compared with the slots."""
     rows = [tx(i, 1, i * 10) for i in range(900)]
-    out = behavior.trailing_behavior(frame(spark, rows))
-    sizes = [r["count"] for r in out.groupBy("account_id", "slot").count().collect()]
-    assert sum(sizes) == 900 and max(sizes) <= 90
+    assert largest_group(frame(spark, rows), windows) <= 3 * 90
+    got = features(behavior.trailing_features(frame(spark, rows), windows))
+    assert got == expected(rows, windows.count, windows.spend)
 
 
 def test_rows_without_account_are_spread(spark):
     rows = [tx(i, None, 0, event_type="DELETE") for i in range(500)]
-    out = behavior.trailing_behavior(frame(spark, rows))
-    assert out.select("slot").distinct().count() > 450
+    assert largest_group(frame(spark, rows)) <= 4
 
 
 def test_impossible_amounts_add_nothing_and_do_not_fail(spark):
     rows = [tx(1, 1, 0, float("inf")), tx(2, 1, 1, float("nan")), tx(3, 1, 2, 1.5)]
-    got = features(enrich.previous_location(frame(spark, rows)))
+    got = features(behavior.trailing_features(frame(spark, rows)))
     assert got[3][:2] == (3, 1.5)
     many = [tx(i, 1, i / 100, 9.9e15) for i in range(40)]
-    got = features(enrich.previous_location(frame(spark, many)))
+    got = features(behavior.trailing_features(frame(spark, many)))
     assert got[39][1] == pytest.approx(40 * 9.9e15)
 
 

@@ -15,11 +15,11 @@ def nodes(plan, name):
     return re.findall(rf"(?m)^[\s:+*()\d-]*{name}\b.*$", plan)
 
 
-def test_trailing_features_take_one_exchange_and_one_sort(spark, small):
-    plan = physical(behavior.trailing_behavior(catalog.transactions(spark, small)))
-    assert len(nodes(plan, "Exchange")) == 1
-    assert len(nodes(plan, "Sort")) == 1
-    assert "hashpartitioning(account_id" in plan and "slot" in nodes(plan, "Exchange")[0]
+def test_trailing_features_shuffle_and_sort_rows_once(spark, small):
+    plan = physical(behavior.trailing_features(catalog.transactions(spark, small)))
+    assert plan.count("REPARTITION_BY_COL") == 1
+    left = plan[: plan.index("REPARTITION_BY_COL")]
+    assert len(nodes(left, "Sort")) == 1 and len(nodes(left, "Window")) == 2
 
 
 def test_enrichment_shuffles_transactions_once(spark, small):
@@ -56,7 +56,7 @@ def test_scan_reads_needed_columns_only(spark, small):
     plan = physical(behavior.tumbling_counts(tx))
     scan = nodes(plan, "FileScan parquet")[0]
     assert "ReadSchema: struct<ts:timestamp_ntz,user_id:bigint>" in scan
-    plan = physical(enrich.slot_tails(tx, 900))
+    plan = physical(behavior.slot_tails(tx, 900))
     assert "event_type" not in nodes(plan, "FileScan parquet")[0]
 
 

@@ -9,7 +9,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from txrisk.functions import columns as C
-from txrisk.operators.slots import MICROS, slot_start
+from txrisk.operators.asof import asof_join
+from txrisk.operators.slots import MICROS, carry_in, slot_start
 
 
 @dataclass(frozen=True)
@@ -22,10 +23,6 @@ class Windows:
     freshness: int = 600
     slot: int = 900
 
-    def slot_for(self, lookback: int) -> int:
-        # A row is handed on to one following slot only, so a slot spans the look-back at least.
-        return max(self.slot, lookback)
-
 
 DEFAULT = Windows()
 
@@ -134,146 +131,188 @@ def _fresh(now: Column, then: Column, windows: Windows) -> Column:
 
 
 # ---------------------------------------------------------------------------------------------
-# Trailing features
+# Features at each transaction
 # ---------------------------------------------------------------------------------------------
 
 FEATURES = ("tx_count_1m", "amount_sum_5m", "failed_tx_5m")
+_SUMS = ("_count", "_spend", "_failures")
 
 
-def _marks(tx: DataFrame, windows: Windows, lookback: int, event_types) -> DataFrame:
-    """Turn each transaction into marks on its account's time line.
-
-    One mark where it enters the windows and one where it leaves each of them; running sums over
-    the marks then give the window contents at every transaction in a single ordered pass, in
-    time linear in the rows however dense an account is. (A sliding frame would add up its whole
-    content anew for every row.) Near the end of a slot the marks are repeated in the next one,
-    where they count but are not output.
-
-    The marks that are output keep all columns, the others only what the sums need, so a query
-    that uses few columns reads and shuffles few.
-    """
-    slot = windows.slot_for(lookback)
-    owned = F.col("account_id").isNotNull() & F.col("_at").isNotNull()
+def _entering(tx: DataFrame, windows: Windows, event_types: Sequence[str] | None) -> DataFrame:
+    """Transactions with their place on the account's time line and what they add to its sums."""
+    at = F.unix_micros("event_time")
+    owned = F.col("account_id").isNotNull() & at.isNotNull()
     counts = F.col("event_type").isin(*event_types) if event_types else F.lit(True)
     counts = owned & F.coalesce(counts, F.lit(False))
-    zero = C.no_money()
+    spend = C.spent(F.col("amount"), F.col("status"))
     # Rows without an account or a time have no neighbours: spread them over slots of their own
     # (negative, and so small that no real slot has that start).
     spread = -1 - F.pmod(F.xxhash64("tx_id"), F.lit(1 << 16))
-
-    entering = tx.select(
-        *[c for c in tx.columns if c != "_at"],
-        F.when(owned, slot_start(F.col("_at"), slot)).otherwise(spread).alias("slot"),
-        F.coalesce(F.col("_at"), F.lit(0)).alias("at"),
+    return tx.select(
+        *tx.columns,
+        F.when(owned, slot_start(at, windows.slot)).otherwise(spread).alias("slot"),
+        F.coalesce(at, F.lit(0)).alias("at"),
         F.when(counts, 1).otherwise(0).alias("_count"),
-        F.when(counts, C.spent(F.col("amount"), F.col("status"))).otherwise(zero).alias("_spend"),
+        F.when(counts, spend).otherwise(C.no_money()).alias("_spend"),
         F.when(counts, C.failed(F.col("status"))).otherwise(0).alias("_failures"),
         F.lit(True).alias("_entering"),
     )
 
-    at, own = F.col("at"), F.col("slot")
-    following = own + slot * MICROS
-    neighbours = entering.filter(
-        F.col("account_id").isNotNull() & F.col("event_time").isNotNull()
-    )
 
-    def mark(when, slot, time, count, spend, failures, enters):
-        def kept(name):
-            return F.when(F.lit(enters), F.col(name)).alias(name)
-
-        return F.when(when, F.struct(
-            slot.alias("slot"), time.alias("at"), kept("tx_id"), kept("lsn"), kept("location"),
-            count.alias("_count"), spend.alias("_spend"), failures.alias("_failures"),
-            F.lit(enters).alias("_entering"),
-        ))
-
-    def leaving(when, slot, slot_end):
-        # Both ends of a window belong to it, so a row leaves one microsecond after the far end.
-        none = F.lit(0)
-        gone = at + (windows.count * MICROS + 1)
-        yield mark(when & (gone < slot_end), slot, gone, -F.col("_count"), zero, none, False)
-        gone = at + (windows.spend * MICROS + 1)
-        yield mark(
-            when & (gone < slot_end), slot, gone, none, -F.col("_spend"), -F.col("_failures"), False
+def _owned() -> Column:
+    return F.col("account_id").isNotNull() & F.col("event_time").isNotNull()
+
+
+def _leaving(entering: DataFrame, windows: Windows) -> DataFrame:
+    """Where each transaction leaves the count window and the spend window. Both ends of a window
+    belong to it, so that is one microsecond after the far end."""
+    none = F.lit(0)
+    count_end = F.col("at") + (windows.count * MICROS + 1)
+    spend_end = F.col("at") + (windows.spend * MICROS + 1)
+
+    def mark(at, *sums):
+        return F.struct(at.alias("at"), *[c.alias(name) for name, c in zip(_SUMS, sums)])
+
+    ends = F.array(
+        mark(count_end, -F.col("_count"), C.no_money(), none),
+        mark(spend_end, none, -F.col("_spend"), -F.col("_failures")),
+    )
+    changes = (F.col("_count") != 0) | (F.col("_spend") != 0) | (F.col("_failures") != 0)
+    return (
+        entering.filter(_owned())
+        .select("account_id", F.explode(ends).alias("end"))
+        .select(
+            "account_id", "end.*", slot_start(F.col("end.at"), windows.slot).alias("slot"),
+            F.lit(False).alias("_entering"), F.lit(False).alias("_emit"),
         )
+        .filter(changes)
+    )
+
+
+def tail_position() -> Column:
+    return F.struct("at", "tx_id", "lsn")
+
 
-    in_next = at >= following - lookback * MICROS
-    sums = [F.col(c) for c in ("_count", "_spend", "_failures")]
-    more = F.array(
-        *leaving(F.lit(True), own, following),
-        mark(in_next, following, at, *sums, True),
-        *leaving(in_next, following, following + slot * MICROS),
+def _slot_carry(marks: DataFrame, earlier_tails: DataFrame | None) -> DataFrame:
+    """For each (account, slot) with output: the sums and the last transaction brought into it.
+
+    Slots are totalled by a map-side combined aggregate. The running totals are then taken over
+    one row per slot, however many transactions an account has.
+    """
+    tail = F.when(_owned(), F.struct(tail_position().alias("pos"), F.col("location")))
+    rows = marks.filter(F.col("account_id").isNotNull()).select(
+        "account_id", "slot", *_SUMS, "_emit", tail.alias("tail"),
+    )
+    if earlier_tails is not None:
+        rows = rows.unionByName(
+            earlier_tails.select("account_id", "slot", "tail", F.lit(False).alias("_emit")),
+            allowMissingColumns=True,
+        )
+    totals = rows.groupBy("account_id", "slot").agg(
+        *[F.coalesce(F.sum(name), F.lit(0)).alias(name) for name in _SUMS],
+        F.max("_emit").alias("_emit"), F.max_by("tail", "tail.pos").alias("tail"),
     )
-    others = (
-        neighbours.select("account_id", F.explode(more).alias("m"))
-        .filter(F.col("m").isNotNull())
-        .select("account_id", "m.*", F.lit(False).alias("_emit"))
+    return carry_in(totals, "account_id", "tail", _SUMS).filter("_emit").select(
+        "account_id", "slot", "tail", *[F.col(name).alias(f"{name}_in") for name in _SUMS],
     )
-    return entering.unionByName(others, allowMissingColumns=True)
 
 
-def trailing_behavior(
+def trailing_features(
     tx: DataFrame,
     windows: Windows = DEFAULT,
     event_types: Sequence[str] | None = None,
     context: DataFrame | None = None,
-    previous_within: int = 0,
+    earlier_tails: DataFrame | None = None,
+    profiles: DataFrame | None = None,
 ) -> DataFrame:
-    """Add to each transaction what its account did in the windows ending at it.
+    """Add to each transaction what its account did in the windows ending at it, and where the
+    account's preceding transaction was.
 
     tx_count_1m, amount_sum_5m and failed_tx_5m include the transaction itself and both ends of
-    the window. `previous` is the preceding transaction of the account among those the slot sees
-    (all within `previous_within` seconds, and any further ones in the same slot), with its own
-    features. `slot` is the partition both were computed in. `context` holds earlier transactions
-    that count but are not output.
+    the window. last_location follows the order of (event_time, tx_id, lsn).
 
-    Plan: one exchange on (account, slot), one sort, two windows on it.
+    Every transaction is a mark on its account's time line where it enters the windows, and one
+    where it leaves each; sums over the marks so far are the window contents. That is one ordered
+    pass, linear in the rows however dense an account is, where a sliding frame would add up its
+    content anew for every row. The line is cut into slots: sums run within (account, slot), and
+    start from what `_slot_carry` brings in, so the slot may be shorter than the windows.
+
+    Marks that are output keep all columns, the others only what the sums need. They are
+    shuffled once, by (account, slot), sorted once, and joined with the slots where they are.
+
+    `profiles`, one row per account, is joined to the slots and so costs no further shuffle of the
+    transactions. `context` holds earlier transactions that count but are not output, and
+    `earlier_tails` the slot tails of everything earlier.
     """
-    lookback = max(windows.count, windows.spend) + previous_within
+    output = list(tx.columns)
     if "lsn" not in tx.columns:
         tx = tx.withColumn("lsn", F.lit(None).cast("bigint"))
     rows = tx.withColumn("_emit", F.lit(True))
     if context is not None:
+        if "lsn" not in context.columns:
+            context = context.withColumn("lsn", F.lit(None).cast("bigint"))
         rows = rows.unionByName(context.select(*tx.columns).withColumn("_emit", F.lit(False)))
-    rows = rows.withColumn("_at", F.unix_micros("event_time"))
+    entering = _entering(rows, windows, event_types)
+    marks = entering.unionByName(_leaving(entering, windows), allowMissingColumns=True)
 
-    # Sorting once by the full order serves both windows below.
-    marks = (
-        _marks(rows, windows, lookback, event_types)
-        .repartition("account_id", "slot")
-        .sortWithinPartitions("account_id", "slot", "at", "tx_id", "lsn")
+    # Sorting once by the full order serves both windows below, and the join.
+    line = marks.repartition("account_id", "slot").sortWithinPartitions(
+        "account_id", "slot", "at", "tx_id", "lsn"
     )
     part = Window.partitionBy("account_id", "slot")
     so_far = part.orderBy("at").rangeBetween(Window.unboundedPreceding, Window.currentRow)
     in_order = part.orderBy("at", "tx_id", "lsn")
-    features = marks.select(
-        *tx.columns, "slot", "at", "_entering", "_emit",
-        F.sum("_count").over(so_far).alias("tx_count_1m"),
-        C.units(F.sum("_spend").over(so_far)).alias("amount_sum_5m"),
-        F.sum("_failures").over(so_far).alias("failed_tx_5m"),
+    here = line.select(
+        *tx.columns, "slot", "_entering", "_emit",
+        "at", *[F.sum(name).over(so_far).alias(name) for name in _SUMS],
     ).filter("_entering")
-    seen = F.struct("at", "location", *FEATURES)
-    known = F.col("account_id").isNotNull() & F.col("event_time").isNotNull()
-    return (
-        features.withColumn("previous", F.lag(seen).over(in_order))
-        .filter("_emit")
-        .select(
-            *tx.columns, *FEATURES, F.when(known, F.col("previous")).alias("previous"),
-            "slot", "at",
-        )
+    here = here.withColumn("_previous", F.lag(F.struct("location")).over(in_order)).filter("_emit")
+
+    slots = _slot_carry(marks, earlier_tails)
+    if profiles is not None:
+        slots = slots.join(profiles, "account_id", "left")
+        output += [c for c in profiles.columns if c != "account_id"]
+
+    def total(name):
+        return F.col(name) + F.coalesce(F.col(f"{name}_in"), F.lit(0))
+
+    inside = F.col("_previous").isNotNull()
+    last = F.when(inside, F.col("_previous.location")).otherwise(F.col("tail.location"))
+    return here.join(slots, ["account_id", "slot"], "left").select(
+        *output,
+        total("_count").alias("tx_count_1m"),
+        C.units(total("_spend")).alias("amount_sum_5m"),
+        total("_failures").alias("failed_tx_5m"),
+        F.when(_owned(), last).alias("last_location"),
+    )
+
+
+def slot_tails(tx: DataFrame, slot: int) -> DataFrame:
+    """The last transaction of each (account, slot): its position and its location."""
+    if "lsn" not in tx.columns:
+        tx = tx.withColumn("lsn", F.lit(None).cast("bigint"))
+    rows = tx.filter(_owned()).withColumn("at", F.unix_micros("event_time")).select(
+        "account_id", slot_start(F.col("at"), slot).alias("slot"),
+        F.struct(tail_position().alias("pos"), F.col("location")).alias("tail"),
     )
+    return rows.groupBy("account_id", "slot").agg(F.max_by("tail", "tail.pos").alias("tail"))
 
 
 def fresh_previous_behavior(
     tx: DataFrame, windows: Windows = DEFAULT, event_types: Sequence[str] | None = None
 ) -> DataFrame:
     """The stored-state reading: each transaction with the counters its account had after the
-    preceding transaction, unless those are `freshness` seconds old. Absent counters are 0."""
-    rows = trailing_behavior(tx, windows, event_types, previous_within=windows.freshness)
-    fresh = _fresh(F.col("at"), F.col("previous.at"), windows)
+    latest earlier one, unless those are `freshness` seconds old. Absent counters are 0."""
+    rows = trailing_features(tx, windows, event_types).select(*tx.columns, *FEATURES)
+    versions = rows.filter(_owned()).select("account_id", "event_time", "tx_id", *FEATURES)
+    found = asof_join(
+        rows, versions, "account_id", "event_time", "event_time", ["tx_id"],
+        slot=windows.slot, strict=True, within=windows.freshness,
+    )
     kept = [
-        F.coalesce(F.when(fresh, F.col(f"previous.{name}")), F.lit(0)).alias(f"previous_{name}")
+        F.coalesce(F.col(f"version.{name}"), F.lit(0)).alias(f"previous_{name}")
         for name in FEATURES
     ]
-    found = F.coalesce(fresh, F.lit(False)).alias("previous_found")
-    return rows.select(*tx.columns, *FEATURES, *kept, found)
+    return found.select(
+        *tx.columns, *FEATURES, *kept, F.col("version").isNotNull().alias("previous_found")
+    )

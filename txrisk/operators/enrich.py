@@ -9,8 +9,7 @@ from pyspark.sql import functions as F
 
 from txrisk import schemas
 from txrisk.functions import columns as C
-from txrisk.operators.behavior import DEFAULT, Windows, trailing_behavior
-from txrisk.operators.slots import carry_in, slot_start
+from txrisk.operators.behavior import DEFAULT, Windows, trailing_features
 
 UNKNOWN_RISK = "UNKNOWN"
 
@@ -60,44 +59,6 @@ def known_risk() -> Column:
     return F.coalesce(F.col("customer_risk"), F.lit(UNKNOWN_RISK))
 
 
-def slot_tails(tx: DataFrame, slot: int) -> DataFrame:
-    """The last transaction of each (account, slot): its order key and its location.
-
-    One map-side combined aggregate; a hot account shrinks to one row per slot and task.
-    """
-    at = F.unix_micros("event_time")
-    lsn = F.col("lsn") if "lsn" in tx.columns else F.lit(None).cast("bigint")
-    rows = tx.filter(F.col("account_id").isNotNull() & F.col("event_time").isNotNull()).select(
-        "account_id", slot_start(at, slot).alias("slot"),
-        F.struct(at.alias("at"), F.col("tx_id").alias("tx_id"), lsn.alias("lsn")).alias("pos"),
-        "location",
-    )
-    return merge_tails(rows.withColumn("tail", F.struct("pos", "location")))
-
-
-def merge_tails(tails: DataFrame) -> DataFrame:
-    last = F.max_by("tail", "tail.pos").alias("tail")
-    return tails.groupBy("account_id", "slot").agg(last)
-
-
-def previous_location(
-    tx: DataFrame, windows: Windows = DEFAULT, event_types: Sequence[str] | None = None
-) -> DataFrame:
-    """Behaviour features plus `last_location`: where the account's preceding transaction was."""
-    slot = windows.slot_for(max(windows.count, windows.spend))
-    rows = trailing_behavior(tx, windows, event_types)
-    return _with_last_location(rows, carry_in(slot_tails(tx, slot), "account_id"))
-
-
-def _with_last_location(rows: DataFrame, slots: DataFrame) -> DataFrame:
-    """`previous` looks inside the slot; the slot's first transaction takes what was carried in.
-    Both sides are keyed by (account, slot), so the rows are joined where they already are."""
-    joined = rows.join(slots, ["account_id", "slot"], "left")
-    inside = F.col("previous").isNotNull()
-    location = F.when(inside, F.col("previous.location")).otherwise(F.col("tail.location"))
-    return joined.withColumn("last_location", location).drop("previous", "tail", "slot", "at")
-
-
 def enrich(
     tx: DataFrame,
     accounts: DataFrame,
@@ -110,23 +71,14 @@ def enrich(
     """Clean transactions to the 27 enriched columns.
 
     `accounts` and `customers` hold one row per key. Profiles are looked up once per
-    (account, slot) and joined together with the carried location, so the transactions themselves
-    are shuffled once, on (account, slot), and a hot account is never one task.
-
+    (account, slot), see `trailing_features`, so a hot account is never one task.
     For micro-batches: `context` holds earlier transactions within reach of the windows, and
     `earlier_tails` the slot tails of everything earlier.
     """
-    slot = windows.slot_for(max(windows.count, windows.spend))
-    rows = trailing_behavior(tx, windows, event_types, context)
-    tails = slot_tails(tx, slot)
-    if earlier_tails is not None:
-        tails = merge_tails(tails.unionByName(earlier_tails.select("account_id", "slot", "tail")))
-    slots = carry_in(tails, "account_id").join(
-        account_profiles(accounts, customers), "account_id", "left"
-    )
+    profiles = account_profiles(accounts, customers)
+    rows = trailing_features(tx, windows, event_types, context, earlier_tails, profiles)
     full = (
-        _with_last_location(rows, slots)
-        .withColumn("customer_risk", known_risk())
+        rows.withColumn("customer_risk", known_risk())
         .withColumnsRenamed({"status": "tx_status", "is_deleted": "tx_is_deleted"})
         .withColumn("enriched_at", F.current_timestamp())
     )

@@ -3,18 +3,17 @@
 An ordered computation over one account (previous row, trailing sum, as-of version) would put a
 whole account into one window partition, and one account may hold a third of all rows. Instead
 the partition key is (account, slot), a slot being a fixed stretch of event time. What a slot
-needs from earlier time comes in one of two ways:
-
-* bounded look-back (trailing windows): rows near the end of a slot are also given to the next;
-* unbounded look-back (previous location, as-of version): each (account, slot) is first reduced
-  to its last row by a map-side combined aggregate, and only those tails, at most one per slot,
-  are ordered per account.
+needs from earlier time is brought in by a second, small pass: each (account, slot) is reduced to
+one row (its sums, its last row) by a map-side combined aggregate, and only those rows are put in
+order per account.
 
 Times are epoch microseconds held in a bigint, and a slot is named by its first microsecond.
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -25,13 +24,17 @@ def slot_start(at: Column, seconds: int) -> Column:
     return at - F.pmod(at, F.lit(seconds * MICROS))
 
 
-def carry_in(tails: DataFrame, key: str, tail: str = "tail") -> DataFrame:
-    """Replace `tail` of each (key, slot) by the last non-null tail of the key's earlier slots.
+def carry_in(
+    slots: DataFrame, key: str, tail: str = "tail", sums: Sequence[str] = ()
+) -> DataFrame:
+    """Replace, in each (key, slot) row, `tail` by the last non-null tail and `sums` by the totals
+    of the key's earlier slots.
 
-    There is one row per (key, slot), so a window partition here is bounded by the number of
-    slots in the data's time range and not by the number of rows.
+    A window partition here is bounded by the number of slots in the data's time range.
     """
     earlier = (
         Window.partitionBy(key).orderBy("slot").rowsBetween(Window.unboundedPreceding, -1)
     )
-    return tails.withColumn(tail, F.last(tail, ignorenulls=True).over(earlier))
+    carried = {tail: F.last(tail, ignorenulls=True).over(earlier)}
+    carried.update({name: F.sum(name).over(earlier) for name in sums})
+    return slots.withColumns(carried)

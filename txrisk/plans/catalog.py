@@ -127,12 +127,12 @@ def behavior_latest_days(spark, sf_dir):
 
 
 def behavior_trailing(spark, sf_dir):
-    rows = behavior.trailing_behavior(transactions(spark, sf_dir))
+    rows = behavior.trailing_features(transactions(spark, sf_dir))
     return rows.select("tx_id", *behavior.FEATURES)
 
 
 def behavior_trailing_days(spark, sf_dir):
-    rows = behavior.trailing_behavior(transactions(spark, sf_dir), DAY_WINDOWS)
+    rows = behavior.trailing_features(transactions(spark, sf_dir), DAY_WINDOWS)
     return rows.select("tx_id", *behavior.FEATURES)
 
 
@@ -142,7 +142,7 @@ def behavior_asof_ttl(spark, sf_dir):
 
 
 def last_location(spark, sf_dir):
-    rows = enrich.previous_location(transactions(spark, sf_dir))
+    rows = behavior.trailing_features(transactions(spark, sf_dir))
     return rows.select("tx_id", "account_id", "location", "last_location")
 
 
@@ -174,7 +174,7 @@ def dim_asof(spark, sf_dir):
 
 def behavior_asof_join(spark, sf_dir):
     """Freshness by the general as-of join: the latest earlier behaviour row under 600 s old."""
-    rows = behavior.trailing_behavior(transactions(spark, sf_dir)).select(
+    rows = behavior.trailing_features(transactions(spark, sf_dir)).select(
         "tx_id", "account_id", "event_time", *behavior.FEATURES
     )
     versions = rows.select("account_id", "event_time", *behavior.FEATURES)

@@ -3,7 +3,7 @@
 Trailing windows and the previous location need rows of earlier micro-batches. Those are kept in
 batch tables, and each micro-batch reads what can matter to it:
 
-* earlier transactions of the (account, slot) pairs the batch touches, for the windows;
+* earlier transactions of the batch's accounts within a window's reach, for the windows;
 * the last transaction per (account, slot), for the previous location;
 * the current dimension state.
 
@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from txrisk.operators import enrich
-from txrisk.operators.behavior import DEFAULT, Windows
+from txrisk.operators.behavior import DEFAULT, Windows, slot_tails
 from txrisk.operators.slots import MICROS, slot_start
 from txrisk.sources import sinks
 from txrisk.sources.state import BatchTable, KeyedState
@@ -29,8 +29,8 @@ from txrisk.sources.state import BatchTable, KeyedState
 class EnrichmentStore:
     """What enrichment keeps between micro-batches, under one folder.
 
-    `keep_slots` is for how many slots of event time, counted back from the newest, transactions
-    and the last one per (account, slot) are kept. Of older ones only each account's last is: a
+    `keep_slots` is for how many slots of event time (or spend windows, if those are longer),
+    counted back from the newest, transactions and the last one per (account, slot) are kept. Of older ones only each account's last is: a
     row that arrives later than that lacks earlier rows in its windows, and finds no previous
     location of before its own time.
     """
@@ -44,8 +44,9 @@ class EnrichmentStore:
     ):
         self.windows = windows
         self.reach = max(windows.count, windows.spend)
-        self.slot = windows.slot_for(self.reach)
-        self.keep = keep_slots * self.slot * MICROS
+        # Rows are looked up by stretches that a window, or a slot, spans at most two of.
+        self.stretch = max(windows.slot, self.reach)
+        self.keep = keep_slots * self.stretch * MICROS
         self.rows = BatchTable(f"{path}/rows")
         self.spans = KeyedState(
             f"{path}/spans", ["batch_id"], [], fold_every, self._trim_spans, keep_log=False
@@ -70,7 +71,7 @@ class EnrichmentStore:
 
     def _trim_spans(self, spans: DataFrame) -> DataFrame:
         newest = F.broadcast(spans.agg(F.max("last").alias("_newest")))  # one row
-        horizon = F.col("_newest") - (self.keep + 2 * self.slot * MICROS)
+        horizon = F.col("_newest") - (self.keep + 2 * self.stretch * MICROS)
         return spans.join(newest).filter(F.col("last") >= horizon).drop("_newest")
 
     def fold(self, spark: SparkSession, batch_id: int) -> None:
@@ -88,25 +89,23 @@ class EnrichmentStore:
         spans = self.spans.read(spark, before=batch_id)
         if spans is None or span["first"] is None:
             return None
-        slot_us = self.slot * MICROS
-        # The windows reach back `reach`; the previous row is looked for in the whole slot.
-        start = min(span["first"] - self.reach * MICROS, span["first"] // slot_us * slot_us)
+        length = self.stretch * MICROS
+        start = span["first"] // length * length - length
         near = spans.filter((F.col("last") >= start) & (F.col("first") <= span["last"]))
         ids = sorted(row["batch_id"] for row in near.select("batch_id").collect())
         earlier = self.rows.read(spark, ids)
         if earlier is None:
             return None
-        own = slot_start(F.unix_micros("event_time"), self.slot)
-        # A row matters to its own slot and, near its end, to the next.
+        own = slot_start(F.unix_micros("event_time"), self.stretch)
         touched = batch.select(
-            "account_id", F.explode(F.array(own, own - slot_us)).alias("_slot")
+            "account_id", F.explode(F.array(own, own - length)).alias("_stretch")
         ).distinct()
         low, high = (F.timestamp_micros(F.lit(v)) for v in (start, span["last"]))
         return (
             earlier.filter(F.col("event_time").between(low, high))
-            .withColumn("_slot", own)
-            .join(touched, ["account_id", "_slot"], "left_semi")
-            .drop("_slot")
+            .withColumn("_stretch", own)
+            .join(touched, ["account_id", "_stretch"], "left_semi")
+            .drop("_stretch")
         )
 
     def earlier_tails(self, spark: SparkSession, batch: DataFrame, batch_id: int):
@@ -147,7 +146,7 @@ def process_batch(
         context=context, earlier_tails=store.earlier_tails(spark, batch, batch_id),
     )
     sink(enriched, batch_id)
-    store.tails.write(enrich.slot_tails(batch, store.slot), batch_id)
+    store.tails.write(slot_tails(batch, store.windows.slot), batch_id)
     bounds = {"batch_id": batch_id, "first": span["first"], "last": span["last"]}
     row = [F.lit(value).cast("bigint").alias(name) for name, value in bounds.items()]
     store.spans.write(spark.range(1).select(*row), batch_id)
