@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from txrisk.operators.slots import MICROS, carry_in, slot_start
 
-HOUR = 3600
+DAY = 24 * 3600
 
 
 def asof_join(
@@ -19,9 +19,10 @@ def asof_join(
     fact_time: str,
     version_time: str,
     version_order: Sequence[str] = (),
-    slot: int = 24 * HOUR,
+    slot: int = DAY,
     strict: bool = False,
     within: int | None = None,
+    spread_by: Sequence[str] = (),
 ) -> DataFrame:
     """Left join each fact to the latest version of its key at or before the fact's time.
 
@@ -31,53 +32,46 @@ def asof_join(
 
     Facts and versions are put in one ordered pass per (key, slot); the version valid at a slot's
     start is added to it as one more row. No range condition and no pairs are ever formed, and a
-    hot key is spread over its slots.
+    hot key is spread over its slots. Facts without a key or a time cannot match and are spread by
+    the hash of `spread_by` (default: all their columns).
     """
-    versions = versions.filter(F.col(version_time).isNotNull())
     v_at = F.unix_micros(F.col(version_time).cast("timestamp"))
-    order = [F.col(c) for c in version_order]
-    v = versions.select(
-        F.col(key).alias("_key"), v_at.alias("_at"), slot_start(v_at, slot).alias("slot"),
+    v = versions.filter(F.col(version_time).isNotNull() & F.col(key).isNotNull()).select(
+        F.col(key).alias("_key"), v_at.alias("_at"), slot_start(v_at, slot).alias("_slot"),
         F.struct(*versions.columns).alias("version"),
-        F.struct(v_at.alias("at"), *order).alias("_order"),
-    ).filter(F.col("_key").isNotNull())
+        F.struct(v_at.alias("at"), *version_order).alias("_order"),
+    )
     f_at = F.unix_micros(F.col(fact_time).cast("timestamp"))
-    # Facts that cannot match still come out; they are spread instead of meeting in one partition.
-    row = F.struct(*facts.columns)
-    spread = -1 - F.pmod(F.xxhash64(row), F.lit(1 << 16))
+    spread = -1 - F.pmod(F.xxhash64(*(spread_by or facts.columns)), F.lit(1 << 16))
     matchable = F.col(key).isNotNull() & f_at.isNotNull()
     f = facts.select(
-        F.col(key).alias("_key"), F.coalesce(f_at, F.lit(0)).alias("_at"),
-        F.when(matchable, slot_start(f_at, slot)).otherwise(spread).alias("slot"),
-        row.alias("row"), matchable.alias("_ok"),
+        "*", F.col(key).alias("_key"), F.coalesce(f_at, F.lit(0)).alias("_at"),
+        F.when(matchable, slot_start(f_at, slot)).otherwise(spread).alias("_slot"),
+        matchable.alias("_ok"),
     )
 
     # Last version per (key, slot), and which (key, slot) hold facts: one combined aggregate.
+    asked = f.filter("_ok").select("_key", "_slot").distinct()
     tails = (
-        v.select("_key", "slot", "version", "_order", F.lit(False).alias("asks"))
-        .unionByName(
-            f.filter("_ok").select("_key", "slot").distinct().withColumn("asks", F.lit(True)),
-            allowMissingColumns=True,
-        )
-        .groupBy("_key", "slot")
-        .agg(F.max_by("version", "_order").alias("tail"), F.max("asks").alias("asks"))
+        v.select("_key", "_slot", "version", "_order", F.lit(False).alias("_asks"))
+        .unionByName(asked.withColumn("_asks", F.lit(True)), allowMissingColumns=True)
+        .groupBy("_key", "_slot")
+        .agg(F.max_by("version", "_order").alias("tail"), F.max("_asks").alias("_asks"))
     )
     carried = (
-        carry_in(tails, "_key")
-        .filter(F.col("asks") & F.col("tail").isNotNull())
-        .select("_key", (F.col("slot") - 1).alias("_at"), "slot", F.col("tail").alias("version"))
+        carry_in(tails, "_key", slot="_slot")
+        .filter(F.col("_asks") & F.col("tail").isNotNull())
+        .select("_key", (F.col("_slot") - 1).alias("_at"), "_slot", F.col("tail").alias("version"))
     )
 
     fact_side, version_side = (0, 1) if strict else (1, 0)
     merged = (
-        v.withColumn("_side", F.lit(version_side))
-        .unionByName(
-            carried.withColumn("_side", F.lit(version_side)), allowMissingColumns=True
-        )
-        .unionByName(f.withColumn("_side", F.lit(fact_side)), allowMissingColumns=True)
+        f.withColumn("_side", F.lit(fact_side))
+        .unionByName(v.withColumn("_side", F.lit(version_side)), allowMissingColumns=True)
+        .unionByName(carried.withColumn("_side", F.lit(version_side)), allowMissingColumns=True)
     )
     so_far = (
-        Window.partitionBy("_key", "slot").orderBy("_at", "_side", "_order")
+        Window.partitionBy("_key", "_slot").orderBy("_at", "_side", "_order")
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
     found = (
@@ -88,4 +82,4 @@ def asof_join(
     if within is not None:
         age = F.col("_at") - F.unix_micros(F.col(f"version.{version_time}").cast("timestamp"))
         valid = valid & (age < within * MICROS)
-    return found.select("row.*", F.when(valid, F.col("version")).alias("version"))
+    return found.select(*facts.columns, F.when(valid, F.col("version")).alias("version"))

@@ -303,16 +303,15 @@ def fresh_previous_behavior(
 ) -> DataFrame:
     """The stored-state reading: each transaction with the counters its account had after the
     latest earlier one, unless those are `freshness` seconds old. Absent counters are 0."""
-    rows = trailing_features(tx, windows, event_types).select(*tx.columns, *FEATURES)
-    versions = rows.filter(_owned()).select("account_id", "event_time", "tx_id", *FEATURES)
+    versions = trailing_features(tx.filter(_owned()), windows, event_types).select(
+        "account_id", "event_time", "tx_id", *FEATURES
+    )
     found = asof_join(
-        rows, versions, "account_id", "event_time", "event_time", ["tx_id"],
-        slot=windows.slot, strict=True, within=windows.freshness,
+        tx, versions, "account_id", "event_time", "event_time", ["tx_id"],
+        slot=windows.slot, strict=True, within=windows.freshness, spread_by=["tx_id"],
     )
     kept = [
         F.coalesce(F.col(f"version.{name}"), F.lit(0)).alias(f"previous_{name}")
         for name in FEATURES
     ]
-    return found.select(
-        *tx.columns, *FEATURES, *kept, F.col("version").isNotNull().alias("previous_found")
-    )
+    return found.select(*tx.columns, *kept, F.col("version").isNotNull().alias("previous_found"))
