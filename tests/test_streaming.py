@@ -15,7 +15,7 @@ from txrisk.streaming import enrichment, jobs
 
 
 def no_dimensions(spark):
-    return lambda: (
+    return lambda account_ids: (
         spark.createDataFrame([], schemas.ACCOUNT_STATE),
         spark.createDataFrame([], schemas.CUSTOMER_STATE),
     )
@@ -127,7 +127,7 @@ def test_scenario_with_changing_dimensions(spark, tmp_path):
     """Risk and account status change between the fourth and the fifth transaction."""
     state = {"risk": "LOW", "status": "ACTIVE"}
 
-    def dimensions():
+    def dimensions(account_ids):
         return (
             spark.createDataFrame(
                 [(2, 1, "WALLET", state["status"], False, T0)], schemas.ACCOUNT_STATE),
@@ -249,6 +249,33 @@ def test_dimension_stream_publishes_and_keeps_state(spark, tmp_path):
     assert published[0].key == "12" and '"updated_at":"1970-01-01T00:00:01.000Z"' in published[0].value
 
 
+def test_dimension_tables_of_some_accounts(spark, tmp_path):
+    accounts = jobs.account_state(f"{tmp_path}/accounts")
+    customers = jobs.customer_state(f"{tmp_path}/customers")
+    order = ", ts_ms long, lsn long"
+    accounts.write(spark.createDataFrame(
+        [(i, i % 3, "CARD", "ACTIVE", False, T0, 1, i) for i in range(9)],
+        "account_id int, customer_id int, account_type string, status string, "
+        "is_deleted boolean, updated_at timestamp" + order), 0)
+    customers.write(spark.createDataFrame(
+        [(i, "LOW", False, T0, 1, i) for i in range(9)],
+        "customer_id int, risk_level string, is_deleted boolean, updated_at timestamp" + order), 0)
+    ids = spark.createDataFrame([(1,), (4,), (5,), (99,)], "account_id int")
+    some_accounts, some_customers = jobs.dimension_tables(spark, accounts, customers, ids)
+    assert {r.account_id for r in some_accounts.collect()} == {1, 4, 5}
+    assert {r.customer_id for r in some_customers.collect()} == {1, 2}
+
+
+def test_window_table_forgets_old_windows(spark, tmp_path):
+    table = jobs.window_table(str(tmp_path), keep=600, fold_every=1, keep_log=False)
+    for i in range(4):
+        table.fold(spark, i)
+        table.write(spark.createDataFrame(
+            [(1, at(i * 300), i)], "account_id int, window_start timestamp, cnt_1m int"), i)
+    table.fold(spark, 4)
+    assert sorted(r.cnt_1m for r in table.read(spark).collect()) == [1, 2, 3]
+
+
 def test_keyed_state_reads_as_of_a_batch(spark, tmp_path):
     state = KeyedState(str(tmp_path), ["k"], ["v"], fold_every=2, keep_log=False)
     assert state.read(spark) is None

@@ -9,7 +9,9 @@ from pyspark.sql import functions as F
 
 from txrisk import schemas
 from txrisk.functions import columns as C
+from txrisk.operators.asof import asof_join
 from txrisk.operators.behavior import DEFAULT, Windows, trailing_features
+from txrisk.operators.dims import CHANGE_ORDER
 
 UNKNOWN_RISK = "UNKNOWN"
 
@@ -55,6 +57,33 @@ def add_profiles(tx: DataFrame, accounts: DataFrame, customers: DataFrame) -> Da
     return joined.withColumn("customer_risk", known_risk())
 
 
+def add_profiles_as_of(
+    tx: DataFrame,
+    account_changes: DataFrame,
+    customer_changes: DataFrame,
+    order: Sequence[str] = CHANGE_ORDER,
+) -> DataFrame:
+    """The same columns, each from the version that was valid at the transaction's time."""
+    with_account = asof_join(
+        tx, account_changes, "account_id", "event_time", "updated_at", order, spread_by=["tx_id"]
+    ).select(
+        *tx.columns, "version.customer_id", "version.account_type",
+        F.col("version.status").alias("account_status"),
+        F.col("version.is_deleted").alias("account_is_deleted"),
+        F.col("version.updated_at").alias("account_updated_at"),
+        F.nullif(F.col("version.customer_id"), F.lit(0)).alias("_customer"),
+    )
+    found = asof_join(
+        with_account, customer_changes.withColumnRenamed("customer_id", "_customer"),
+        "_customer", "event_time", "updated_at", order, spread_by=["tx_id"],
+    )
+    return found.select(
+        *[c for c in with_account.columns if c != "_customer"],
+        F.col("version.risk_level").alias("customer_risk"),
+        F.col("version.updated_at").alias("customer_updated_at"),
+    ).withColumn("customer_risk", known_risk())
+
+
 def known_risk() -> Column:
     return F.coalesce(F.col("customer_risk"), F.lit(UNKNOWN_RISK))
 

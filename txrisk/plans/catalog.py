@@ -172,6 +172,16 @@ def dim_asof(spark, sf_dir):
     )
 
 
+def dim_enrich_asof(spark, sf_dir):
+    """Account and customer versions valid at each transaction's time."""
+    rows = enrich.add_profiles_as_of(
+        transactions(spark, sf_dir).select("tx_id", "account_id", "event_time"),
+        T.signup_account_changes(events(spark, sf_dir)),
+        T.view_customer_changes(events(spark, sf_dir)),
+    )
+    return comparable(rows.select("tx_id", "account_id", *enrich.PROFILE))
+
+
 def behavior_asof_join(spark, sf_dir):
     """Freshness by the general as-of join: the latest earlier behaviour row under 600 s old."""
     rows = behavior.trailing_features(transactions(spark, sf_dir)).select(
@@ -227,7 +237,7 @@ BATCH: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         velocity_tumbling_1m, velocity_tumbling_inserts, spend_fail_sliding_5m,
         behavior_latest, behavior_latest_days, behavior_trailing, behavior_trailing_days,
         behavior_asof_ttl, behavior_asof_join, last_location,
-        dim_enrich, dim_asof, enriched_full,
+        dim_enrich, dim_asof, dim_enrich_asof, enriched_full,
         risk_verdicts, risk_verdicts_default, risk_alert_rows,
     )
 }

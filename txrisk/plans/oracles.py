@@ -253,6 +253,25 @@ SELECT l.l_orderkey, l.l_linenumber, l.l_partkey, l.o_custkey, l.l_shipdate,
        v.o_orderpriority AS version_priority
 FROM lines l
 ASOF LEFT JOIN versions v ON l.o_custkey = v.o_custkey AND l.l_shipdate >= v.o_orderdate""",
+    "dim_enrich_asof": _with(TX) + """
+, acc AS (
+  SELECT CAST(user_id AS INTEGER) AS account_id, k AS customer_id, 'CARD' AS account_type,
+         CASE WHEN value > 50 THEN 'FROZEN' ELSE 'ACTIVE' END AS status, ts AS updated_at
+  FROM src WHERE kind = 'signup'
+),
+cus AS (
+  SELECT k AS customer_id, ts AS updated_at,
+         CASE WHEN value > 50 THEN 'HIGH' WHEN value > 10 THEN 'LOW' END AS risk_level
+  FROM src WHERE kind = 'view'
+)
+SELECT t.tx_id, t.account_id, a.customer_id, a.account_type, a.status AS account_status,
+       CASE WHEN a.account_id IS NOT NULL THEN FALSE END AS account_is_deleted,
+       a.updated_at AS account_updated_at,
+       COALESCE(c.risk_level, 'UNKNOWN') AS customer_risk, c.updated_at AS customer_updated_at
+FROM tx t
+ASOF LEFT JOIN acc a ON a.account_id = t.account_id AND t.event_time >= a.updated_at
+ASOF LEFT JOIN cus c ON c.customer_id = NULLIF(a.customer_id, 0)
+                    AND t.event_time >= c.updated_at""",
     "enriched_full": _with(TX, DIMS, MINUTES, ENRICHED) + "SELECT * FROM enr",
     "risk_verdicts": _with(TX, DIMS, DAYS, ENRICHED, TEST_FIRED) + VERDICTS,
     "risk_verdicts_default": _with(TX, DIMS, MINUTES, ENRICHED, DEFAULT_FIRED) + VERDICTS,

@@ -113,7 +113,7 @@ def enrich_in_slices(
         source = readers.file_stream(spark, f"{work}/clean", CLEAN)
         finish(enrichment.start_enrichment(
             spark, source, store,
-            lambda: (T.accounts(spark, sf_dir), T.customers(spark, sf_dir)),
+            lambda _: (T.accounts(spark, sf_dir), T.customers(spark, sf_dir)),
             sink, f"{work}/checkpoint", available_now=True,
         ))
 

@@ -169,3 +169,26 @@ def customer_envelopes(orders: DataFrame) -> DataFrame:
     )
     value = _envelope(CUSTOMER_ROW.names, "customer", F.col("version"), F.col("ts_ms"))
     return rows.select(value.alias("value"))
+
+
+def signup_account_changes(events: DataFrame) -> DataFrame:
+    """Signup events read as account changes, in the time range of the transactions."""
+    return events.filter(F.col("event_type") == "signup").withColumn("k", _k()).select(
+        F.col("user_id").cast("int").alias("account_id"), F.col("k").alias("customer_id"),
+        F.lit("CARD").alias("account_type"),
+        F.when(F.col("value") > 50, "FROZEN").otherwise("ACTIVE").alias("status"),
+        F.lit(False).alias("is_deleted"), F.col("ts").cast("timestamp").alias("updated_at"),
+        F.unix_millis(F.col("ts").cast("timestamp")).alias("ts_ms"),
+        F.col("event_id").alias("lsn"),
+    )
+
+
+def view_customer_changes(events: DataFrame) -> DataFrame:
+    """View events read as changes of customer `k`."""
+    return events.filter(F.col("event_type") == "view").withColumn("k", _k()).select(
+        F.col("k").alias("customer_id"),
+        F.when(F.col("value") > 50, "HIGH").when(F.col("value") > 10, "LOW").alias("risk_level"),
+        F.lit(False).alias("is_deleted"), F.col("ts").cast("timestamp").alias("updated_at"),
+        F.unix_millis(F.col("ts").cast("timestamp")).alias("ts_ms"),
+        F.col("event_id").alias("lsn"),
+    )

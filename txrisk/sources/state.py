@@ -96,7 +96,7 @@ class KeyedState:
         ]
         return start, changes
 
-    def _merged(self, spark: SparkSession, start: int | None, changes: Sequence[int]):
+    def _merged(self, spark: SparkSession, start, changes: Sequence[int], only=None):
         tables = [self.changes.read(spark, changes)]
         if start is not None:
             tables.append(self.snapshots.read(spark, [start]))
@@ -104,6 +104,8 @@ class KeyedState:
         if not tables:
             return None
         rows = tables[0] if len(tables) == 1 else tables[0].unionByName(tables[1])
+        if only is not None:
+            rows = rows.join(only.distinct(), only.columns, "left_semi")
         return self._last(rows)
 
     def _last(self, rows: DataFrame) -> DataFrame:
@@ -112,9 +114,15 @@ class KeyedState:
         reduced = rows.groupBy(*self.keys).agg(last)
         return reduced.select(*self.keys, *[f"last.{c}" for c in rest])
 
-    def read(self, spark: SparkSession, before: int | None = None) -> DataFrame | None:
-        """One row per key, as of the start of batch `before` (default: now). None if empty."""
-        rows = self._merged(spark, *self._parts(spark, before))
+    def read(
+        self, spark: SparkSession, before: int | None = None, only: DataFrame | None = None
+    ) -> DataFrame | None:
+        """One row per key, as of the start of batch `before` (default: now). None if empty.
+
+        `only` limits the read to the values of its columns; rows of other keys are dropped in
+        the scan's stage when `only` is small enough for Spark to broadcast.
+        """
+        rows = self._merged(spark, *self._parts(spark, before), only)
         return None if rows is None else rows.drop("_batch")
 
     def log(self, spark: SparkSession) -> DataFrame | None:

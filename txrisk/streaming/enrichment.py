@@ -108,11 +108,8 @@ class EnrichmentStore:
             .drop("_stretch")
         )
 
-    def earlier_tails(self, spark: SparkSession, batch: DataFrame, batch_id: int):
-        tails = self.tails.read(spark, before=batch_id)
-        if tails is None:
-            return None
-        return tails.join(batch.select("account_id").distinct(), "account_id", "left_semi")
+    def earlier_tails(self, spark: SparkSession, account_ids: DataFrame, batch_id: int):
+        return self.tails.read(spark, before=batch_id, only=account_ids)
 
 
 def process_batch(
@@ -120,7 +117,7 @@ def process_batch(
     incoming: DataFrame,
     batch_id: int,
     store: EnrichmentStore,
-    dimensions: Callable[[], tuple[DataFrame, DataFrame]],
+    dimensions: Callable[[DataFrame], tuple[DataFrame, DataFrame]],
     sink: Callable[[DataFrame, int], None],
     event_types=None,
 ) -> None:
@@ -140,10 +137,11 @@ def process_batch(
     store.fold(spark, batch_id)
 
     context = store.context(spark, batch, span, batch_id)
-    accounts, customers = dimensions()
+    account_ids = batch.select("account_id").distinct()
+    accounts, customers = dimensions(account_ids)
     enriched = enrich.enrich(
         batch, accounts, customers, store.windows, event_types,
-        context=context, earlier_tails=store.earlier_tails(spark, batch, batch_id),
+        context=context, earlier_tails=store.earlier_tails(spark, account_ids, batch_id),
     )
     sink(enriched, batch_id)
     store.tails.write(slot_tails(batch, store.windows.slot), batch_id)
@@ -156,13 +154,14 @@ def start_enrichment(
     spark: SparkSession,
     clean: DataFrame,
     store: EnrichmentStore,
-    dimensions: Callable[[], tuple[DataFrame, DataFrame]],
+    dimensions: Callable[[DataFrame], tuple[DataFrame, DataFrame]],
     sink: Callable[[DataFrame, int], None],
     checkpoint: str,
     event_types=None,
     available_now: bool = False,
 ) -> StreamingQuery:
-    """`dimensions` gives the current (accounts, customers) and is called for every micro-batch;
+    """`dimensions(account_ids)` gives the current (accounts, customers), for those accounts at
+    least, and is called for every micro-batch; `jobs.dimension_tables` reads them from state.
     `sink(enriched, batch_id)` must replace what it wrote before for the same id, as
     `BatchTable.write` does."""
 

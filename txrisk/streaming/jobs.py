@@ -68,17 +68,21 @@ def customer_state(path: str, **options) -> KeyedState:
 
 
 def dimension_tables(
-    spark: SparkSession, accounts: KeyedState, customers: KeyedState
+    spark: SparkSession,
+    accounts: KeyedState,
+    customers: KeyedState,
+    account_ids: DataFrame | None = None,
 ) -> tuple[DataFrame, DataFrame]:
-    """Current (accounts, customers); empty before the first change."""
+    """Current (accounts, customers); empty before the first change. With `account_ids`, those
+    accounts and their customers only."""
 
-    def current(state, schema):
-        rows = state.read(spark)
+    def current(state, schema, only):
+        rows = state.read(spark, only=only)
         return spark.createDataFrame([], schema) if rows is None else rows.select(*schema.names)
 
-    return (
-        current(accounts, schemas.ACCOUNT_STATE), current(customers, schemas.CUSTOMER_STATE)
-    )
+    account_rows = current(accounts, schemas.ACCOUNT_STATE, account_ids)
+    customer_ids = None if account_ids is None else account_rows.select("customer_id")
+    return account_rows, current(customers, schemas.CUSTOMER_STATE, customer_ids)
 
 
 def start_dimension(
@@ -107,9 +111,17 @@ def start_dimension(
 
 # --- behaviour windows ---------------------------------------------------------------------------
 
-def window_table(path: str, **options) -> KeyedState:
-    """Windowed counters by account and window; a later micro-batch replaces earlier values."""
-    return KeyedState(path, ["account_id", "window_start"], [], **options)
+def window_table(path: str, keep: int | None = None, **options) -> KeyedState:
+    """Windowed counters by account and window; a later micro-batch replaces earlier values.
+    Snapshots leave out windows that started more than `keep` seconds before the newest."""
+
+    def recent(rows: DataFrame) -> DataFrame:
+        newest = F.broadcast(rows.agg(F.max("window_start").alias("_newest")))  # one row
+        oldest = F.col("_newest") - F.make_dt_interval(secs=F.lit(keep))
+        return rows.join(newest).filter(F.col("window_start") >= oldest).drop("_newest")
+
+    trim = recent if keep else None
+    return KeyedState(path, ["account_id", "window_start"], [], trim=trim, **options)
 
 
 def start_behavior(
