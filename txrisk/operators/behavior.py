@@ -163,56 +163,84 @@ def _owned() -> Column:
     return F.col("account_id").isNotNull() & F.col("event_time").isNotNull()
 
 
-def _leaving(entering: DataFrame, windows: Windows) -> DataFrame:
-    """Where each transaction leaves the count window and the spend window. Both ends of a window
+def _ends(windows: Windows) -> tuple[Column, Column]:
+    """When a transaction leaves the count window and the spend window. Both ends of a window
     belong to it, so that is one microsecond after the far end."""
-    none = F.lit(0)
-    count_end = F.col("at") + (windows.count * MICROS + 1)
-    spend_end = F.col("at") + (windows.spend * MICROS + 1)
+    at = F.col("at")
+    return at + (windows.count * MICROS + 1), at + (windows.spend * MICROS + 1)
 
-    def mark(at, *sums):
-        return F.struct(at.alias("at"), *[c.alias(name) for name, c in zip(_SUMS, sums)])
 
-    ends = F.array(
-        mark(count_end, -F.col("_count"), C.no_money(), none),
-        mark(spend_end, none, -F.col("_spend"), -F.col("_failures")),
-    )
-    changes = (F.col("_count") != 0) | (F.col("_spend") != 0) | (F.col("_failures") != 0)
+def _change(at: Column, slot: Column, *sums: Column) -> Column:
+    named = [c.alias(name) for name, c in zip(_SUMS, sums)]
+    return F.struct(at.alias("at"), slot.alias("slot"), *named)
+
+
+def _exploded(entering: DataFrame, *changes: Column) -> DataFrame:
+    """The changes of each owned transaction that change something, as rows."""
+    some = (F.col("_count") != 0) | (F.col("_spend") != 0) | (F.col("_failures") != 0)
     return (
         entering.filter(_owned())
-        .select("account_id", F.explode(ends).alias("end"))
-        .select(
-            "account_id", "end.*", slot_start(F.col("end.at"), windows.slot).alias("slot"),
-            F.lit(False).alias("_entering"), F.lit(False).alias("_emit"),
-        )
-        .filter(changes)
+        .select("account_id", F.explode(F.array(*changes)).alias("change"))
+        .select("account_id", "change.*")
+        .filter(some)
     )
 
 
-def tail_position() -> Column:
-    return F.struct("at", "tx_id", "lsn")
-
-
-def _slot_carry(marks: DataFrame, earlier_tails: DataFrame | None) -> DataFrame:
+def _leaving(entering: DataFrame, windows: Windows) -> DataFrame:
+    """A mark where each transaction leaves the count window, and one for the spend window."""
+    none = F.lit(0)
+    count_end, spend_end = _ends(windows)
+    count, spend, failures = (-F.col(name) for name in _SUMS)
+    return _exploded(
+        entering,
+        _change(count_end, slot_start(count_end, windows.slot), count, C.no_money(), none),
+        _change(spend_end, slot_start(spend_end, windows.slot), none, spend, failures),
+    ).withColumns({"_entering": F.lit(False), "_emit": F.lit(False)})
+
+
+def _crossing_sums(entering: DataFrame, windows: Windows) -> DataFrame:
+    """What each slot adds to the sums of later slots. Transactions that leave a window in the
+    slot they entered it add nothing, so these are few where windows are short."""
+    none, at, slot = F.lit(0), F.col("at"), F.col("slot")
+    count, spend, failures = (F.col(name) for name in _SUMS)
+    count_end, spend_end = (slot_start(end, windows.slot) for end in _ends(windows))
+
+    def crossing(end, value, zero):
+        return F.when(end != slot, value).otherwise(zero)
+
+    count = crossing(count_end, count, none)
+    spend = crossing(spend_end, spend, C.no_money())
+    failures = crossing(spend_end, failures, none)
+    return _exploded(
+        entering,
+        _change(at, slot, count, spend, failures),
+        _change(at, count_end, -count, C.no_money(), none),
+        _change(at, spend_end, none, -spend, -failures),
+    ).groupBy("account_id", "slot").agg(*[F.sum(name).alias(name) for name in _SUMS])
+
+
+def _tail() -> Column:
+    return F.struct(F.struct("at", "tx_id", "lsn").alias("pos"), F.col("location"))
+
+
+def _slot_carry(
+    entering: DataFrame, windows: Windows, earlier_tails: DataFrame | None = None
+) -> DataFrame:
     """For each (account, slot) with output: the sums and the last transaction brought into it.
 
-    Slots are totalled by a map-side combined aggregate. The running totals are then taken over
-    one row per slot, however many transactions an account has.
+    Slots are reduced to their sums and their last row by map-side combined aggregates. Running
+    totals are then taken over those, however many transactions an account has.
     """
-    tail = F.when(_owned(), F.struct(tail_position().alias("pos"), F.col("location")))
-    rows = marks.filter(F.col("account_id").isNotNull()).select(
-        "account_id", "slot", *_SUMS, "_emit", tail.alias("tail"),
-    )
+    rows = entering.filter(_owned()).select("account_id", "slot", _tail().alias("tail"), "_emit")
     if earlier_tails is not None:
         rows = rows.unionByName(
-            earlier_tails.select("account_id", "slot", "tail", F.lit(False).alias("_emit")),
-            allowMissingColumns=True,
+            earlier_tails.select("account_id", "slot", "tail", F.lit(False).alias("_emit"))
         )
-    totals = rows.groupBy("account_id", "slot").agg(
-        *[F.coalesce(F.sum(name), F.lit(0)).alias(name) for name in _SUMS],
-        F.max("_emit").alias("_emit"), F.max_by("tail", "tail.pos").alias("tail"),
+    tails = rows.groupBy("account_id", "slot").agg(
+        F.max_by("tail", "tail.pos").alias("tail"), F.max("_emit").alias("_emit")
     )
-    return carry_in(totals, "account_id", "tail", _SUMS).filter("_emit").select(
+    both = tails.unionByName(_crossing_sums(entering, windows), allowMissingColumns=True)
+    return carry_in(both, "account_id", "tail", _SUMS).filter("_emit").select(
         "account_id", "slot", "tail", *[F.col(name).alias(f"{name}_in") for name in _SUMS],
     )
 
@@ -268,7 +296,7 @@ def trailing_features(
     ).filter("_entering")
     here = here.withColumn("_previous", F.lag(F.struct("location")).over(in_order)).filter("_emit")
 
-    slots = _slot_carry(marks, earlier_tails)
+    slots = _slot_carry(entering, windows, earlier_tails)
     if profiles is not None:
         slots = slots.join(profiles, "account_id", "left")
         output += [c for c in profiles.columns if c != "account_id"]
@@ -293,7 +321,7 @@ def slot_tails(tx: DataFrame, slot: int) -> DataFrame:
         tx = tx.withColumn("lsn", F.lit(None).cast("bigint"))
     rows = tx.filter(_owned()).withColumn("at", F.unix_micros("event_time")).select(
         "account_id", slot_start(F.col("at"), slot).alias("slot"),
-        F.struct(tail_position().alias("pos"), F.col("location")).alias("tail"),
+        _tail().alias("tail"),
     )
     return rows.groupBy("account_id", "slot").agg(F.max_by("tail", "tail.pos").alias("tail"))
 

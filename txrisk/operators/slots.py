@@ -27,13 +27,12 @@ def slot_start(at: Column, seconds: int) -> Column:
 def carry_in(
     slots: DataFrame, key: str, tail: str = "tail", sums: Sequence[str] = (), slot: str = "slot"
 ) -> DataFrame:
-    """Replace, in each (key, slot) row, `tail` by the last non-null tail and `sums` by the totals
-    of the key's earlier slots.
-
-    A window partition here is bounded by the number of slots in the data's time range.
+    """Replace, in each row, `tail` by the last non-null tail and `sums` by the totals of the
+    key's earlier slots. A slot may have more than one row; it has a bounded number, so a window
+    partition here is bounded by the number of slots in the data's time range.
     """
     earlier = (
-        Window.partitionBy(key).orderBy(slot).rowsBetween(Window.unboundedPreceding, -1)
+        Window.partitionBy(key).orderBy(slot).rangeBetween(Window.unboundedPreceding, -1)
     )
     carried = {tail: F.last(tail, ignorenulls=True).over(earlier)}
     carried.update({name: F.sum(name).over(earlier) for name in sums})
