@@ -57,22 +57,23 @@ class EnrichmentStore:
         )
 
     def _trim_tails(self, tails: DataFrame) -> DataFrame:
-        newest = tails.agg(F.max("slot").alias("_newest"))
-        marked = tails.join(F.broadcast(newest))  # one row
-        recent = F.col("slot") >= F.col("_newest") - self.keep
-        kept = marked.filter(recent).select(*tails.columns)
+        newest = tails.agg(F.max("slot")).first()[0]
+        if newest is None:
+            return tails
+        recent = F.col("slot") >= newest - self.keep
         rest = [c for c in tails.columns if c != "account_id"]
         last = (
-            marked.filter(~recent).groupBy("account_id")
+            tails.filter(~recent).groupBy("account_id")
             .agg(F.max_by(F.struct(*rest), "slot").alias("last"))
             .select("account_id", "last.*")
         )
-        return kept.unionByName(last.select(*tails.columns))
+        return tails.filter(recent).unionByName(last)
 
     def _trim_spans(self, spans: DataFrame) -> DataFrame:
-        newest = F.broadcast(spans.agg(F.max("last").alias("_newest")))  # one row
-        horizon = F.col("_newest") - (self.keep + 2 * self.stretch * MICROS)
-        return spans.join(newest).filter(F.col("last") >= horizon).drop("_newest")
+        newest = spans.agg(F.max("last")).first()[0]
+        if newest is None:
+            return spans
+        return spans.filter(F.col("last") >= newest - self.keep - 2 * self.stretch * MICROS)
 
     def fold(self, spark: SparkSession, batch_id: int) -> None:
         """Fold the state, and drop the rows no window of a kept slot can reach any more."""

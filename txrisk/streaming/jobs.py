@@ -12,6 +12,7 @@ from txrisk import schemas
 from txrisk.functions import columns as C
 from txrisk.operators import behavior, decode, dims, rules
 from txrisk.operators.behavior import DEFAULT, Windows
+from txrisk.operators.slots import MICROS
 from txrisk.sources import sinks
 from txrisk.sources.state import KeyedState
 
@@ -116,9 +117,9 @@ def window_table(path: str, keep: int | None = None, **options) -> KeyedState:
     Snapshots leave out windows that started more than `keep` seconds before the newest."""
 
     def recent(rows: DataFrame) -> DataFrame:
-        newest = F.broadcast(rows.agg(F.max("window_start").alias("_newest")))  # one row
-        oldest = F.col("_newest") - F.make_dt_interval(secs=F.lit(keep))
-        return rows.join(newest).filter(F.col("window_start") >= oldest).drop("_newest")
+        start = F.unix_micros("window_start")
+        newest = rows.agg(F.max(start)).first()[0]
+        return rows if newest is None else rows.filter(start >= newest - keep * MICROS)
 
     trim = recent if keep else None
     return KeyedState(path, ["account_id", "window_start"], [], trim=trim, **options)
