@@ -225,12 +225,15 @@ def score(docs: DataFrame, model: Model, text_col: str = "text", keep: list[str]
     rows = docs.select(*keep, text_column(text_col).alias("text_"))
     passage = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("score", pa.float64()), ("expected", pa.float64())]))
 
+    names = [*keep, *result.fieldNames()]
+    n_keep = len(keep)
+
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = Scorer(sent.value)
-        for block, texts in blocks(batches, len(keep)):
+        for block, texts in blocks(batches, n_keep):
             values = list(zip(*map(scorer.score, texts)))
             yield pa.RecordBatch.from_arrays(
                 [*block.columns[:-1], pa.array(values[0], pa.float64()), pa.array(values[1], pa.float64()),
-                 pa.array(values[2], pa.int64()), pa.array(values[3], passage)], [*keep, *result.fieldNames()])
+                 pa.array(values[2], pa.int64()), pa.array(values[3], passage)], names)
 
     return rows.mapInArrow(run, StructType([*(docs.schema[name] for name in keep), *result.fields]))
