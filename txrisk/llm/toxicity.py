@@ -19,9 +19,10 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
-from txrisk.llm.common import blocks, text_column
+from txrisk.llm.common import blocks, stored, text_column
 
 WORDS = re.compile(r"[^\W\d_]+")
 STEM = 4
@@ -30,8 +31,10 @@ MOST_ROWS = 40_000
 MOST_TOKENS = 50_000
 MOST_WORDS = 500_000
 PRIOR = 0.1
-SIGNIFICANT = 3.5
+MARGIN = 1.0
 EXPECTED = 0.01
+# The log-odds of a token that speaks for neither class: toxic passages hold about one toxic token in fifty.
+ORDINARY = -0.02
 RESULT = "score double, best double, n long, passages array<struct<start:int,end:int,score:double,expected:double>>"
 
 
@@ -141,7 +144,8 @@ def count_tokens(rows: DataFrame) -> DataFrame:
 def sample(docs: DataFrame, labels: DataFrame, training: Column, id_col: str, text_col: str, label_col: str) -> DataFrame:
     """(toxic, part, text): training rows with a label; a fifth has part 0, for calibration.
 
-    An id with several labels counts as toxic if any is. At most `MOST_ROWS` ids of each class are taken.
+    An id with several labels counts as toxic if any is. Of near copies in a class one is taken, so that a word that
+    only they have doesn't count for many. At most `MOST_ROWS` ids of each class are taken.
     """
     known = (labels.filter(training & F.col(label_col).isNotNull() & F.col(id_col).isNotNull())
              .groupBy(F.col(id_col).alias("label_id")).agg(F.max(F.when(F.col(label_col) > 0, 1).otherwise(0)).alias("toxic")))
@@ -150,28 +154,44 @@ def sample(docs: DataFrame, labels: DataFrame, training: Column, id_col: str, te
     ids = taken[0].union(taken[1])
     rows = docs.select(F.col(id_col).alias("id"), text_column(text_col).alias("text"))
     rows = rows.join(F.broadcast(ids), rows["id"] == ids["label_id"])
-    return rows.select("toxic", F.pmod(F.xxhash64(F.lit("part"), "id"), F.lit(5)).cast("int").alias("part"), "text")
+    part = F.pmod(F.xxhash64(F.lit("part"), "id"), F.lit(5)).cast("int")
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for block, texts in blocks(batches, 2):
+            sketches = pa.array([_sketch(text) for text in texts], pa.binary())
+            yield pa.RecordBatch.from_arrays([block.column(0), block.column(1), sketches, pa.array(texts)],
+                                             ["toxic", "part", "sketch", "text"])
+
+    sketched = rows.select("toxic", part.alias("part"), "text").mapInArrow(run, "toxic int, part int, sketch binary, text string")
+    return sketched.dropDuplicates(["toxic", "sketch"]).drop("sketch")
+
+
+def _sketch(text: str) -> bytes:
+    """The least hash of runs of five words: near copies mostly agree in it, other texts never do."""
+    words = text.split()
+    return min(xxhash.xxh64_digest(" ".join(words[i:i + 5])) for i in range(max(1, len(words) - 4)))
 
 
 def fit(docs: DataFrame, labels: DataFrame, training: Column, id_col: str = "doc_id", text_col: str = "text",
         label_col: str = "toxic") -> Model:
     """A model of the labelled rows of `labels` for which `training` holds."""
-    rows = sample(docs, labels, training, id_col, text_col, label_col)
-    counts = count_tokens(rows.filter("part != 0").select("toxic", "text"))
+    rows = stored(sample(docs, labels, training, id_col, text_col, label_col), "toxicity-sample")
+    counts = stored(count_tokens(rows.filter("part != 0").select("toxic", "text")), "toxicity-tokens")
     texts = {1: 0, 0: 0}
     for row in counts.filter("token = ''").collect():
         texts = {1: row["toxic"], 0: row["other"]}
     if not texts[0] or not texts[1]:
-        return Model({}, -0.01, None)
+        return Model({}, ORDINARY, None)
     # Prior counts are a tenth of the rows, dealt out by frequency in both classes together.
     share = PRIOR * (F.col("toxic") + F.col("other")) / (texts[0] + texts[1])
     a, b = F.col("toxic") + share * texts[1], F.col("other") + share * texts[0]
     odds = F.log(a / (texts[1] * (1 + PRIOR) - a)) - F.log(b / (texts[0] * (1 + PRIOR) - b))
     sure = counts.filter("token != ''").select("token", odds.alias("odds"), (odds / F.sqrt(1 / a + 1 / b)).alias("z"))
-    sure = sure.filter(F.col("z") > SIGNIFICANT).orderBy(F.desc("z"), "token").limit(MOST_TOKENS)
+    # Above the largest value that so many tokens without any effect would be expected to reach.
+    bound = math.sqrt(2 * math.log(max(sure.count(), 2))) + MARGIN
+    sure = sure.filter(F.col("z") > bound).orderBy(F.desc("z"), "token").limit(MOST_TOKENS)
     tokens = {row["token"]: row["odds"] for row in sure.collect()}
-    # The log-odds of a token that isn't among them, by the share of toxic tokens that a toxic text would have.
-    model = Model(tokens, -0.02, None)
+    model = Model(tokens, ORDINARY, None)
     scored = score(rows.filter("part = 0").select("toxic", "text"), model, keep=["toxic"])
     positive = F.col("best") > 0
     stats = {row["toxic"]: row for row in scored.groupBy("toxic").agg(
