@@ -311,3 +311,35 @@ def test_lake_files_per_date(spark, tmp_path):
     sinks.write_lake(df, str(tmp_path), files_per_date=2)
     files = [f for f in os.listdir(f"{tmp_path}/event_date=2025-12-29") if f.endswith(".parquet")]
     assert len(files) <= 2
+
+
+def test_one_failing_query_ends_all(spark, tmp_path):
+    """Also of another session than the application's own."""
+    session = jobs.state_session(spark)
+    rows = session.readStream.format("rate").load()
+
+    def start(name, process):
+        return rows.writeStream.foreachBatch(process).option("checkpointLocation", f"{tmp_path}/{name}").start()
+
+    def fail(batch, batch_id):
+        raise RuntimeError("no store")
+
+    queries = [start("good", lambda batch, batch_id: None), start("bad", fail)]
+    with pytest.raises(Exception, match="no store"):
+        jobs.await_any(queries)
+    assert not any(query.isActive for query in queries)
+
+
+def test_a_row_dated_ahead_moves_no_other_accounts_state(spark, tmp_path):
+    from txrisk.streaming.enrichment import EnrichmentStore
+
+    store = EnrichmentStore(f"{tmp_path}/store")
+    now, slot = 1_765_785_600_000_000, 900_000_000
+    tails = spark.createDataFrame([(1, now, "a"), (1, now - slot, "b"), (2, now + 40 * 365 * 86_400 * 1_000_000, "c"), (2, now, "d"),
+                                   (3, now - 1000 * slot, "e"), (3, now, "f")], "account_id int, slot long, tail string")
+    # All of these: an account's own newest, never ahead of the time, counts; of older rows its last stays.
+    assert {r.tail for r in store._trim_tails(tails).collect()} == set("abcdef")
+    ahead = now + 40 * 365 * 86_400 * 1_000_000
+    spans = spark.createDataFrame([(0, now - slot, now), (1, now, ahead), (2, now - 2000 * slot, now - 1000 * slot)],
+                                  "batch_id long, first long, last long")
+    assert {r.batch_id for r in store._trim_spans(spans).collect()} == {0, 1}

@@ -31,7 +31,9 @@ def _messages(spark, args, topic):
 
 def _clean(spark, args):
     if args.servers:
-        return decode.decode_flat(_messages(spark, args, readers.CLEAN_TOPIC), schemas.CLEAN)
+        # What isn't a clean transaction has no id once it is read; it must not be judged.
+        rows = decode.decode_flat(_messages(spark, args, readers.CLEAN_TOPIC), schemas.CLEAN)
+        return rows.filter("tx_id is not null")
     return readers.file_stream(spark, args.input, schemas.CLEAN)
 
 
@@ -148,7 +150,7 @@ def run(spark, args) -> None:
         for query in queries:
             query.awaitTermination()
     else:
-        jobs.await_any(spark)
+        jobs.await_any(queries)
 
 
 if __name__ == "__main__":

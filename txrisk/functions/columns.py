@@ -14,7 +14,8 @@ UNKNOWN_EVENT = "UNKNOWN"
 # not depend on the order in which partitions arrive. A decimal that fits a machine word is as fast
 # as a bigint, and its sums are wider and cannot overflow.
 HUNDREDTHS = "decimal(18,0)"
-MONEY_LIMIT = 1e16
+MONEY_LIMIT = 1e16  # amounts from here on don't fit
+MOST_MONEY = 9_999_999_999_999_998.0
 
 # Text forms. ISO keeps microseconds, unlike the JSON writer's default of milliseconds.
 ISO_MICROS = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
@@ -52,9 +53,20 @@ def no_money() -> Column:
 
 def spent(amount: Column, status: Column) -> Column:
     """What a transaction adds to spend, in hundredths: its amount if it succeeded, else nothing.
-    Values no NUMERIC(18,2) can hold (infinities, say) add nothing."""
-    possible = (status == "SUCCESS") & (F.abs(amount) < MONEY_LIMIT)
-    return F.when(possible, F.floor(amount * 100 + 0.5).cast(HUNDREDTHS)).otherwise(no_money())
+    Larger amounts than a NUMERIC(18,2) holds, which decoding rejects, add the most it holds."""
+    bounded = F.greatest(F.least(amount, F.lit(MOST_MONEY)), F.lit(-MOST_MONEY))
+    counts = (status == "SUCCESS") & amount.isNotNull()
+    return F.when(counts, F.floor(bounded * 100 + 0.5).cast(HUNDREDTHS)).otherwise(no_money())
+
+
+def fits_money(amount: Column) -> Column:
+    """Whether a NUMERIC(18,2) holds the amount; infinities and NaN are too large."""
+    return (amount < MONEY_LIMIT) & (amount > -MONEY_LIMIT)
+
+
+def plausible_time(ts: Column) -> Column:
+    """Whether the time lies in the years 1 to 9999, so that windows around it can be reckoned."""
+    return ts.between(F.lit("0001-01-01").cast("timestamp"), F.lit("9999-12-31").cast("timestamp"))
 
 
 def units(hundredths: Column) -> Column:
@@ -66,8 +78,9 @@ def failed(status: Column) -> Column:
 
 
 def money_text(amount: Column) -> Column:
-    """A two-decimal amount with at least one decimal: 52000.0, 12.3, 12.34."""
-    return F.regexp_replace(amount.cast("decimal(38,2)").cast("string"), "0$", "")
+    """A two-decimal amount with at least one decimal: 52000.0, 12.3, 12.34; as it is if it has no such form."""
+    exact = F.regexp_replace(amount.try_cast("decimal(38,2)").cast("string"), "0$", "")
+    return F.coalesce(exact, amount.cast("string"))
 
 
 def iso_text(ts: Column) -> Column:

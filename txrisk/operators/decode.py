@@ -21,6 +21,8 @@ UNDECODABLE = "UNDECODABLE"
 NO_TX_ID = "NO_TX_ID"
 NO_ACCOUNT = "NO_ACCOUNT"
 NO_AMOUNT = "NO_AMOUNT"
+BAD_AMOUNT = "BAD_AMOUNT"  # more than the source's NUMERIC(18,2) holds
+BAD_TIME = "BAD_TIME"  # outside the years 1 to 9999
 
 
 def _parsed_once(text: Column, schema: StructType) -> Column:
@@ -47,22 +49,22 @@ def decode_envelopes(raw: DataFrame, row: StructType) -> DataFrame:
 
 
 def _normalised(raw: DataFrame, precision: str) -> DataFrame:
-    decoded = decode_envelopes(raw, schemas.TRANSACTION_ROW).select(
-        "value", schemas.CORRUPT, "op", "source", "record.*",
-        C.event_type(F.col("op")).alias("event_type"),
-    )
-    is_delete = F.coalesce(F.col("op") == "d", F.lit(False))
-    return (
-        decoded
-        .withColumn("amount", F.when(~is_delete, F.col("amount").try_cast("double")))
-        .withColumn("event_time", C.micros_to_timestamp(F.col("created_at"), precision))
-        .withColumn("event_date", F.to_date("event_time"))
-        .withColumn("ingest_time", F.current_timestamp())
-        .withColumn("is_deleted", is_delete)
-        .withColumn("cdc_source", F.lit("debezium"))
-        .withColumn("table", F.col("source.table"))
-        .withColumn("lsn", F.col("source.lsn"))
-    )
+    """Every change in clean form, valid or not, with what tells the two apart."""
+    gone = F.coalesce(F.col("op") == "d", F.lit(False))
+    at = C.micros_to_timestamp(F.col("record.created_at"), precision)
+    made = {
+        "amount": F.when(~gone, F.col("record.amount").try_cast("double")),
+        "event_type": C.event_type(F.col("op")),
+        "event_time": at,
+        "event_date": F.to_date(at),
+        "ingest_time": F.current_timestamp(),
+        "is_deleted": gone,
+        "cdc_source": F.lit(schemas.CDC_SOURCE),
+        "table": F.col("source.table"),
+        "lsn": F.col("source.lsn"),
+    }
+    clean = [made.get(name, F.col(f"record.{name}")).alias(name) for name in schemas.CLEAN.names]
+    return decode_envelopes(raw, schemas.TRANSACTION_ROW).select("value", schemas.CORRUPT, "op", *clean)
 
 
 def reject_reason() -> Column:
@@ -72,17 +74,19 @@ def reject_reason() -> Column:
         F.when(c("value").isNull(), NULL_VALUE)
         .when(c(schemas.CORRUPT).isNotNull() & c("op").isNull() & c("tx_id").isNull(), UNDECODABLE)
         .when(c("tx_id").isNull(), NO_TX_ID)
+        .when(~C.plausible_time(c("event_time")), BAD_TIME)
         .when(c("is_deleted"), F.lit(None).cast("string"))
         .when(c("account_id").isNull(), NO_ACCOUNT)
         .when(c("amount").isNull(), NO_AMOUNT)
+        .when(~C.fits_money(c("amount")), BAD_AMOUNT)
     )
 
 
 def clean_transactions(raw: DataFrame, precision: str = "micros") -> DataFrame:
     """Valid transactions in the 18-column clean form."""
-    valid = F.col("tx_id").isNotNull() & (
-        F.col("is_deleted") | (F.col("account_id").isNotNull() & F.col("amount").isNotNull())
-    )
+    complete = F.col("account_id").isNotNull() & C.fits_money(F.col("amount"))
+    timed = F.col("event_time").isNull() | C.plausible_time(F.col("event_time"))
+    valid = F.col("tx_id").isNotNull() & timed & (F.col("is_deleted") | complete)
     return _normalised(raw, precision).filter(valid).select(*schemas.CLEAN.names)
 
 

@@ -49,7 +49,8 @@ def envelope(row: StructType) -> StructType:
     return StructType([StructField("payload", payload, True), StructField(CORRUPT, _S, True)])
 
 
-# --- fixed values: output columns in order -----------------------------------------------------
+# --- fixed values: output columns in order, and the name of the source in `cdc_source` ----------
+CDC_SOURCE = "debezium"
 CLEAN = struct_of(
     tx_id=_L, account_id=_I, amount=DoubleType(), currency=_S, tx_type=_S, merchant=_S,
     device_id=_S, ip_address=_S, location=_S, status=_S,

@@ -38,13 +38,15 @@ def use_utc(spark: SparkSession) -> SparkSession:
 def shared_dir(spark: SparkSession, name: str) -> str:
     """A fresh folder under the cluster's shared checkpoint folder.
 
-    `spark.checkpoint.dir` names a folder all executors can reach. Only where the session has none
-    (local tests) is a temporary one made and set.
+    `spark.checkpoint.dir` names a folder all executors can reach. Where the session has none, a
+    temporary one is made and set in local mode; on a cluster that is an error.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
         base = spark.sparkContext.getCheckpointDir()
     if not base:
+        if not spark.sparkContext.master.split("[")[0] == "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors can reach")
         base = tempfile.mkdtemp(prefix="txrisk-")
         spark.sparkContext.setCheckpointDir(base)
     return os.path.join(base, f"{name}-{uuid.uuid4().hex}")

@@ -21,7 +21,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from txrisk.operators import enrich
 from txrisk.operators.behavior import DEFAULT, Windows, slot_tails
-from txrisk.operators.slots import MICROS, slot_start
+from txrisk.operators.slots import MICROS, now_micros, slot_start
 from txrisk.sources import sinks
 from txrisk.sources.state import BatchTable, KeyedState
 
@@ -30,7 +30,7 @@ class EnrichmentStore:
     """What enrichment keeps between micro-batches, under one folder.
 
     `keep_slots` is for how many slots of event time (or spend windows, if those are longer),
-    counted back from the newest, transactions and the last one per (account, slot) are kept. Of older ones only each account's last is: a
+    counted back from an account's newest (rows: from the newest of all, or from now if that is earlier), transactions and the last one per (account, slot) are kept. Of older ones only each account's last is: a
     row that arrives later than that lacks earlier rows in its windows, and finds no previous
     location of before its own time.
     """
@@ -57,22 +57,27 @@ class EnrichmentStore:
         )
 
     def _trim_tails(self, tails: DataFrame) -> DataFrame:
-        newest = tails.agg(F.max("slot")).first()[0]
-        if newest is None:
-            return tails
-        recent = F.col("slot") >= newest - self.keep
-        rest = [c for c in tails.columns if c != "account_id"]
+        # By account, and never ahead of the time: no row moves what is kept of other accounts.
+        newest = tails.groupBy("account_id").agg(
+            F.least(F.max("slot"), F.lit(now_micros())).alias("_newest")
+        )
+        columns = tails.columns
+        tails = tails.join(newest, "account_id")
+        recent = F.col("slot") >= F.col("_newest") - self.keep
+        rest = [c for c in columns if c != "account_id"]
         last = (
             tails.filter(~recent).groupBy("account_id")
             .agg(F.max_by(F.struct(*rest), "slot").alias("last"))
             .select("account_id", "last.*")
         )
-        return tails.filter(recent).unionByName(last)
+        return tails.filter(recent).select(columns).unionByName(last.select(columns))
 
     def _trim_spans(self, spans: DataFrame) -> DataFrame:
-        newest = spans.agg(F.max("last")).first()[0]
+        # A batch counts by its first event, so that a row dated ahead doesn't age the other batches.
+        newest = spans.agg(F.max("first")).first()[0]
         if newest is None:
             return spans
+        newest = min(newest, now_micros())
         return spans.filter(F.col("last") >= newest - self.keep - 2 * self.stretch * MICROS)
 
     def fold(self, spark: SparkSession, batch_id: int) -> None:

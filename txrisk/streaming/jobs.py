@@ -12,19 +12,20 @@ from txrisk import schemas
 from txrisk.functions import columns as C
 from txrisk.operators import behavior, decode, dims, rules
 from txrisk.operators.behavior import DEFAULT, Windows
-from txrisk.operators.slots import MICROS
+from txrisk.operators.slots import MICROS, now_micros
 from txrisk.sources import sinks
 from txrisk.sources.state import KeyedState
 
 
-def state_session(spark: SparkSession) -> SparkSession:
-    """A session for aggregating streams. The number of state partitions is fixed by a stream's
-    first run, so it is taken from the cores at hand, up to the session's own setting."""
+def state_session(spark: SparkSession, partitions: int | None = None) -> SparkSession:
+    """A session for aggregating streams. A stream's first run fixes its number of state
+    partitions: `partitions`, or else the session's own setting."""
     session = spark.newSession()
     session.conf.set("spark.sql.session.timeZone", "UTC")
-    limit = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    partitions = max(1, min(limit, spark.sparkContext.defaultParallelism))
-    session.conf.set("spark.sql.shuffle.partitions", partitions)
+    session.conf.set(
+        "spark.sql.shuffle.partitions",
+        partitions or int(spark.conf.get("spark.sql.shuffle.partitions")),
+    )
     return session
 
 
@@ -114,11 +115,13 @@ def start_dimension(
 
 def window_table(path: str, keep: int | None = None, **options) -> KeyedState:
     """Windowed counters by account and window; a later micro-batch replaces earlier values.
-    Snapshots leave out windows that started more than `keep` seconds before the newest."""
+    Snapshots leave out windows that started more than `keep` seconds before the newest, a
+    window of the future counting as one of now."""
 
     def recent(rows: DataFrame) -> DataFrame:
         start = F.unix_micros("window_start")
         newest = rows.agg(F.max(start)).first()[0]
+        newest = newest if newest is None else min(newest, now_micros())
         return rows if newest is None else rows.filter(start >= newest - keep * MICROS)
 
     trim = recent if keep else None
@@ -188,8 +191,16 @@ def judge_topic(
     return rules.verdicts(rows, limit), dead
 
 
-def await_any(spark: SparkSession) -> None:
-    """Run until one of the application's queries ends, then stop the others."""
-    spark.streams.awaitAnyTermination()
-    for query in spark.streams.active:
-        query.stop()
+def await_any(queries: list[StreamingQuery], seconds: float = 1.0) -> None:
+    """Run until one of the queries ends, whichever session it is of, then stop the others. If it
+    failed, its error is raised."""
+    try:
+        while all(query.isActive for query in queries):
+            queries[0].awaitTermination(seconds)
+        for query in queries:
+            if not query.isActive:
+                query.awaitTermination()
+    finally:
+        for query in queries:
+            if query.isActive:
+                query.stop()
