@@ -5,7 +5,7 @@ from __future__ import annotations
 import hashlib
 import re
 import zlib
-from collections import Counter, defaultdict
+from collections import defaultdict
 
 import xxhash
 
@@ -43,8 +43,8 @@ def fingerprint(text: str) -> int:
     return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
 
 
-def components(prints: dict[int, list], within: int = 2) -> dict[int, int]:
-    """The least id that each fingerprint reaches, by comparing all pairs."""
+def roots(prints: dict[int, list], within: int = 2) -> dict[int, int]:
+    """A fingerprint for each that it reaches, by comparing all pairs."""
     keys = sorted(prints)
     parent = {k: k for k in keys}
 
@@ -58,10 +58,15 @@ def components(prints: dict[int, list], within: int = 2) -> dict[int, int]:
         for b in keys[i + 1:]:
             if (a ^ b).bit_count() <= within:
                 parent[root(a)] = root(b)
-    least = defaultdict(list)
-    for k in keys:
-        least[root(k)] += prints[k]
-    return {k: min(least[root(k)]) for k in keys}
+    return {k: root(k) for k in keys}
+
+
+def components(prints: dict[int, list], within: int = 2) -> dict[int, int]:
+    """The least id that each fingerprint reaches."""
+    root, ids = roots(prints, within), defaultdict(list)
+    for k in prints:
+        ids[root[k]] += prints[k]
+    return {k: min(ids[root[k]]) for k in prints}
 
 
 def edited(texts: dict) -> dict:
@@ -72,7 +77,3 @@ def edited(texts: dict) -> dict:
         text, k = texts[here], len(texts[here]) // 3
         result[here] = text[:len(text) - k] + texts[there][:k]
     return result
-
-
-def majority(items) -> Counter:
-    return Counter(items)

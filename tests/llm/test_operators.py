@@ -284,7 +284,8 @@ def test_near_duplicates(spark, docs, rows, empty):
         assert r["component"] == (None if least == math.inf else least)
     kept = simhash.keep_representatives(docs)
     assert kept.columns == docs.columns
-    assert len({(r["doc_id"], r["text"]) for r in kept.collect()}) == len(set(want.values()))
+    # A row that is repeated whole is kept whole; other than that there is one row a group.
+    assert len({(r["doc_id"], r["text"]) for r in kept.collect()}) == len(set(brute.roots(prints).values()))
     assert simhash.near_duplicates(empty).count() == 0
 
 
