@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import io
 import math
 import os
@@ -282,13 +283,78 @@ def test_near_duplicates(spark, docs, rows, empty):
     for r in found:
         least = want[r["fingerprint"] & ((1 << 64) - 1)]
         assert r["component"] == (None if least == math.inf else least)
-    kept = simhash.keep_representatives(docs)
+    kept = simhash.keep_representatives(docs, simhash.near_duplicates(docs))
     assert kept.columns == docs.columns
     # A row that is repeated whole is kept whole; other than that there is one row a group.
     assert len({(r["doc_id"], r["text"]) for r in kept.collect()}) == len(set(brute.roots(prints).values()))
     assert simhash.near_duplicates(empty).count() == 0
 
 
+def edited_at(rng, words, k):
+    words = list(words)
+    for i in rng.sample(range(len(words)), k):
+        words[i] = f"z{rng.randint(0, 999)}"
+    return words
+
+
+@pytest.mark.parametrize("crowded", [1, 16])
+def test_similar_texts(spark, docs, rows, empty, crowded):
+    rng = random.Random(8)
+    words = [f"w{i}" for i in range(300)]
+    found = [(i, text) for i, text, *_ in rows]
+    base = [rng.choice(words) for _ in range(150)]
+    found += [(1000 + k, " ".join(edited_at(rng, base, rng.randint(1, 2)))) for k in range(60)]
+    for k in range(40):
+        one = [rng.choice(words) for _ in range(rng.randint(80, 200))]
+        found += [(2000 + 3 * k + i, " ".join(edited_at(rng, one, edits))) for i, edits in enumerate((0, 1, 12))]
+    df = spark.createDataFrame(found, "doc_id long, text string").repartition(3)
+    got = simhash.similar_texts(df, crowded=crowded).collect()
+    assert len(got) == len(found)
+    component = {r["id"]: r["component"] for r in got if r["id"] is not None}
+    sets = {i: brute.shingles(text or "") for i, text in found if i is not None and i >= 1000}
+    missed = 0
+    for i, a in sets.items():
+        shares = {j: brute.share(a, b) for j, b in sets.items() if j != i}
+        assert all(component[i] == component[j] for j, share in shares.items() if share >= 0.93)
+        missed += any(component[i] != component[j] for j, share in shares.items() if share >= 0.8)
+        assert component[i] == i or any(component[i] == component[j] and share >= 0.8 for j, share in shares.items())
+    assert missed <= 0.1 * len(sets)
+    assert {component[i] for i in range(1000, 1060)} == {1000}
+    # Texts without words are one group, and so are equal texts.
+    assert len({component[i] for i, text in found if i is not None and i < 1000 and not (text or "").strip()}) == 1
+    assert len(simhash.keep_representatives(docs, simhash.similar_texts(docs)).columns) == len(docs.columns)
+    assert simhash.similar_texts(empty).count() == 0
+
+
+def test_pipeline(spark, tmp_path):
+    import corpus_pipeline
+
+    rng = random.Random(9)
+    words = {"en": [f"th{a}ck{b}" for a in "aeiou" for b in "lmnrst"], "de": [f"sch{a}zw{b}" for a in "äöüei" for b in "gkpfdn"]}
+    texts = {i: " ".join(rng.choice(words["en" if i % 2 else "de"]) for _ in range(100 + i)) for i in range(120)}
+    data = [(i, text, "en" if i % 2 else "de", "ab"[i % 3 == 0]) for i, text in texts.items()]
+    data += [(200 + i, texts[i], "en" if i % 2 else "de", "a") for i in range(10)]  # exact copies; these stay
+    data += [(300 + i, texts[i] + " end", "en" if i % 2 else "de", None) for i in range(20, 30)]  # near copies; these go
+    data += [(400, None, "en", "a"), (401, "12 34", None, "b"), (402, "", "de", None)]  # no language
+    schema = "doc_id long, text string, lang string, source string"
+    folder = str(tmp_path)
+    spark.createDataFrame(data, schema).withColumn("n_chars", F.length("text")).write.parquet(f"{folder}/documents.parquet")
+    got = {r["doc_id"]: r for r in corpus_pipeline.run(spark, folder).collect()}
+    want = {**{i: text for i, text in texts.items() if i >= 10}, **{200 + i: texts[i] for i in range(10)}}
+    assert set(got) == set(want)
+    library = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
+    library.no_truncation()
+    for i, text in want.items():
+        ids = library.encode(text, add_special_tokens=False).ids
+        decoded = library.decode(ids, skip_special_tokens=False)
+        assert got[i]["n_tokens"] == len(ids)
+        assert got[i]["ids_sha256"] == hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest()
+        assert got[i]["decoded_sha256"] == hashlib.sha256(decoded.encode()).hexdigest()
+    blank = str(tmp_path / "blank")
+    spark.createDataFrame([], schema + ", n_chars int").write.parquet(f"{blank}/documents.parquet")
+    assert corpus_pipeline.run(spark, blank).count() == 0
+
+
 def test_segments_match_the_definition():
     rng = random.Random(4)
     for _ in range(200):

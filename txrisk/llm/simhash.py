@@ -9,11 +9,17 @@ Segment values that more than `crowded` distinct fingerprints share (large group
 would give as many pairs as the square of the group. Fingerprints that meet such a value are linked
 without pairs: two fingerprints are within two bits exactly when some value is within one bit of
 both, so each joins the groups of the 65 values around it, and a group's members link to its least.
+
+`similar_texts` is the same search for texts that share four fifths of their five-word shingles. Such texts
+differ in about 15 of 100 bits, so fingerprints have 384 bits of distinct shingles, and 18 segments of 24 bits are looked up
+within one bit. At 40 differing bits or fewer they link; up to 76, the share of common shingles decides, where
+the texts aren't in one component yet. Where more than `SIMILAR_CROWDED` fingerprints share a segment value
+they are compared with three of them first, and then only with those that are still in another component.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from itertools import repeat
 
 import numpy as np
@@ -29,6 +35,16 @@ SEGMENT_BITS = 32
 CROWDED = 64
 SHINGLES_AT_ONCE = 1 << 16
 
+# For texts that share four fifths of their shingles: 64-bit words of a fingerprint, bits at which a word's segments start.
+SIMILAR_WORDS = 5
+SIMILAR_LONGS = 6
+SIMILAR_STARTS = (0, 20, 40)
+SIMILAR_SEGMENT = 24
+SIMILAR_BITS = 76
+SURE_BITS = 40
+SIMILAR_SHARE = 0.8
+SIMILAR_CROWDED = 16
+
 
 def fingerprint(text: str, shingle_words: int = 3) -> int:
     """64-bit SimHash, signed; of words without case A-Z, each shingle as often as it occurs."""
@@ -130,6 +146,162 @@ def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
     raise RuntimeError(f"components not found within {most_rounds} rounds")
 
 
+def shingle_hashes(text: str, shingle_words: int = SIMILAR_WORDS) -> np.ndarray:
+    """The distinct shingles' hashes; none for a text without words."""
+    words = text.encode().lower().split()
+    if not words:
+        return np.zeros(0, np.uint64)
+    joined = b" ".join(words)
+    ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1) - 1
+    starts = np.concatenate([[0], ends[:-1] + 1])
+    ends = ends[shingle_words - 1:] if len(words) > shingle_words else ends[-1:]
+    parts = []
+    for at in range(0, len(ends), SHINGLES_AT_ONCE):
+        part = slice(at, at + SHINGLES_AT_ONCE)
+        shingles = map(joined.__getitem__, map(slice, starts[part].tolist(), ends[part].tolist()))
+        parts.append(np.frombuffer(b"".join(map(xxhash.xxh64_digest, shingles, repeat(SEED))), ">u8").astype(np.uint64))
+    return np.unique(np.concatenate(parts))
+
+
+def wide_fingerprint(text: str, shingle_words: int = SIMILAR_WORDS) -> list[int]:
+    """SimHash of `SIMILAR_LONGS` signed 64-bit words; each distinct shingle counts once."""
+    hashes = shingle_hashes(text, shingle_words)
+    counts = np.zeros(64 * SIMILAR_LONGS, np.int64)
+    for at in range(0, len(hashes), SHINGLES_AT_ONCE):
+        counts += _set_bits(hashes[at:at + SHINGLES_AT_ONCE])
+    return np.packbits(counts * 2 > len(hashes)).view(">i8").tolist()
+
+
+def _set_bits(hashes: np.ndarray) -> np.ndarray:
+    """How many of the hashes have each bit set, of `SIMILAR_LONGS` words mixed from each."""
+    # 255 rows at most are added up in bytes.
+    padded = -(-len(hashes) // 255) * 255
+    bits = np.zeros((padded, 64 * SIMILAR_LONGS), np.uint8)
+    for i in range(SIMILAR_LONGS):
+        mixed = hashes + np.uint64((0x9E3779B97F4A7C15 * (i + 1)) % (1 << 64))
+        mixed = (mixed ^ (mixed >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+        mixed = (mixed ^ (mixed >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+        mixed ^= mixed >> np.uint64(31)
+        bits[:len(hashes), 64 * i:64 * (i + 1)] = np.unpackbits(mixed.astype(">u8").view(np.uint8)).reshape(-1, 64)
+    return bits.reshape(-1, 255, 64 * SIMILAR_LONGS).sum(axis=1, dtype=np.uint8).sum(axis=0, dtype=np.int64)
+
+
+def _of_texts(rows: DataFrame, name: str, value) -> DataFrame:
+    """`rows` with `value(text)`, an array of longs, in a column `name` in place of their last column, the text."""
+    kept = len(rows.columns) - 1
+    names = [*rows.columns[:kept], name]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for block, texts in blocks(batches, kept):
+            values = pa.array([value(text) for text in texts], pa.list_(pa.int64()))
+            yield pa.RecordBatch.from_arrays([*block.columns[:kept], values], names)
+
+    return rows.mapInArrow(run, ", ".join(f"{name} long" for name in names[:kept]) + f", {name} array<long>")
+
+
+def _within(pairs: DataFrame, prints: DataFrame) -> DataFrame:
+    """(a, b, apart) of the pairs of nodes whose fingerprints are near enough, by their complete distance."""
+    one, other = (prints.select(F.col("node").alias(name), F.col("fingerprint").alias(f"of_{name}")) for name in "ab")
+    apart = F.lit(0)
+    for i in range(SIMILAR_LONGS):
+        apart = apart + F.bit_count(F.get("of_a", F.lit(i)).bitwiseXOR(F.get("of_b", F.lit(i))))
+    once = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    return (once.join(one, "a").join(other, "b").select("a", "b", apart.alias("apart"))
+            .filter(F.col("apart") <= SIMILAR_BITS))
+
+
+def _alike(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, shingle_words: int) -> DataFrame:
+    """The (a, b) pairs whose texts share `SIMILAR_SHARE` of their shingles; only texts in pairs are read out."""
+    pairs = stored(pairs.select("a", "b"), "similar-unsure")
+    asked = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(nodes, "node")
+    wanted = asked.select("node", F.col("id").alias("of_id"), F.col("digest").alias("of_digest"))
+    texts = docs.join(wanted, F.col("id").eqNullSafe(F.col("of_id")) & (F.col("digest") == F.col("of_digest"))).select("node", "text")
+    sets = _of_texts(texts, "shingles", lambda text: shingle_hashes(text, shingle_words).view(np.int64))
+    sets = stored(sets.groupBy("node").agg(F.first("shingles").alias("shingles")), "similar-shingles")
+    one, other = (sets.select(F.col("node").alias(name), F.col("shingles").alias(f"of_{name}")) for name in "ab")
+    common = F.size(F.array_intersect("of_a", "of_b"))
+    return pairs.join(one, "a").join(other, "b").filter(
+        common >= SIMILAR_SHARE * (F.size("of_a") + F.size("of_b") - common)).select("a", "b")
+
+
+def _rooted(nodes: DataFrame, edges: DataFrame, node: str, root: str) -> DataFrame:
+    """`nodes` with the root of each one's component in a column; a node without links is its own."""
+    roots = edges.select(F.col("node").alias(node), F.col("root").alias(root))
+    return nodes.join(roots, node, "left").withColumn(root, F.coalesce(root, node))
+
+
+def similar_components(prints: DataFrame, alike: Callable[[DataFrame], DataFrame], crowded: int = SIMILAR_CROWDED) -> DataFrame:
+    """(node, root) of all nodes that have links, over the distinct (node, fingerprint).
+
+    `alike` takes pairs (a, b) of nodes and gives those that link.
+    """
+    keys = []
+    for i in range(SIMILAR_LONGS):
+        for j, start in enumerate(SIMILAR_STARTS):
+            value = F.shiftrightunsigned(F.get("fingerprint", F.lit(i)), start).bitwiseAND(F.lit((1 << SIMILAR_SEGMENT) - 1))
+            keys.append(value + F.lit((i * len(SIMILAR_STARTS) + j) << SIMILAR_SEGMENT))
+    table = prints.select(F.col("node").alias("b"), F.explode(F.array(*keys)).alias("key"))
+    full = stored(table.groupBy("key").count().filter(F.col("count") > crowded).select("key"), "similar-crowded")
+
+    # Of two values one bit apart only the one with the bit set asks for the other.
+    bits = F.array(*(F.lit(1 << bit).cast("long") for bit in range(SIMILAR_SEGMENT)))
+    cleared = F.transform(F.filter(bits, lambda bit: F.col("own").bitwiseAND(bit) != 0), lambda bit: F.col("own") - bit)
+    asked = table.select(F.col("b").alias("a"), F.col("key").alias("own")).select(
+        "a", "own", F.explode(F.concat(F.array("own"), cleared)).alias("key"))
+    once = (F.col("own") != F.col("key")) | (F.col("a") < F.col("b"))
+    sparse = table.join(full, "key", "left_anti")
+    pairs = asked.join(sparse, "key").filter(once & (F.col("a") != F.col("b"))).select("a", "b")
+
+    owners = stored(table.join(full, "key", "left_semi"), "similar-owners")
+    leaders = owners.groupBy("key").agg(F.array_distinct(F.array(
+        F.min("b"), F.max("b"), F.min_by("b", F.xxhash64("b")))).alias("leaders"))
+    led = owners.join(leaders, "key").select(F.col("b").alias("a"), F.explode("leaders").alias("b")).filter("a != b")
+    near = stored(_within(pairs.union(led), prints), "similar-near")
+    sure = near.filter(F.col("apart") <= SURE_BITS).select("a", "b")
+    roots = components(sure)
+    unsure = _rooted(_rooted(near.filter(F.col("apart") > SURE_BITS), roots, "a", "root_a"), roots, "b", "root_b")
+    edges = stored(sure.union(alike(unsure.filter("root_a != root_b"))), "similar-links")
+    roots = components(edges)
+
+    # What is left at crowded values: askers and owners of different components, of which one isn't the value's largest.
+    rooted = _rooted(owners, roots, "b", "root_b")
+    largest = (rooted.groupBy("key", "root_b").count().groupBy("key")
+               .agg(F.max_by("root_b", F.struct("count", "root_b")).alias("largest")))
+    rooted = stored(rooted.join(largest, "key"), "similar-rooted")
+    askers = _rooted(asked.join(full, "key", "left_semi").select("a", "key"), roots, "a", "root_a")
+    minor = rooted.filter("root_b != largest").select("key", "b", "root_b")
+    main = rooted.filter("root_b = largest").select("key", "b", "root_b")
+    outside = askers.join(largest, "key").filter("root_a != largest").select("key", "a", "root_a")
+    rest = (askers.join(minor, "key").filter("root_a != root_b").select("a", "b")
+            .union(outside.join(main, "key").select("a", "b")))
+    left = stored(_within(rest, prints), "similar-rest")
+    more = stored(alike(left), "similar-more")
+    return roots if more.isEmpty() else components(edges.union(more))
+
+
+def similar_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle_words: int = SIMILAR_WORDS,
+                  crowded: int = SIMILAR_CROWDED) -> DataFrame:
+    """(id, digest, component, representative): as `near_duplicates`, for texts that share four fifths of their shingles.
+
+    Texts without words are similar to each other.
+    """
+    docs = docs.select(F.col(id_col).cast("long").alias("id"), F.xxhash64(text_column(text_col)).alias("digest"),
+                       text_column(text_col).alias("text"))
+    rows = stored(_of_texts(docs, "fingerprint", lambda text: wide_fingerprint(text, shingle_words)), "similar")
+    first = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "digest"))
+    prints = rows.groupBy("fingerprint").agg(first.alias("first"))
+    prints = stored(prints.withColumn("node", F.monotonically_increasing_id()), "similar-distinct")
+    nodes = prints.select("node", "first.id", "first.digest")
+    roots = similar_components(prints.select("node", "fingerprint"),
+                               lambda pairs: _alike(pairs, docs, nodes, shingle_words), crowded)
+    rooted = _rooted(prints.withColumnRenamed("node", "of"), roots, "of", "root")
+    firsts = rooted.groupBy("root").agg(F.min("first").alias("first"))
+    found = rooted.drop("first").join(firsts, "root").select("fingerprint", "first")
+    return rows.join(found, "fingerprint").select(
+        "id", "digest", F.col("first.id").alias("component"),
+        (F.col("id").eqNullSafe(F.col("first.id")) & (F.col("digest") == F.col("first.digest"))).alias("representative"))
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle_words: int = 3,
                     crowded: int = CROWDED) -> DataFrame:
     """(id, digest, fingerprint, component, representative): one row for each row of `docs`.
@@ -153,10 +325,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         (F.col("id").eqNullSafe(F.col("first.id")) & (F.col("digest") == F.col("first.digest"))).alias("representative"))
 
 
-def keep_representatives(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                         shingle_words: int = 3) -> DataFrame:
-    """`docs` without the rows that another row of their group stands for."""
-    found = near_duplicates(docs, id_col, text_col, shingle_words)
+def keep_representatives(docs: DataFrame, found: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """`docs` without the rows that, by `found`, another row of their group stands for."""
     id_, digest = own_name(docs, "gone_id"), own_name(docs, "gone_digest")
     gone = found.filter(~F.col("representative")).select(F.col("id").alias(id_), F.col("digest").alias(digest)).distinct()
     same = (F.xxhash64(text_column(text_col)) == F.col(digest)) & F.col(id_col).cast("long").eqNullSafe(F.col(id_))
