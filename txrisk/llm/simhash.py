@@ -45,6 +45,10 @@ SURE_BITS = 40
 SIMILAR_SHARE = 0.8
 SIMILAR_CROWDED = 16
 
+# Shingle hashes: an odd base, its inverse modulo 2 to the 64, and a value for each byte.
+BASE = 0x9E3779B97F4A7C15
+INVERSE = pow(BASE, -1, 1 << 64)
+
 
 def fingerprint(text: str, shingle_words: int = 3) -> int:
     """64-bit SimHash, signed; of words without case A-Z, each shingle as often as it occurs."""
@@ -147,20 +151,46 @@ def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
 
 
 def shingle_hashes(text: str, shingle_words: int = SIMILAR_WORDS) -> np.ndarray:
-    """The distinct shingles' hashes; none for a text without words."""
-    words = text.encode().lower().split()
-    if not words:
+    """The distinct shingles' hashes; none for a text without words.
+
+    A shingle's hash is a polynomial of its bytes, from sums over the text so far, mixed; words are joined by one space.
+    """
+    joined = b" ".join(text.encode().lower().split())
+    if not joined:
         return np.zeros(0, np.uint64)
-    joined = b" ".join(words)
-    ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1) - 1
-    starts = np.concatenate([[0], ends[:-1] + 1])
-    ends = ends[shingle_words - 1:] if len(words) > shingle_words else ends[-1:]
+    content = np.frombuffer(joined, np.uint8)
+    ends = np.append(np.flatnonzero(content == ord(" ")), len(content))
+    starts = np.append(0, ends[:-1] + 1)
+    ends = ends[shingle_words - 1:] if len(ends) > shingle_words else ends[-1:]
     parts = []
     for at in range(0, len(ends), SHINGLES_AT_ONCE):
-        part = slice(at, at + SHINGLES_AT_ONCE)
-        shingles = map(joined.__getitem__, map(slice, starts[part].tolist(), ends[part].tolist()))
-        parts.append(np.frombuffer(b"".join(map(xxhash.xxh64_digest, shingles, repeat(SEED))), ">u8").astype(np.uint64))
-    return np.unique(np.concatenate(parts))
+        last = ends[at:at + SHINGLES_AT_ONCE]
+        first = starts[at:at + len(last)]
+        origin = first[0]
+        part = BYTE_VALUES[content[origin:last[-1]]]
+        sums = np.zeros(len(part) + 1, np.uint64)
+        np.cumsum(part * _powers(BASE, len(part)), out=sums[1:])
+        shingles = (sums[last - origin] - sums[first - origin]) * _powers(INVERSE, len(part))[first - origin]
+        parts.append(_mixed(shingles))
+    hashes = np.sort(np.concatenate(parts))
+    return hashes[np.append(True, hashes[1:] != hashes[:-1])]
+
+
+def _powers(base: int, count: int) -> np.ndarray:
+    """The first powers of a base, modulo 2 to the 64."""
+    powers = np.full(count, base, np.uint64)
+    powers[:1] = 1
+    return np.cumprod(powers)
+
+
+def _mixed(values: np.ndarray) -> np.ndarray:
+    """64-bit values of which each bit depends on all bits of the given ones, one to one."""
+    mixed = (values ^ (values >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    mixed = (mixed ^ (mixed >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return mixed ^ (mixed >> np.uint64(31))
+
+
+BYTE_VALUES = _mixed(np.arange(1, 257, dtype=np.uint64) * np.uint64(BASE))
 
 
 def wide_fingerprint(text: str, shingle_words: int = SIMILAR_WORDS) -> list[int]:
@@ -178,10 +208,7 @@ def _set_bits(hashes: np.ndarray) -> np.ndarray:
     padded = -(-len(hashes) // 255) * 255
     bits = np.zeros((padded, 64 * SIMILAR_LONGS), np.uint8)
     for i in range(SIMILAR_LONGS):
-        mixed = hashes + np.uint64((0x9E3779B97F4A7C15 * (i + 1)) % (1 << 64))
-        mixed = (mixed ^ (mixed >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-        mixed = (mixed ^ (mixed >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-        mixed ^= mixed >> np.uint64(31)
+        mixed = _mixed(hashes + np.uint64((0x9E3779B97F4A7C15 * (i + 1)) % (1 << 64)))
         bits[:len(hashes), 64 * i:64 * (i + 1)] = np.unpackbits(mixed.astype(">u8").view(np.uint8)).reshape(-1, 64)
     return bits.reshape(-1, 255, 64 * SIMILAR_LONGS).sum(axis=1, dtype=np.uint8).sum(axis=0, dtype=np.int64)
 
@@ -247,8 +274,9 @@ def similar_components(prints: DataFrame, alike: Callable[[DataFrame], DataFrame
     bits = F.array(*(F.lit(1 << bit).cast("long") for bit in range(SIMILAR_SEGMENT)))
     cleared = F.transform(F.filter(bits, lambda bit: F.col("own").bitwiseAND(bit) != 0), lambda bit: F.col("own") - bit)
     asked = table.select(F.col("b").alias("a"), F.col("key").alias("own")).select(
-        "a", "own", F.explode(F.concat(F.array("own"), cleared)).alias("key"))
-    once = (F.col("own") != F.col("key")) | (F.col("a") < F.col("b"))
+        "a", F.posexplode(F.concat(F.array("own"), cleared)).alias("place", "key")).select(
+        "a", "key", (F.col("place") > 0).alias("other"))
+    once = F.col("other") | (F.col("a") < F.col("b"))
     sparse = table.join(full, "key", "left_anti")
     pairs = asked.join(sparse, "key").filter(once & (F.col("a") != F.col("b"))).select("a", "b")
 
