@@ -276,8 +276,9 @@ def test_window_table_forgets_old_windows(spark, tmp_path):
     assert sorted(r.cnt_1m for r in table.read(spark).collect()) == [1, 2, 3]
 
 
-def test_keyed_state_reads_as_of_a_batch(spark, tmp_path):
-    state = KeyedState(str(tmp_path), ["k"], ["v"], fold_every=2, keep_log=False)
+@pytest.mark.parametrize("keep_log, changes", [(False, [4, 5, 6]), (True, list(range(7)))])
+def test_keyed_state_reads_as_of_a_batch(spark, tmp_path, keep_log, changes):
+    state = KeyedState(str(tmp_path), ["k"], ["v"], fold_every=2, keep_log=keep_log)
     assert state.read(spark) is None
     for i in range(7):
         state.fold(spark, i)
@@ -286,7 +287,8 @@ def test_keyed_state_reads_as_of_a_batch(spark, tmp_path):
         n = 7 if before is None else before
         rows = {r.k: r.v for r in state.read(spark, before).collect()}
         assert rows == {i % 2: max(j for j in range(n) if j % 2 == i % 2) for i in range(2)} | {9: 0}
-    assert state.snapshots.ids(spark) == [4, 6] and state.changes.ids(spark) == [4, 5, 6]
+    assert state.snapshots.ids(spark) == [4, 6] and state.changes.ids(spark) == changes
+    assert state.changes.ids(spark, since=5) == [5, 6]
 
 
 def test_judged_topic(spark):

@@ -31,15 +31,16 @@ class BatchTable:
         where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
         return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), where
 
-    def ids(self, spark: SparkSession) -> list[int]:
-        """Batches that were written completely: Spark's committer marks them."""
+    def ids(self, spark: SparkSession, since: int | None = None) -> list[int]:
+        """Batches that were written completely, from `since` on: Spark's committer marks them."""
         files, root = self._files(spark, self.path)
         if not files.exists(root):
             return []
         names = (status.getPath().getName() for status in files.listStatus(root))
         ids = [int(n.split("=", 1)[1]) for n in names if n.startswith(f"{self.part}=")]
         return sorted(
-            i for i in ids if files.exists(self._files(spark, f"{self._folder(i)}/_SUCCESS")[1])
+            i for i in ids if (since is None or i >= since)
+            and files.exists(self._files(spark, f"{self._folder(i)}/_SUCCESS")[1])
         )
 
     def drop_before(self, spark: SparkSession, batch_id: int) -> None:
@@ -65,8 +66,8 @@ class KeyedState:
     snapshot and at most that many change sets. `trim` may drop rows from a snapshot. Snapshots
     are named by the first batch they leave out.
 
-    The log is kept for audit unless `keep_log` is off; then what the snapshot before last made
-    superfluous is removed.
+    Of the snapshots the last two are kept. The log is kept for audit unless `keep_log` is off; then
+    what the snapshot before last made superfluous is removed. Reads pass over what is older.
     """
 
     def __init__(
@@ -91,8 +92,7 @@ class KeyedState:
         snapshots = [i for i in self.snapshots.ids(spark) if before is None or i <= before]
         start = max(snapshots, default=None)
         changes = [
-            i for i in self.changes.ids(spark)
-            if (start is None or i >= start) and (before is None or i < before)
+            i for i in self.changes.ids(spark, since=start) if before is None or i < before
         ]
         return start, changes
 
@@ -140,8 +140,9 @@ class KeyedState:
             return False
         rows = self._merged(spark, start, changes)
         self.snapshots.write(self.trim(rows) if self.trim else rows, before)
-        if start is not None and not self.keep_log:
+        if start is not None:
             # A reader may still be using the previous snapshot and the changes after it.
             self.snapshots.drop_before(spark, start)
-            self.changes.drop_before(spark, start)
+            if not self.keep_log:
+                self.changes.drop_before(spark, start)
         return True
