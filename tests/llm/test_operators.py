@@ -326,6 +326,35 @@ def test_similar_texts(spark, docs, rows, empty, crowded):
     assert simhash.similar_texts(empty).count() == 0
 
 
+def pair_at(rng, least, most):
+    """A text and an edited one that share that much of their shingles."""
+    while True:
+        base = [f"w{rng.randrange(5000)}" for _ in range(rng.randint(100, 300))]
+        other, share = list(base), 1.0
+        while share >= most:
+            other[rng.randrange(len(other))] = f"w{rng.randrange(5000)}"
+            share = brute.share(brute.shingles(" ".join(base)), brute.shingles(" ".join(other)))
+        if share >= least:
+            return " ".join(base), " ".join(other)
+
+
+@pytest.mark.parametrize("least, most, part", [(0.8, 0.82, 0.97), (0.82, 0.85, 0.98), (0.85, 0.9, 0.99)])
+def test_similar_texts_are_found_at_each_share(spark, least, most, part):
+    rng = random.Random(11)
+    data = [(2 * k + i, text) for k in range(300) for i, text in enumerate(pair_at(rng, least, most))]
+    found = simhash.similar_texts(spark.createDataFrame(data, "doc_id long, text string").repartition(3)).collect()
+    assert len(found) == len(data)
+    assert sum(r["component"] == r["id"] - 1 for r in found if r["id"] % 2) >= part * 300
+
+
+@pytest.mark.parametrize("n", [1, 8, 9, 1000])
+def test_bits_are_counted_at_once(n):
+    hashes = np.random.default_rng(n).integers(0, 1 << 64, n, np.uint64)
+    mixed = [[int(v) for v in simhash._mixed(hashes + salt)] for salt in simhash.WORD_SALTS]
+    want = [sum(v >> (63 - bit) & 1 for v in word) for word in mixed for bit in range(64)]
+    assert simhash._set_bits(hashes).tolist() == want
+
+
 def test_pipeline(spark, tmp_path):
     import corpus_pipeline
 

@@ -11,9 +11,10 @@ without pairs: two fingerprints are within two bits exactly when some value is w
 both, so each joins the groups of the 65 values around it, and a group's members link to its least.
 
 `similar_texts` is the same search for texts that share four fifths of their five-word shingles. Such texts
-differ in about 15 of 100 bits, so fingerprints have 384 bits of distinct shingles, and 18 segments of 24 bits are looked up
-within one bit. At 40 differing bits or fewer they link; up to 76, the share of common shingles decides, where
-the texts aren't in one component yet. Where more than `SIMILAR_CROWDED` fingerprints share a segment value
+differ in about 15 of 100 bits, so fingerprints have 3072 bits of distinct shingles in 144 segments of 22 bits, of which one has
+to agree: (1 - 0.85^22)^144, some 2 % of the pairs at that share, have none. A pair that agrees by chance is told by one
+64-bit word of the fingerprint that its rows carry along. At 320 differing bits or fewer they link; up to 608, the share of
+common shingles decides, where the texts aren't in one component yet. Where more than `SIMILAR_CROWDED` fingerprints share a segment value
 they are compared with three of them first, and then only with those that are still in another component.
 """
 
@@ -37,11 +38,13 @@ SHINGLES_AT_ONCE = 1 << 16
 
 # For texts that share four fifths of their shingles: 64-bit words of a fingerprint, bits at which a word's segments start.
 SIMILAR_WORDS = 5
-SIMILAR_LONGS = 6
-SIMILAR_STARTS = (0, 20, 40)
-SIMILAR_SEGMENT = 24
-SIMILAR_BITS = 76
-SURE_BITS = 40
+SIMILAR_LONGS = 48
+SIMILAR_STARTS = (0, 21, 42)
+SIMILAR_SEGMENT = 22
+SIMILAR_BITS = 608
+SURE_BITS = 320
+# Differing bits of the word that rows carry: similar pairs have 10 and hardly ever more than 24, unlike ones 32.
+CARRIED_BITS = 24
 SIMILAR_SHARE = 0.8
 SIMILAR_CROWDED = 16
 
@@ -190,6 +193,7 @@ def _mixed(values: np.ndarray) -> np.ndarray:
     return mixed ^ (mixed >> np.uint64(31))
 
 
+WORD_SALTS = np.array([(BASE * (i + 1)) % (1 << 64) for i in range(SIMILAR_LONGS)], np.uint64)
 BYTE_VALUES = _mixed(np.arange(1, 257, dtype=np.uint64) * np.uint64(BASE))
 
 
@@ -204,13 +208,21 @@ def wide_fingerprint(text: str, shingle_words: int = SIMILAR_WORDS) -> list[int]
 
 def _set_bits(hashes: np.ndarray) -> np.ndarray:
     """How many of the hashes have each bit set, of `SIMILAR_LONGS` words mixed from each."""
-    # 255 rows at most are added up in bytes.
-    padded = -(-len(hashes) // 255) * 255
-    bits = np.zeros((padded, 64 * SIMILAR_LONGS), np.uint8)
-    for i in range(SIMILAR_LONGS):
-        mixed = _mixed(hashes + np.uint64((0x9E3779B97F4A7C15 * (i + 1)) % (1 << 64)))
-        bits[:len(hashes), 64 * i:64 * (i + 1)] = np.unpackbits(mixed.astype(">u8").view(np.uint8)).reshape(-1, 64)
-    return bits.reshape(-1, 255, 64 * SIMILAR_LONGS).sum(axis=1, dtype=np.uint8).sum(axis=0, dtype=np.int64)
+    counts, weight = np.zeros(64 * SIMILAR_LONGS, np.int64), 1
+    rows = _mixed(hashes[:, None] + WORD_SALTS)
+    while len(rows):
+        # Three words add up to one of the same weight and one of twice that, all bits at once.
+        carries = []
+        while len(rows) > 8:
+            third = len(rows) // 3
+            one, two, three = rows[:third], rows[third:2 * third], rows[2 * third:3 * third]
+            either = one ^ two
+            carries.append((one & two) | (either & three))
+            rows = np.concatenate([either ^ three, rows[3 * third:]])
+        bits = np.unpackbits(rows.astype(">u8").view(np.uint8), axis=1)
+        counts += weight * bits.sum(axis=0, dtype=np.int64)
+        rows, weight = np.concatenate(carries) if carries else rows[:0], 2 * weight
+    return counts
 
 
 def _of_texts(rows: DataFrame, name: str, value) -> DataFrame:
@@ -267,20 +279,18 @@ def similar_components(prints: DataFrame, alike: Callable[[DataFrame], DataFrame
         for j, start in enumerate(SIMILAR_STARTS):
             value = F.shiftrightunsigned(F.get("fingerprint", F.lit(i)), start).bitwiseAND(F.lit((1 << SIMILAR_SEGMENT) - 1))
             keys.append(value + F.lit((i * len(SIMILAR_STARTS) + j) << SIMILAR_SEGMENT))
-    table = prints.select(F.col("node").alias("b"), F.explode(F.array(*keys)).alias("key"))
-    full = stored(table.groupBy("key").count().filter(F.col("count") > crowded).select("key"), "similar-crowded")
-
-    # Of two values one bit apart only the one with the bit set asks for the other.
-    bits = F.array(*(F.lit(1 << bit).cast("long") for bit in range(SIMILAR_SEGMENT)))
-    cleared = F.transform(F.filter(bits, lambda bit: F.col("own").bitwiseAND(bit) != 0), lambda bit: F.col("own") - bit)
-    asked = table.select(F.col("b").alias("a"), F.col("key").alias("own")).select(
-        "a", F.posexplode(F.concat(F.array("own"), cleared)).alias("place", "key")).select(
-        "a", "key", (F.col("place") > 0).alias("other"))
-    once = F.col("other") | (F.col("a") < F.col("b"))
-    sparse = table.join(full, "key", "left_anti")
-    pairs = asked.join(sparse, "key").filter(once & (F.col("a") != F.col("b"))).select("a", "b")
-
-    owners = stored(table.join(full, "key", "left_semi"), "similar-owners")
+    table = prints.select(F.col("node").alias("b"), F.get("fingerprint", F.lit(0)).alias("carried"), F.explode(F.array(*keys)).alias("key"))
+    shared = table.groupBy("key").agg(F.count("*").alias("many")).filter("many > 1")
+    held = stored(table.join(shared, "key"), "similar-held")
+    near_word = F.bit_count(F.col("carried").bitwiseXOR(F.col("carried_a"))) <= CARRIED_BITS
+
+    def asking(rows: DataFrame) -> DataFrame:
+        return rows.withColumnsRenamed({"b": "a", "carried": "carried_a"})
+
+    sparse = held.filter(F.col("many") <= crowded).drop("many")
+    pairs = asking(sparse).join(sparse, "key").filter((F.col("a") < F.col("b")) & near_word).select("a", "b")
+
+    owners = held.filter(F.col("many") > crowded).drop("many")
     leaders = owners.groupBy("key").agg(F.array_distinct(F.array(
         F.min("b"), F.max("b"), F.min_by("b", F.xxhash64("b")))).alias("leaders"))
     led = owners.join(leaders, "key").select(F.col("b").alias("a"), F.explode("leaders").alias("b")).filter("a != b")
@@ -291,17 +301,14 @@ def similar_components(prints: DataFrame, alike: Callable[[DataFrame], DataFrame
     edges = stored(sure.union(alike(unsure.filter("root_a != root_b"))), "similar-links")
     roots = components(edges)
 
-    # What is left at crowded values: askers and owners of different components, of which one isn't the value's largest.
+    # What is left at crowded values: owners of different components, of which one isn't the value's largest.
     rooted = _rooted(owners, roots, "b", "root_b")
     largest = (rooted.groupBy("key", "root_b").count().groupBy("key")
                .agg(F.max_by("root_b", F.struct("count", "root_b")).alias("largest")))
     rooted = stored(rooted.join(largest, "key"), "similar-rooted")
-    askers = _rooted(asked.join(full, "key", "left_semi").select("a", "key"), roots, "a", "root_a")
-    minor = rooted.filter("root_b != largest").select("key", "b", "root_b")
-    main = rooted.filter("root_b = largest").select("key", "b", "root_b")
-    outside = askers.join(largest, "key").filter("root_a != largest").select("key", "a", "root_a")
-    rest = (askers.join(minor, "key").filter("root_a != root_b").select("a", "b")
-            .union(outside.join(main, "key").select("a", "b")))
+    minor = rooted.filter("root_b != largest").drop("largest")
+    askers = asking(rooted.drop("largest")).withColumnRenamed("root_b", "root_a")
+    rest = askers.join(minor, "key").filter((F.col("root_a") != F.col("root_b")) & near_word).select("a", "b")
     left = stored(_within(rest, prints), "similar-rest")
     more = stored(alike(left), "similar-more")
     return roots if more.isEmpty() else components(edges.union(more))
