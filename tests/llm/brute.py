@@ -77,12 +77,3 @@ def edited(texts: dict) -> dict:
         text, k = texts[here], len(texts[here]) // 3
         result[here] = text[:len(text) - k] + texts[there][:k]
     return result
-
-
-def shingles(text: str, size: int = 5) -> set:
-    words = [w for w in re.split(r"[\x20\x09-\x0D]+", "".join(c.lower() if c <= "z" else c for c in text)) if w]
-    return {tuple(words[i:i + size]) for i in range(max(1, len(words) - size + 1))} if words else set()
-
-
-def share(a: set, b: set) -> float:
-    return len(a & b) / len(a | b) if a or b else 1.0
