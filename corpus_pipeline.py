@@ -27,9 +27,9 @@ def exact_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of texts that share four fifths of their five-word shingles the document with the least id stays."""
+    """Of each group of texts linked by fingerprints of three-word shingles at two or fewer bits, the document with the least id stays."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", queries.ROWS_AT_ONCE)
-    return simhash.keep_representatives(docs, simhash.similar_texts(docs))
+    return simhash.keep_representatives(docs, simhash.near_duplicates(docs, shingle_words=3))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
