@@ -77,3 +77,72 @@ def edited(texts: dict) -> dict:
         text, k = texts[here], len(texts[here]) // 3
         result[here] = text[:len(text) - k] + texts[there][:k]
     return result
+
+
+def words_of(text: str | None) -> list[str]:
+    return re.findall(r"[^\x20\x09-\x0D]+", text or "")
+
+
+def repetition(text: str | None, least: int = 8) -> dict:
+    """The measures of the quality rules, and the words (by number) that maximal repeats cover."""
+    words, lines = words_of(text), [line for line in (text or "").split("\n") if words_of(line)]
+    n = len(words)
+    windows = defaultdict(list)
+    for i in range(n - 2):
+        windows[tuple(words[i:i + 3])].append(i)
+    in_windows = {i + k for at in windows.values() if len(at) > 1 for i in at for k in range(3)}
+    covered, longest, repeats, length = set(), 0, 0, least
+    while length < n:
+        places = defaultdict(list)
+        for i in range(n - length + 1):
+            places[tuple(words[i:i + length])].append(i)
+        again = {words_: at for words_, at in places.items() if len(at) > 1}
+        for words_, at in again.items():
+            left = {words[i - 1] if i else ("start", i) for i in at}
+            right = {words[i + length] if i + length < n else ("end", i) for i in at}
+            if len(left) > 1 and len(right) > 1:
+                repeats, longest = repeats + 1, max(longest, sum(map(len, words_)))
+                covered.update(i + k for i in at for k in range(length))
+        if not again:
+            break
+        length += 1
+    chars = sum(map(len, words))
+    failed = n < 50 or 100 * len(in_windows) > 50 * n
+    covered_chars = sum(len(words[i]) for i in covered)
+    return {"n_words": n, "word_chars": chars, "n_symbols": sum(c in "#*$%&|<>" for c in text or ""),
+            "n_dup_lines": len(lines) - len(set(lines)), "n_repeat_words": len(in_windows), "base_failed": failed,
+            "n_repeats": repeats, "longest_repeat": longest, "covered_chars": covered_chars, "covered": covered,
+            "kept": not failed and covered_chars <= 0.4 * chars and longest <= 0.25 * chars}
+
+
+def with_periodic_tail(doc_id: int | None, words: list[str]) -> list[str]:
+    h = zlib.crc32(str(doc_id).encode())
+    if doc_id is None or h % 10 or not words:
+        return words
+    g, n = h // 10, len(words)
+    a = g % n
+    p = 1 + (n - a) // (3 + g % 8)
+    return [words[a + (i - a) % p] if i >= a else word for i, word in enumerate(words)]
+
+
+def periodic_runs(words: list, least: int = 12) -> list[tuple[int, int, int]]:
+    """(start, length, period) by start and period: of each period all maximal stretches, shorter periods struck out."""
+    n, found = len(words), []
+    for q in range(1, n // 2 + 1):
+        i = 0
+        while i + q < n:
+            start = i
+            while i + q < n and words[i] == words[i + q]:
+                i += 1
+            length = i - start + q
+            if length >= max(least, 2 * q):
+                stretch = words[start:start + length]
+                if all(any(stretch[k] != stretch[k + d] for k in range(length - d)) for d in range(1, q)):
+                    found.append((start, length, q))
+            i += 1
+    return sorted(found)
+
+
+def collapsed(words: list[str], runs) -> str:
+    gone = {i for start, length, period in runs for i in range(start + period, start + length)}
+    return " ".join(word for i, word in enumerate(words) if i not in gone)

@@ -5,9 +5,10 @@ from __future__ import annotations
 import os
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from txrisk.llm import bpe, ctph, exact_dedup, langid, neighbours, pfair, secrets, simhash, token_counts, toxicity, warc
+from txrisk.llm import (bpe, ctph, exact_dedup, langid, neighbours, periods, pfair, repetition, secrets, simhash, token_counts, toxicity,
+                        warc, whitening)
 from txrisk.llm.common import id_hash, text_column
 from txrisk.session import shared_dir
 
@@ -110,6 +111,51 @@ def op10_ctph(spark: SparkSession, sf_dir: str) -> DataFrame:
                          ctph.likeness_column("fingerprint", "next_fingerprint").alias("near_next"))
 
 
+def op11_suffix_repetition(spark: SparkSession, sf_dir: str) -> DataFrame:
+    measured = repetition.measure(_table(spark, sf_dir, "documents"), keep=["doc_id"])
+    return measured.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",
+                           "n_repeats", "longest_repeat", "covered_chars")
+
+
+def op12_feast_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    table = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+    model = whitening.fit(table)
+    explained = F.array(*map(F.lit, model.explained)) if model.explained else F.array().cast("array<double>")
+    rows = whitening.transform(table, model, keep=["vec_id"])
+    return rows.select("vec_id", "deviation", F.posexplode("whitened").alias("place", "whitened")).select(
+        "vec_id", (F.col("place") + 1).alias("component"), F.lit(model.n).cast("long").alias("n"), "deviation", "whitened",
+        F.get(explained, F.col("place")).alias("explained"), F.lit(model.identity_error).alias("identity_error"))
+
+
+def periodic_tail(text: Column, id_: Column) -> Column:
+    """The text of every tenth id (by hash) with its last words made periodic; the others as they are, null ids too."""
+    h = F.crc32(id_.cast("string").cast("binary"))
+    g = F.floor(h / 10)
+
+    def changed(words: Column) -> Column:
+        n = F.size(words)
+        a = g % F.greatest(n, F.lit(1))
+        p = 1 + F.floor((n - a) / (3 + g % 8))
+        return F.array_join(F.transform(words, lambda word, i: F.when(
+            i >= a, F.get(words, (a + (i - a) % p).cast("int"))).otherwise(word)), " ")
+
+    # In an array of one, so that the words are split once and not for each of them.
+    words = F.filter(F.split(text, r"[\x20\x09-\x0D]+"), lambda word: word != "")
+    return F.when(h % 10 == 0, F.get(F.transform(F.array(words), changed), F.lit(0))).otherwise(text)
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", periodic_tail(F.col("text"), F.col("doc_id")).alias("text"))
+    found = periods.find(docs, keep=["doc_id"])
+    best = F.array_max(F.transform("runs", lambda r: F.struct(
+        r["length"].alias("length"), (-r["start"]).alias("before"), (-r["period"]).alias("shorter"))))
+    lines = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    return found.withColumn("best", best).select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), (-F.col("best.before")).alias("start"), F.col("best.length").alias("length"),
+        (-F.col("best.shorter")).alias("period"), F.expr("1000 * best.length div -best.shorter").alias("exponent_milli"),
+        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -120,7 +166,8 @@ QUERIES = {
     "op1_secret_scan": op1_secret_scan, "op2_arc_to_warc": op2_arc_to_warc, "op3_language_id": op3_language_id,
     "op4_pfair_mix": op4_pfair_mix, "op5_token_counts": op5_token_counts, "op6_exact_dedup": op6_exact_dedup,
     "op7_bpe": op7_bpe, "op8_simhash": op8_simhash, "op9_toxicity": op9_toxicity, "op10_ctph": op10_ctph,
-    "pipeline": pipeline,
+    "op11_suffix_repetition": op11_suffix_repetition, "op12_feast_whitening": op12_feast_whitening,
+    "op13_periodic_runs": op13_periodic_runs, "pipeline": pipeline,
 }
 
 ORACLES = {
