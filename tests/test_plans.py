@@ -2,7 +2,8 @@
 
 import re
 
-from txrisk.operators import behavior, enrich
+from txrisk import schemas
+from txrisk.operators import behavior, decode, enrich
 from txrisk.plans import catalog
 from txrisk.plans import tables as T
 
@@ -67,5 +68,14 @@ def test_lake_dates_prune_folders(spark, small):
 
 
 def test_filters_reach_the_scan(spark, small):
-    accounts = T.accounts(spark, small)
-    assert "GreaterThanOrEqual(c_acctbal,0.0)" in physical(accounts)
+    changes = T.signup_account_changes(catalog.events(spark, small))
+    assert "EqualTo(event_type,signup)" in physical(changes)
+
+
+def test_behaviour_reads_the_fields_it_needs(spark):
+    """The topic's messages are parsed for six fields, not for all."""
+    raw = spark.createDataFrame([("{}",)], "value string")
+    plan = physical(behavior.panes(decode.usable_flat(raw, schemas.BEHAVIOR_WIRE)))
+    parse = re.search(r"from_json\(StructField\((.*?)\), \(", plan) or re.search(r"from_json\((.*?)value#", plan)
+    names = set(re.findall(r"StructField\((\w+),", "StructField(" + parse.group(1)))
+    assert names == {*schemas.BEHAVIOR_WIRE.names, schemas.CORRUPT}

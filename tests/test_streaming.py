@@ -1,8 +1,10 @@
+import datetime
 import itertools
 import os
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from rows import T0, at, expected, frame, tx
 from test_enrich import features, skewed
@@ -10,7 +12,7 @@ from txrisk import schemas
 from txrisk.operators import behavior, decode, dims, enrich, rules
 from txrisk.operators.behavior import Windows
 from txrisk.sources import readers, sinks
-from txrisk.sources.state import BatchTable, KeyedState
+from txrisk.sources.state import BatchTable, BucketedLog, KeyedState
 from txrisk.streaming import enrichment, jobs
 
 
@@ -67,7 +69,7 @@ def test_enrichment_equals_batch(spark, tmp_path):
         known = expected(seen)
         want.update({r["tx_id"]: known[r["tx_id"]] for r in parts[i]})
     assert replay.features() == want
-    assert replay.store.tails.snapshots.ids(spark) and replay.store.spans.snapshots.ids(spark)
+    assert replay.store.tails.snapshots.ids(spark) and replay.store.rows.snapshots.ids(spark)
 
 
 def test_late_rows_get_right_values(spark, tmp_path):
@@ -111,16 +113,37 @@ def test_failed_batch_is_repeated_without_a_trace(spark, tmp_path):
     assert {k: v[3] for k, v in got.items()} == {k: v[3] for k, v in known.items()}
 
 
-def test_trim_keeps_each_accounts_last_row(spark, tmp_path):
-    store = enrichment.EnrichmentStore(f"{tmp_path}/store", keep_slots=1, fold_every=1)
+def test_trim_keeps_each_accounts_newest_slots(spark, tmp_path):
+    store = enrichment.EnrichmentStore(f"{tmp_path}/store", keep_slots=1, fold_every=1, buckets=2)
     replay = Replay(spark, tmp_path, store)
     rows = [tx(i, i % 3, i * 700, location=f"L{i}") for i in range(24)]
     for part in chunks(rows, 6):
         replay.run(part)
     assert replay.features() == expected(rows)
+    # One slot a snapshot, and those of the batches since.
     slots = store.tails.read(spark).groupBy("account_id").count()
     assert max(r["count"] for r in slots.collect()) < 8
-    assert min(store.rows.ids(spark)) > 0
+    assert min(store.rows.changes.ids(spark)) > 0 and store.rows.read(spark).count() < len(rows)
+
+
+def test_no_row_takes_anothers_state_away(spark, tmp_path):
+    """An account's row and location stay in the same slot, whatever dates other rows have."""
+    day = 86_400
+    store = enrichment.EnrichmentStore(f"{tmp_path}/store", keep_slots=2, fold_every=1, buckets=2)
+    replay = Replay(spark, tmp_path, store)
+    batches = [
+        [tx(1, 2, 0, 100.0)], [tx(2, 77, 400 * day)], [tx(3, 5, 30)], [tx(4, 77, 40 * 365 * day)],
+        [tx(5, 78, -20 * 365 * day), tx(6, 79, None)], [tx(7, 2, 20, 100.0, location="Dubai")],
+        [tx(8, 2, 500 * day)], [tx(9, 2, 40, 50.0)],
+    ]
+    for batch in batches:
+        replay.run(batch)
+    got = replay.features()
+    assert got[7] == (2, 200.0, 0, "Hue") and got[9] == (3, 250.0, 0, "Dubai")
+    so_far = []
+    for batch in batches:
+        so_far += batch
+        assert {r["tx_id"]: got[r["tx_id"]] for r in batch}.items() <= expected(so_far).items()
 
 
 def test_scenario_with_changing_dimensions(spark, tmp_path):
@@ -167,17 +190,15 @@ def write_in_event_order(spark, rows, path, n):
                 os.utime(full, (1_500_000_000 + i, 1_500_000_000 + i))
 
 
-def behavior_tables(spark, rows, path, n, delay="10 minutes"):
+def behavior_store(spark, rows, path, n, delay="10 minutes"):
     write_in_event_order(spark, rows, f"{path}/in", n)
     session = jobs.state_session(spark)
     source = readers.file_stream(session, f"{path}/in", schemas.CLEAN, files_per_trigger=1)
-    counts = jobs.window_table(f"{path}/counts", fold_every=2)
-    sums = jobs.window_table(f"{path}/sums", fold_every=2)
-    for query in jobs.start_behavior(
-        spark, source, counts, sums, f"{path}/checkpoint", delay=delay, available_now=True
-    ):
-        query.awaitTermination()
-    return counts, sums
+    store = jobs.BehaviorStore(f"{path}/state", fold_every=2, buckets=4)
+    jobs.start_behavior(
+        spark, source, store, f"{path}/checkpoint", delay=delay, available_now=True
+    ).awaitTermination()
+    return store
 
 
 def table_rows(df):
@@ -186,21 +207,41 @@ def table_rows(df):
 
 def test_behavior_stream_equals_batch(spark, tmp_path):
     rows = in_order([r for r in skewed(200) if r["event_time"]])
-    counts, sums = behavior_tables(spark, rows, tmp_path, 4)
+    store = behavior_store(spark, rows, tmp_path, 4)
     df = frame(spark, rows)
-    assert table_rows(counts.read(spark)) == table_rows(behavior.tumbling_counts(df))
-    assert table_rows(sums.read(spark)) == table_rows(behavior.sliding_spend(df))
-    state = jobs.behavior_state(counts.read(spark), sums.read(spark))
-    assert table_rows(state) == table_rows(behavior.latest_behavior(df))
-    assert counts.snapshots.ids(spark)
+    assert table_rows(store.counts(spark)) == table_rows(behavior.tumbling_counts(df))
+    assert table_rows(store.sums(spark)) == table_rows(behavior.sliding_spend(df))
+    latest = store.rows(spark).drop("expires_at")
+    assert table_rows(latest) == table_rows(behavior.latest_behavior(df))
+    newest = max(r.updated_at for r in latest.collect())
+    now = F.lit(newest + datetime.timedelta(seconds=600))
+    assert store.rows(spark, now).count() < latest.count()
+    assert table_rows(store.rows(spark, now).drop("expires_at")) == table_rows(behavior.latest_behavior(df, now=now))
+    assert store.panes.snapshots.ids(spark)
 
 
 def test_rows_behind_the_watermark_are_left_out(spark, tmp_path):
     rows = [tx(1, 1, 7200), tx(2, 1, 7260), tx(3, 1, 0), tx(4, 1, 7000)]
-    counts, _ = behavior_tables(spark, rows, tmp_path, 4)
-    starts = {r.window_start.timestamp() - T0.timestamp() for r in counts.read(spark).collect()}
+    counts = behavior_store(spark, rows, tmp_path, 4).counts(spark)
+    starts = {r.window_start.timestamp() - T0.timestamp() for r in counts.collect()}
     # The third row is two hours late; the fourth is late by less than the ten minutes allowed.
     assert starts == {7200, 7260, 6960}
+    late = f"{tmp_path}/late"
+    source = readers.file_stream(spark, f"{tmp_path}/in", schemas.CLEAN, files_per_trigger=1)
+    jobs.start_late_rows(spark, source, late, f"{tmp_path}/late_checkpoint", available_now=True).awaitTermination()
+    [row] = BatchTable(f"{late}/rows").read_all(spark).collect()
+    assert (row.tx_id, row.reason, row.watermark) == (3, jobs.LATE, at(6660).replace(tzinfo=None))
+
+
+def test_panes_are_kept_by_number(spark, tmp_path):
+    store = jobs.BehaviorStore(str(tmp_path), keep=6, fold_every=1, buckets=2)
+    rows = [tx(i, 1, i * 60, 1.0) for i in range(12)] + [tx(99, 1, 10 ** 9), tx(100, 2, 0)]
+    for i, part in enumerate(chunks(rows, 7)):
+        store.process(spark, behavior.panes(frame(spark, part)), i)
+    store.panes.fold(spark, 7)
+    kept = sorted((r.account_id, r.pane) for r in store.panes.read(spark).collect())
+    assert len(kept) == 7 and (2, at(0).replace(tzinfo=None)) in kept
+    assert {r.account_id: r.tx_count_1m for r in store.rows(spark).collect()} == {1: 1, 2: 1}
 
 
 def test_lake_stream_restarts_without_copies(spark, tmp_path):
@@ -211,14 +252,34 @@ def test_lake_stream_restarts_without_copies(spark, tmp_path):
     def run(*values):
         spark.createDataFrame([(v,) for v in values], "value string").write.mode("append").text(raw)
         source = readers.file_stream(spark, raw, "value string", fmt="text")
-        for query in jobs.start_clean(
-            source, f"{tmp_path}/checkpoint", f"{tmp_path}/lake", available_now=True
-        ):
-            query.awaitTermination()
+        jobs.start_clean(
+            source, f"{tmp_path}/checkpoint", f"{tmp_path}/lake", f"{tmp_path}/dead", publish,
+            rows_per_file=2, on_counts=counts.__setitem__, available_now=True
+        ).awaitTermination()
         return spark.read.parquet(f"{tmp_path}/lake").count()
 
+    counts, published = {}, []
+
+    def publish(pairs):
+        published.append(pairs.count())
+
     assert run(event(after=ROW), event("d", before=ROW), "{bad") == 2
-    assert run(event("u", after=ROW)) == 3
+    assert counts == {0: {None: 2, "UNDECODABLE": 1}} and published == [2]
+
+    def fail(pairs):
+        raise RuntimeError("no broker")
+
+    # The lake has been written when the topic fails; the retry replaces that.
+    publish, good = fail, publish
+    with pytest.raises(Exception, match="no broker"):
+        run(event("u", after=ROW))
+    publish = good
+    assert run() == 3 and published == [2, 1, 0]  # the last run has an empty file
+    assert run(*[event(after={**ROW, "tx_id": i}) for i in range(9)]) == 12
+    [date] = [name for name in os.listdir(f"{tmp_path}/lake") if name.startswith("event_date=")]
+    files = [f for f in os.listdir(f"{tmp_path}/lake/{date}/batch=3") if f.endswith(".parquet")]
+    assert 2 <= len(files) <= 5
+    assert [r.reason for r in BatchTable(f"{tmp_path}/dead").read_all(spark).collect()] == ["UNDECODABLE"]
     assert "event_date=2025-12-15" in os.listdir(f"{tmp_path}/lake")
 
 
@@ -226,7 +287,7 @@ def test_dimension_stream_publishes_and_keeps_state(spark, tmp_path):
     from test_decode import ACCOUNT, event
 
     published = []
-    state = jobs.account_state(f"{tmp_path}/state", fold_every=1)
+    state = jobs.account_state(f"{tmp_path}/state", fold_every=1, keep_log=True)
 
     def run(*values):
         spark.createDataFrame([(v,) for v in values], "value string").write.mode("append").text(
@@ -266,19 +327,9 @@ def test_dimension_tables_of_some_accounts(spark, tmp_path):
     assert {r.customer_id for r in some_customers.collect()} == {1, 2}
 
 
-def test_window_table_forgets_old_windows(spark, tmp_path):
-    table = jobs.window_table(str(tmp_path), keep=600, fold_every=1, keep_log=False)
-    for i in range(4):
-        table.fold(spark, i)
-        table.write(spark.createDataFrame(
-            [(1, at(i * 300), i)], "account_id int, window_start timestamp, cnt_1m int"), i)
-    table.fold(spark, 4)
-    assert sorted(r.cnt_1m for r in table.read(spark).collect()) == [1, 2, 3]
-
-
 @pytest.mark.parametrize("keep_log, changes", [(False, [4, 5, 6]), (True, list(range(7)))])
 def test_keyed_state_reads_as_of_a_batch(spark, tmp_path, keep_log, changes):
-    state = KeyedState(str(tmp_path), ["k"], ["v"], fold_every=2, keep_log=keep_log)
+    state = KeyedState(str(tmp_path), ["k"], ["v"], fold_every=2, keep_log=keep_log, buckets=1)
     assert state.read(spark) is None
     for i in range(7):
         state.fold(spark, i)
@@ -291,6 +342,47 @@ def test_keyed_state_reads_as_of_a_batch(spark, tmp_path, keep_log, changes):
     assert state.changes.ids(spark, since=5) == [5, 6]
 
 
+def test_reads_and_folds_touch_their_buckets_only(spark, tmp_path):
+    state = KeyedState(f"{tmp_path}/a", ["k"], ["v"], fold_every=2, buckets=32)
+    state.write(spark.range(400).selectExpr("cast(id as int) k", "0 v"), 0)
+    for i in range(1, 5):
+        state.fold(spark, i)
+        state.write(spark.createDataFrame([(7, i), (8, i)], "k int, v int"), i)
+    keys = spark.createDataFrame([(7,), (8,), (9,)], "k int")
+    buckets = state._buckets_of(keys)
+    assert len(buckets) <= 3
+    rows = state.read(spark, only=keys)
+    assert {(r.k, r.v) for r in rows.collect()} == {(7, 4), (8, 4), (9, 0)}
+    files = {name.split("bucket=")[1].split("/")[0] for name in rows.inputFiles()}
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert files <= set(map(str, buckets)) or "PartitionFilters: [bucket" in plan
+    assert "PartitionFilters" in plan and "bucket" in plan.split("PartitionFilters")[1].split("]")[0]
+    # The other buckets never had two change sets, so they were not rewritten.
+    assert set().union(*state.snapshots.buckets(spark).values()) <= buckets
+    assert state.read(spark).count() == 400
+    with pytest.raises(ValueError, match="16 buckets"):
+        KeyedState(f"{tmp_path}/a", ["k"], ["v"], buckets=16).write(keys.selectExpr("k", "1 v"), 9)
+
+
+def test_folders_stay_bounded(spark, tmp_path):
+    state = KeyedState(str(tmp_path), ["k"], ["v"], fold_every=3, buckets=2)
+    for i in range(30):
+        state.fold(spark, i)
+        state.write(spark.createDataFrame([(i % 5, i)], "k int, v int"), i)
+    assert {r.k: r.v for r in state.read(spark).collect()} == {k: 25 + k for k in range(5)}
+    assert len(state.changes.ids(spark)) <= 2 * 2 * 3 and len(state.snapshots.ids(spark)) <= 4
+
+
+def test_log_keeps_every_row_once(spark, tmp_path):
+    log = BucketedLog(str(tmp_path), "k", fold_every=2, buckets=2)
+    for i in range(7):
+        log.fold(spark, i)
+        log.write(spark.createDataFrame([(1, "same"), (2, "same"), (1, "same")], "k int, v string"), i)
+    assert log.read(spark).groupBy("k").count().collect() and log.read(spark).count() == 21
+    assert log.read(spark, before=4).count() == 12
+    assert log.read(spark, only=spark.createDataFrame([(1,)], "k int")).count() == 14
+
+
 def test_judged_topic(spark):
     enriched = spark.createDataFrame([(
         '{"tx_id":1,"account_id":2,"failed_tx_5m":1,"unknown":3}',), ("{",)], "value string")
@@ -330,18 +422,3 @@ def test_one_failing_query_ends_all(spark, tmp_path):
     with pytest.raises(Exception, match="no store"):
         jobs.await_any(queries)
     assert not any(query.isActive for query in queries)
-
-
-def test_a_row_dated_ahead_moves_no_other_accounts_state(spark, tmp_path):
-    from txrisk.streaming.enrichment import EnrichmentStore
-
-    store = EnrichmentStore(f"{tmp_path}/store")
-    now, slot = 1_765_785_600_000_000, 900_000_000
-    tails = spark.createDataFrame([(1, now, "a"), (1, now - slot, "b"), (2, now + 40 * 365 * 86_400 * 1_000_000, "c"), (2, now, "d"),
-                                   (3, now - 1000 * slot, "e"), (3, now, "f")], "account_id int, slot long, tail string")
-    # All of these: an account's own newest, never ahead of the time, counts; of older rows its last stays.
-    assert {r.tail for r in store._trim_tails(tails).collect()} == set("abcdef")
-    ahead = now + 40 * 365 * 86_400 * 1_000_000
-    spans = spark.createDataFrame([(0, now - slot, now), (1, now, ahead), (2, now - 2000 * slot, now - 1000 * slot)],
-                                  "batch_id long, first long, last long")
-    assert {r.batch_id for r in store._trim_spans(spans).collect()} == {0, 1}

@@ -24,17 +24,27 @@ from txrisk.streaming import enrichment, jobs  # noqa: E402
 def _messages(spark, args, topic):
     if args.servers:
         return readers.topic_stream(
-            spark, args.servers, topic, max_offsets_per_trigger=args.max_offsets
+            spark, args.servers, topic, starting_offsets=args.starting_offsets,
+            max_offsets_per_trigger=args.max_offsets,
         )
     return readers.file_stream(spark, args.input, "value string", fmt="text")
 
 
-def _clean(spark, args):
+def _clean(spark, args, schema=schemas.CLEAN):
+    """Clean transactions, of a topic only those that can be used, with the fields of `schema`."""
     if args.servers:
-        # What isn't a clean transaction has no id once it is read; it must not be judged.
-        rows = decode.decode_flat(_messages(spark, args, readers.CLEAN_TOPIC), schemas.CLEAN)
-        return rows.filter("tx_id is not null")
-    return readers.file_stream(spark, args.input, schemas.CLEAN)
+        return decode.usable_flat(_messages(spark, args, readers.CLEAN_TOPIC), schema)
+    return readers.file_stream(spark, args.input, schemas.CLEAN).select(*schema.names)
+
+
+def _clean_dead_letters(spark, args, job):
+    """Messages of the clean topic that `job` passes over, if a folder for them is given."""
+    if not (args.servers and args.dead_letters):
+        return []
+    raw = _messages(spark, args, readers.CLEAN_TOPIC)
+    return [jobs.start_flat_dead_letters(
+        raw, schemas.CLEAN, args.dead_letters, f"{args.checkpoint}/{job}_dead_letters", args.once
+    )]
 
 
 def _publisher(args, topic):
@@ -43,46 +53,57 @@ def _publisher(args, topic):
 
 def clean(spark, args):
     raw = _messages(spark, args, readers.TRANSACTION_CHANGES)
-    topic = readers.CLEAN_TOPIC if args.servers else None
-    queries = jobs.start_clean(
-        raw, f"{args.checkpoint}/clean", args.lake, args.servers, topic,
-        precision=args.precision, available_now=args.once,
-    )
+    return [jobs.start_clean(
+        raw, f"{args.checkpoint}/clean", args.lake, args.dead_letters,
+        _publisher(args, readers.CLEAN_TOPIC), args.precision, available_now=args.once,
+    )]
+
+
+def _dimension(spark, args, name, topic, state_topic, changes, state, row):
+    raw = _messages(spark, args, topic)
+    queries = [jobs.start_dimension(
+        spark, changes(raw), state, f"{args.checkpoint}/{name}", _publisher(args, state_topic), args.once,
+    )]
     if args.dead_letters:
-        queries.append(jobs.start_dead_letters(
-            raw, args.dead_letters, f"{args.checkpoint}/dead_letters", args.once
-        ))
+        rejected = decode.rejected_changes(raw, row, state.by)
+        queries.append(sinks.start_rows_sink(
+            rejected, args.dead_letters, f"{args.checkpoint}/{name}_dead_letters", args.once))
     return queries
 
 
+def _kept(args):
+    return {"keep_log": args.keep_log, "buckets": args.buckets}
+
+
 def accounts(spark, args):
-    changes = dims.account_changes(_messages(spark, args, readers.ACCOUNT_CHANGES))
-    return [jobs.start_dimension(
-        spark, changes, jobs.account_state(f"{args.state}/accounts"),
-        f"{args.checkpoint}/accounts", _publisher(args, readers.ACCOUNT_STATE_TOPIC), args.once,
-    )]
+    return _dimension(
+        spark, args, "accounts", readers.ACCOUNT_CHANGES, readers.ACCOUNT_STATE_TOPIC,
+        dims.account_changes, jobs.account_state(f"{args.state}/accounts", **_kept(args)), schemas.ACCOUNT_ROW,
+    )
 
 
 def customers(spark, args):
-    changes = dims.customer_changes(_messages(spark, args, readers.CUSTOMER_CHANGES))
-    return [jobs.start_dimension(
-        spark, changes, jobs.customer_state(f"{args.state}/customers"),
-        f"{args.checkpoint}/customers", _publisher(args, readers.CUSTOMER_STATE_TOPIC), args.once,
-    )]
+    return _dimension(
+        spark, args, "customers", readers.CUSTOMER_CHANGES, readers.CUSTOMER_STATE_TOPIC,
+        dims.customer_changes, jobs.customer_state(f"{args.state}/customers", **_kept(args)), schemas.CUSTOMER_ROW,
+    )
 
 
 def behavior(spark, args):
-    return jobs.start_behavior(
-        spark, _clean(jobs.state_session(spark), args),
-        jobs.window_table(f"{args.state}/counts"), jobs.window_table(f"{args.state}/sums"),
-        f"{args.checkpoint}/behavior", available_now=args.once,
-    )
+    store = jobs.BehaviorStore(
+        f"{args.state}/behavior", keep=args.keep_panes, keep_log=args.keep_log, buckets=args.buckets)
+    session = jobs.state_session(spark)
+    return [jobs.start_behavior(
+        spark, _clean(session, args, schemas.BEHAVIOR_WIRE), store, f"{args.checkpoint}/behavior",
+        event_types=args.event_types, available_now=args.once,
+    ), *_clean_dead_letters(spark, args, "behavior")]
 
 
 def enriched(spark, args):
-    store = enrichment.EnrichmentStore(f"{args.state}/enrichment")
-    account_state = jobs.account_state(f"{args.state}/accounts")
-    customer_state = jobs.customer_state(f"{args.state}/customers")
+    store = enrichment.EnrichmentStore(f"{args.state}/enrichment", buckets=args.buckets)
+    account_state = jobs.account_state(f"{args.state}/accounts", buckets=args.buckets)
+    customer_state = jobs.customer_state(f"{args.state}/customers", buckets=args.buckets)
+    limit = _thresholds(args)
     out, judged = BatchTable(args.output), BatchTable(f"{args.output}_verdicts")
     publish = _publisher(args, readers.ENRICHED_TOPIC)
 
@@ -90,19 +111,23 @@ def enriched(spark, args):
         # Written once; the verdicts and the topic are made from what was written.
         out.write(rows, batch_id)
         written = out.read(spark, [batch_id])
-        judged.write(rules.verdicts(written), batch_id)
+        judged.write(rules.verdicts(written, limit), batch_id)
         if publish:
             publish(decode.encode(enrich.wire_format(written), "tx_id"))
 
     return [enrichment.start_enrichment(
         spark, _clean(spark, args), store,
         lambda ids: jobs.dimension_tables(spark, account_state, customer_state, ids),
-        sink, f"{args.checkpoint}/enriched", available_now=args.once,
-    )]
+        sink, f"{args.checkpoint}/enriched", event_types=args.event_types, available_now=args.once,
+    ), *_clean_dead_letters(spark, args, "enrich")]
+
+
+def _thresholds(args):
+    return rules.Thresholds(args.max_amount, args.max_tx_count, args.max_spend, args.max_failures)
 
 
 def judge(spark, args):
-    verdicts, dead = jobs.judge_topic(_messages(spark, args, readers.ENRICHED_TOPIC))
+    verdicts, dead = jobs.judge_topic(_messages(spark, args, readers.ENRICHED_TOPIC), _thresholds(args))
     queries = [sinks.start_rows_sink(
         verdicts, args.output, f"{args.checkpoint}/verdicts", args.once
     )]
@@ -115,15 +140,36 @@ def judge(spark, args):
 
 # job -> (function, options it needs, options it may have)
 JOBS = {
-    "clean": (clean, ["lake"], ["dead-letters"]),
-    "accounts": (accounts, ["state"], []),
-    "customers": (customers, ["state"], []),
-    "behavior": (behavior, ["state"], []),
-    "enrich": (enriched, ["state", "output"], []),
-    "rules": (judge, ["output"], ["dead-letters"]),
+    "clean": (clean, ["lake"], ["dead-letters", "precision"]),
+    "accounts": (accounts, ["state"], ["dead-letters", "keep-log", "buckets"]),
+    "customers": (customers, ["state"], ["dead-letters", "keep-log", "buckets"]),
+    "behavior": (behavior, ["state"], ["dead-letters", "keep-log", "buckets", "keep-panes", "event-types"]),
+    "enrich": (enriched, ["state", "output"], ["dead-letters", "buckets", "event-types", "thresholds"]),
+    "rules": (judge, ["output"], ["dead-letters", "thresholds"]),
 }
 
 
+def _option(job, name):
+    if name == "precision":
+        job.add_argument("--precision", choices=["micros", "second"], default="micros")
+    elif name == "keep-log":
+        job.add_argument("--keep-log", action="store_true", help="keep changes that snapshots contain")
+    elif name == "buckets":
+        job.add_argument("--buckets", type=int, default=16, help="parts of the state, the same for all jobs")
+    elif name == "keep-panes":
+        job.add_argument("--keep-panes", type=int, default=24 * 60, help="newest panes kept of an account")
+    elif name == "event-types":
+        job.add_argument("--event-types", nargs="+", help="events that count as behaviour; default: all")
+    elif name == "thresholds":
+        default = rules.DEFAULT
+        job.add_argument("--max-amount", type=float, default=default.amount)
+        job.add_argument("--max-tx-count", type=int, default=default.tx_count)
+        job.add_argument("--max-spend", type=float, default=default.spend)
+        job.add_argument("--max-failures", type=int, default=default.failures)
+    else:
+        job.add_argument(f"--{name}")
+
+
 def parser() -> argparse.ArgumentParser:
     top = argparse.ArgumentParser(description=__doc__)
     commands = top.add_subparsers(dest="job", required=True)
@@ -137,10 +183,9 @@ def parser() -> argparse.ArgumentParser:
         job.add_argument("--once", action="store_true", help="stop when the source is read up")
         for option in needed:
             job.add_argument(f"--{option}", required=True)
+        job.add_argument("--starting-offsets", default="latest", help="where a topic is begun, without a checkpoint")
         for option in optional:
-            job.add_argument(f"--{option}")
-        if name == "clean":
-            job.add_argument("--precision", choices=["micros", "second"], default="micros")
+            _option(job, option)
     return top
 
 

@@ -15,7 +15,6 @@ UNKNOWN_EVENT = "UNKNOWN"
 # as a bigint, and its sums are wider and cannot overflow.
 HUNDREDTHS = "decimal(18,0)"
 MONEY_LIMIT = 1e16  # amounts from here on don't fit
-MOST_MONEY = 9_999_999_999_999_998.0
 
 # Text forms. ISO keeps microseconds, unlike the JSON writer's default of milliseconds.
 ISO_MICROS = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
@@ -53,10 +52,10 @@ def no_money() -> Column:
 
 def spent(amount: Column, status: Column) -> Column:
     """What a transaction adds to spend, in hundredths: its amount if it succeeded, else nothing.
-    Larger amounts than a NUMERIC(18,2) holds, which decoding rejects, add the most it holds."""
-    bounded = F.greatest(F.least(amount, F.lit(MOST_MONEY)), F.lit(-MOST_MONEY))
-    counts = (status == "SUCCESS") & amount.isNotNull()
-    return F.when(counts, F.floor(bounded * 100 + 0.5).cast(HUNDREDTHS)).otherwise(no_money())
+    Amounts that a NUMERIC(18,2) can't hold, which decoding rejects, add nothing either: NaN,
+    infinities and what is larger."""
+    counts = (status == "SUCCESS") & amount.isNotNull() & fits_money(amount)
+    return F.when(counts, F.floor(amount * 100 + 0.5).cast(HUNDREDTHS)).otherwise(no_money())
 
 
 def fits_money(amount: Column) -> Column:

@@ -55,64 +55,56 @@ def tumbling_counts(
     return _flat(grouped.agg(F.count(F.lit(1)).alias("cnt_1m")), "cnt_1m")
 
 
-def _panes(tx: DataFrame, seconds: int) -> DataFrame:
-    """One row per account and slide step. Both sliding tables are sums of these."""
-    window = F.window("event_time", f"{seconds} seconds")
+PANE = ("cnt", "spend", "failures")
+
+
+def panes(
+    tx: DataFrame, windows: Windows = DEFAULT, event_types: Sequence[str] | None = None
+) -> DataFrame:
+    """One row per account and slide step: rows, spend in hundredths, failures. All window tables
+    are sums of these."""
     return (
-        tx.groupBy("account_id", window)
+        _counted(tx, event_types)
+        .groupBy("account_id", F.window("event_time", f"{windows.slide} seconds"))
         .agg(
             F.count(F.lit(1)).alias("cnt"),
             F.sum(C.spent(F.col("amount"), F.col("status"))).alias("spend"),
             F.sum(C.failed(F.col("status"))).alias("failures"),
         )
-        .select("account_id", F.col("window.start").alias("pane"), "cnt", "spend", "failures")
+        .select("account_id", F.col("window.start").alias("pane"), *PANE)
     )
 
 
-def sliding_spend(
-    tx: DataFrame, windows: Windows = DEFAULT, event_types: Sequence[str] | None = None
-) -> DataFrame:
-    """Successful amount and failures per account in sliding windows: sum_5m, fail_5m.
+def counts_of(panes: DataFrame, windows: Windows = DEFAULT) -> DataFrame:
+    """cnt_1m of fixed windows, from panes that they are made up of."""
+    if windows.count % windows.slide:
+        raise ValueError("a count window must be a whole number of slide steps")
+    grouped = panes.groupBy("account_id", F.window("pane", f"{windows.count} seconds"))
+    return _flat(grouped.agg(F.sum("cnt").alias("cnt_1m")), "cnt_1m")
 
-    Batch input is first reduced to one row per slide step, so that copying rows into the windows
-    that cover them happens on the reduced rows. A stream aggregates once, as chained aggregates
-    are limited to append mode.
-    """
-    tx = _counted(tx, event_types)
+
+def sums_of(panes: DataFrame, windows: Windows = DEFAULT) -> DataFrame:
+    """sum_5m and fail_5m of sliding windows, from panes. Copying into the windows that cover a row
+    happens to panes, not to transactions."""
     length, slide = f"{windows.spend} seconds", f"{windows.slide} seconds"
-    if tx.isStreaming:
-        grouped = tx.groupBy("account_id", F.window("event_time", length, slide))
-        spend = F.sum(C.spent(F.col("amount"), F.col("status")))
-        failures = F.sum(C.failed(F.col("status")))
-    else:
-        panes = _panes(tx, windows.slide)
-        grouped = panes.groupBy("account_id", F.window("pane", length, slide))
-        spend, failures = F.sum("spend"), F.sum("failures")
-    table = grouped.agg(C.units(spend).alias("sum_5m"), failures.alias("fail_5m"))
-    return _flat(table, "sum_5m", "fail_5m")
+    grouped = panes.groupBy("account_id", F.window("pane", length, slide))
+    sums = C.units(F.sum("spend")).alias("sum_5m"), F.sum("failures").alias("fail_5m")
+    return _flat(grouped.agg(*sums), "sum_5m", "fail_5m")
 
 
-def latest_behavior(
-    tx: DataFrame,
-    windows: Windows = DEFAULT,
-    event_types: Sequence[str] | None = None,
-    now: Column | None = None,
-) -> DataFrame:
-    """One row per account: the counters of the windows its latest event falls in.
+def latest_of(panes: DataFrame, windows: Windows = DEFAULT) -> DataFrame:
+    """One row per account: the counters of the windows its latest pane is in.
 
-    Of the sliding windows over that event, the one that ends soonest is taken, because it holds
-    most history. With `now`, accounts whose latest step is `freshness` seconds old are left out.
-    Needs `count == slide`, the default.
+    Of the sliding windows over that pane, the one that ends soonest is taken, because it holds
+    most history. Needs `count == slide`, the default.
     """
     if windows.count != windows.slide:
         raise ValueError("the latest row is defined for count windows of one slide step")
     # At most one pane per account and slide step is ordered here, whatever the number of rows.
-    panes = _panes(_counted(tx, event_types), windows.slide).withColumn(
-        "latest", F.max("pane").over(Window.partitionBy("account_id"))
-    )
+    marked = panes.withColumn("latest", F.max("pane").over(Window.partitionBy("account_id")))
     oldest = F.col("latest") - F.make_dt_interval(secs=F.lit(windows.spend - windows.slide))
-    rows = (
-        panes.filter(F.col("pane") >= oldest)
+    return (
+        marked.filter(F.col("pane") >= oldest)
         .groupBy("account_id", "latest")
         .agg(
             F.sum(F.when(F.col("pane") == F.col("latest"), F.col("cnt"))).alias("tx_count_1m"),
@@ -121,13 +113,29 @@ def latest_behavior(
         )
         .withColumnRenamed("latest", "updated_at")
     )
-    if now is not None:
-        rows = rows.filter(_fresh(F.unix_micros(now), F.unix_micros("updated_at"), windows))
-    return rows
 
 
-def _fresh(now: Column, then: Column, windows: Windows) -> Column:
-    return (now - then) < windows.freshness * MICROS
+def sliding_spend(
+    tx: DataFrame, windows: Windows = DEFAULT, event_types: Sequence[str] | None = None
+) -> DataFrame:
+    """Successful amount and failures per account in sliding windows: sum_5m, fail_5m."""
+    return sums_of(panes(tx, windows, event_types), windows)
+
+
+def latest_behavior(
+    tx: DataFrame,
+    windows: Windows = DEFAULT,
+    event_types: Sequence[str] | None = None,
+    now: Column | None = None,
+) -> DataFrame:
+    """`latest_of` the transactions' panes. With `now`, rows that have expired by then are left out."""
+    rows = latest_of(panes(tx, windows, event_types), windows)
+    return rows if now is None else rows.filter(expires_at(windows) > now)
+
+
+def expires_at(windows: Windows = DEFAULT) -> Column:
+    """When a behaviour row is no longer fresh."""
+    return F.col("updated_at") + F.make_dt_interval(secs=F.lit(windows.freshness))
 
 
 # ---------------------------------------------------------------------------------------------
@@ -277,9 +285,8 @@ def trailing_features(
         tx = tx.withColumn("lsn", F.lit(None).cast("bigint"))
     rows = tx.withColumn("_emit", F.lit(True))
     if context is not None:
-        if "lsn" not in context.columns:
-            context = context.withColumn("lsn", F.lit(None).cast("bigint"))
-        rows = rows.unionByName(context.select(*tx.columns).withColumn("_emit", F.lit(False)))
+        context = context.select(*[c for c in tx.columns if c in context.columns])
+        rows = rows.unionByName(context.withColumn("_emit", F.lit(False)), allowMissingColumns=True)
     entering = _entering(rows, windows, event_types)
     marks = entering.unionByName(_leaving(entering, windows), allowMissingColumns=True)
 

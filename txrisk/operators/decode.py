@@ -23,6 +23,9 @@ NO_ACCOUNT = "NO_ACCOUNT"
 NO_AMOUNT = "NO_AMOUNT"
 BAD_AMOUNT = "BAD_AMOUNT"  # more than the source's NUMERIC(18,2) holds
 BAD_TIME = "BAD_TIME"  # outside the years 1 to 9999
+NO_KEY = "NO_KEY"
+REASONS = (NULL_VALUE, UNDECODABLE, NO_TX_ID, NO_ACCOUNT, NO_AMOUNT, BAD_AMOUNT, BAD_TIME)
+REJECTED = ("reason", "value", "tx_id", "event_type")
 
 
 def _parsed_once(text: Column, schema: StructType) -> Column:
@@ -99,6 +102,20 @@ def rejected_transactions(raw: DataFrame, precision: str = "micros") -> DataFram
     )
 
 
+def decoded_transactions(raw: DataFrame, precision: str = "micros") -> DataFrame:
+    """Both sides at once: the clean columns, and of rows that are not clean the reason and raw text."""
+    reason = reject_reason()
+    return _normalised(raw, precision).select(
+        *schemas.CLEAN.names, reason.alias("reason"), F.when(reason.isNotNull(), F.col("value")).alias("value")
+    )
+
+
+def counted_reasons() -> list[Column]:
+    """Numbers of rows by `reason`, of those that are clean as CLEAN."""
+    counts = [F.count_if(F.col("reason") == name).alias(name) for name in REASONS]
+    return [F.count_if(F.col("reason").isNull()).alias("CLEAN"), *counts]
+
+
 def drop_redelivered(clean: DataFrame) -> DataFrame:
     """Optional: remove copies from at-least-once delivery. A change is identified by its
     transaction and log position."""
@@ -121,11 +138,51 @@ def decode_flat(raw: DataFrame, schema: StructType, keep: Sequence[str] = ()) ->
     return raw.select(*keep, row.alias("row")).select(*keep, "row.*")
 
 
-def split_undecodable(raw: DataFrame, schema: StructType) -> tuple[DataFrame, DataFrame]:
-    """(rows, dead letters) of a topic of flat JSON objects."""
+def _checked_flat(raw: DataFrame, schema: StructType) -> DataFrame:
+    """(value, row, bad): bad where the text is no JSON object of these fields."""
     checked = StructType([*schema.fields, StructField(schemas.CORRUPT, StringType())])
     text = raw.select(F.col("value").cast("string").alias("value"))
     parsed = text.select("value", _parsed_once(F.col("value"), checked).alias("row"))
     bad = F.col("row").isNull() | F.col(f"row.{schemas.CORRUPT}").isNotNull()
-    rows = parsed.filter(~bad).select(*[F.col(f"row.{n}").alias(n) for n in schema.names])
-    return rows, parsed.filter(bad).select("value")
+    return parsed.withColumn("bad", bad)
+
+
+def split_undecodable(raw: DataFrame, schema: StructType) -> tuple[DataFrame, DataFrame]:
+    """(rows, dead letters) of a topic of flat JSON objects."""
+    parsed = _checked_flat(raw, schema)
+    rows = parsed.filter(~F.col("bad")).select(*[F.col(f"row.{n}").alias(n) for n in schema.names])
+    return rows, parsed.filter("bad").select("value")
+
+
+def _flat_reason(schema: StructType) -> Column:
+    """Why a message of a topic of transactions can't be used; null for those that can. `schema` has at least tx_id."""
+    def field(name: str) -> Column:
+        return F.col(f"row.{name}")
+
+    reason = F.when(F.col("value").isNull(), NULL_VALUE).when(F.col("bad"), UNDECODABLE).when(field("tx_id").isNull(), NO_TX_ID)
+    if "event_time" in schema.names:
+        reason = reason.when(~C.plausible_time(field("event_time")), BAD_TIME)
+    if "amount" in schema.names:
+        reason = reason.when(~C.fits_money(field("amount")), BAD_AMOUNT)
+    return reason
+
+
+def usable_flat(raw: DataFrame, schema: StructType) -> DataFrame:
+    """The rows of a topic of transactions that can be used."""
+    rows = _checked_flat(raw, schema).filter(_flat_reason(schema).isNull())
+    return rows.select(*[F.col(f"row.{n}").alias(n) for n in schema.names])
+
+
+def rejected_flat(raw: DataFrame, schema: StructType) -> DataFrame:
+    """The other side of `usable_flat`: (reason, value)."""
+    rows = _checked_flat(raw, schema).select(_flat_reason(schema).alias("reason"), "value")
+    return rows.filter(F.col("reason").isNotNull())
+
+
+def rejected_changes(raw: DataFrame, row: StructType, key: str) -> DataFrame:
+    """(reason, value) of dimension change events that change nothing: unreadable or without a key."""
+    decoded = decode_envelopes(raw, row)
+    unreadable = F.col(schemas.CORRUPT).isNotNull() & F.col("op").isNull() & F.col(f"record.{key}").isNull()
+    reason = F.when(F.col("value").isNull(), NULL_VALUE).when(unreadable, UNDECODABLE).when(
+        F.col(f"record.{key}").isNull(), NO_KEY)
+    return decoded.select(reason.alias("reason"), "value").filter(F.col("reason").isNotNull())

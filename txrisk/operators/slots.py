@@ -12,7 +12,6 @@ Times are epoch microseconds held in a bigint, and a slot is named by its first
 
 from __future__ import annotations
 
-import time
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -21,11 +20,6 @@ from pyspark.sql import functions as F
 MICROS = 1_000_000
 
 
-def now_micros() -> int:
-    """The time, beyond which no event may move what is kept: rows dated ahead are few and wrong."""
-    return time.time_ns() // 1000
-
-
 def slot_start(at: Column, seconds: int) -> Column:
     return at - F.pmod(at, F.lit(seconds * MICROS))
 

@@ -15,7 +15,7 @@ ops AS (
   FROM src
 ),
 tx AS (
-  SELECT event_id AS tx_id, CAST(user_id AS INTEGER) AS account_id,
+  SELECT event_id AS tx_id, TRY_CAST(user_id AS INTEGER) AS account_id,
          CASE WHEN op = 'd' THEN NULL ELSE value END AS amount,
          'VND' AS currency, upper(kind) AS tx_type, 'M' || k AS merchant,
          'D' || user_id AS device_id, CAST(NULL AS VARCHAR) AS ip_address,
@@ -33,13 +33,14 @@ tx AS (
 
 DIMS = """
 acc AS (
-  SELECT CAST(c_custkey AS INTEGER) AS account_id, c_nationkey AS customer_id,
+  SELECT CASE WHEN c_acctbal >= 0 THEN 1 ELSE -1 END * TRY_CAST(c_custkey AS INTEGER) AS account_id,
+         c_nationkey AS customer_id,
          c_mktsegment AS account_type,
          CASE WHEN c_acctbal > 9900 THEN 'DELETED' WHEN c_acctbal < 1000 THEN 'FROZEN'
               ELSE 'ACTIVE' END AS status,
          c_acctbal > 9900 AS is_deleted,
          make_timestamp((1700000000 + c_custkey) * 1000000) AS updated_at
-  FROM customer WHERE c_acctbal >= 0
+  FROM customer
 ),
 cus AS (
   SELECT n_nationkey AS customer_id,
@@ -137,7 +138,7 @@ changes AS (
   FROM orders
 ),
 account_changes AS (
-  SELECT CAST(o_custkey AS INTEGER) AS account_id, CAST(o_orderkey AS INTEGER) AS customer_id,
+  SELECT TRY_CAST(o_custkey AS INTEGER) AS account_id, TRY_CAST(o_orderkey AS INTEGER) AS customer_id,
          o_orderstatus AS account_type,
          CASE WHEN op = 'd' THEN 'DELETED' ELSE level END AS status,
          op = 'd' AS is_deleted, o_orderdate AS updated_at,
@@ -202,7 +203,7 @@ FROM src GROUP BY 1""",
     + "SELECT account_id, customer_id, account_type, status, is_deleted, updated_at "
       "FROM account_changes " + _LATEST.format(key="account_id", seq="lsn"),
     "customer_state_latest": _with(CHANGES) + """
-SELECT CAST(o_custkey AS INTEGER) AS customer_id, level AS risk_level, op = 'd' AS is_deleted,
+SELECT TRY_CAST(o_custkey AS INTEGER) AS customer_id, level AS risk_level, op = 'd' AS is_deleted,
        o_orderdate AS updated_at
 FROM changes """ + _LATEST.format(key="o_custkey", seq="o_orderkey"),
     "velocity_tumbling_1m": _with(TX) + """
@@ -255,7 +256,7 @@ FROM lines l
 ASOF LEFT JOIN versions v ON l.o_custkey = v.o_custkey AND l.l_shipdate >= v.o_orderdate""",
     "dim_enrich_asof": _with(TX) + """
 , acc AS (
-  SELECT CAST(user_id AS INTEGER) AS account_id, k AS customer_id, 'CARD' AS account_type,
+  SELECT TRY_CAST(user_id AS INTEGER) AS account_id, k AS customer_id, 'CARD' AS account_type,
          CASE WHEN value > 50 THEN 'FROZEN' ELSE 'ACTIVE' END AS status, ts AS updated_at
   FROM src WHERE kind = 'signup'
 ),
@@ -282,6 +283,52 @@ SELECT tx_id, account_id,
 FROM fired""",
 }
 
+def _slice(n: int) -> str:
+    """Which of `n` stretches of time a row of `events` is delivered with."""
+    edges = " ".join(
+        f"WHEN epoch_us(ts) >= low + (high - low) * {i} // {n} THEN {i}" for i in range(n - 1, 0, -1))
+    return f"CASE {edges} ELSE 0 END"
+
+
+_RANGE = """
+span AS (SELECT min(epoch_us(ts)) AS low, max(epoch_us(ts)) AS high FROM events)"""
+
+_FRESH_ROWS = _latest_behavior("minute", "4 MINUTE")
+
+_LATE = _with(TX, _RANGE) + f"""
+, sent AS (
+  SELECT e.event_id, e.ts, CASE WHEN k BETWEEN 40 AND 44 THEN 2 ELSE {_slice(3)} END AS run
+  FROM src e CROSS JOIN span
+),
+marks AS (
+  SELECT r.run, date_trunc('millisecond', max(s.ts)) - INTERVAL 600 SECOND AS watermark
+  FROM (SELECT DISTINCT run FROM sent) r JOIN sent s ON s.run < r.run GROUP BY r.run
+)
+SELECT t.tx_id, t.account_id, t.event_time, m.watermark, 'LATE' AS reason
+FROM tx t JOIN sent s ON s.event_id = t.tx_id JOIN marks m ON m.run = s.run
+WHERE date_trunc('minute', t.event_time) + INTERVAL 1 MINUTE <= m.watermark"""
+
+# What each row knows are the rows that were delivered with it or before.
+_OUTLIERS = _with(TX, _RANGE) + f"""
+, moved AS (
+  SELECT t.tx_id, t.account_id, t.location, t.status, {_slice(4)} AS run,
+         CASE s.k WHEN 30 THEN s.ts + INTERVAL 400 DAY WHEN 31 THEN s.ts + INTERVAL 14600 DAY
+                  WHEN 32 THEN s.ts - INTERVAL 7300 DAY WHEN 33 THEN NULL ELSE s.ts END AS event_time,
+         CASE WHEN s.k IN (34, 35) THEN 0 ELSE t.spent END AS spent
+  FROM tx t JOIN src s ON s.event_id = t.tx_id CROSS JOIN span
+)
+SELECT e.tx_id, e.account_id, e.event_time, e.location,
+       count(p.tx_id) FILTER (p.event_time >= e.event_time - INTERVAL 1 MINUTE) AS tx_count_1m,
+       CAST(COALESCE(sum(p.spent) FILTER (p.event_time >= e.event_time - INTERVAL 5 MINUTE), 0) AS DOUBLE)
+         AS amount_sum_5m,
+       count(p.tx_id) FILTER (p.event_time >= e.event_time - INTERVAL 5 MINUTE AND p.status = 'FAILED')
+         AS failed_tx_5m,
+       first(p.location ORDER BY p.event_time DESC, p.tx_id DESC)
+         FILTER (p.event_time < e.event_time OR p.tx_id < e.tx_id) AS last_location
+FROM moved e
+LEFT JOIN moved p ON p.account_id = e.account_id AND p.run <= e.run AND p.event_time <= e.event_time
+GROUP BY e.tx_id, e.account_id, e.event_time, e.location"""
+
 STREAMS: dict[str, str] = {
     "stream_clean_lake": BATCH["cdc_decode_clean"],
     "stream_dead_letters": f"SELECT * FROM ({BATCH['cdc_bad_records']}) WHERE reason <> 'VALID'",
@@ -289,7 +336,22 @@ STREAMS: dict[str, str] = {
     "stream_customer_state": BATCH["customer_state_latest"],
     "stream_velocity_1m": BATCH["velocity_tumbling_1m"],
     "stream_spend_fail_5m": BATCH["spend_fail_sliding_5m"],
+    "stream_clean_counts": BATCH["cdc_bad_records"],
+    "clean_topic_dead_letters": _with(TX) + """
+SELECT CASE k WHEN 25 THEN 'UNDECODABLE' WHEN 26 THEN 'NULL_VALUE' WHEN 27 THEN 'NO_TX_ID'
+              WHEN 28 THEN 'BAD_AMOUNT' WHEN 29 THEN 'UNDECODABLE' ELSE 'USED' END AS reason,
+       count(*) AS n
+FROM src GROUP BY 1""",
+    "dimension_dead_letters": """
+SELECT CASE o_orderkey % 10 WHEN 1 THEN 'NO_KEY' WHEN 2 THEN 'UNDECODABLE' ELSE 'NULL_VALUE' END AS reason,
+       count(*) AS n
+FROM orders WHERE o_orderkey % 10 IN (1, 2, 3) GROUP BY 1""",
     "stream_behavior_latest": BATCH["behavior_latest"],
+    "stream_behavior_fresh": f"""
+SELECT *, updated_at + INTERVAL 600 SECOND AS expires_at FROM ({_FRESH_ROWS})
+WHERE updated_at + INTERVAL 600 SECOND > (SELECT max(ts) FROM events)""",
+    "stream_late_rows": _LATE,
+    "stream_enriched_outliers": _OUTLIERS,
     "stream_enriched": BATCH["enriched_full"],
     "stream_verdicts": BATCH["risk_verdicts"],
     "stream_judged_topic": BATCH["risk_verdicts"],

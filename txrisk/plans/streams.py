@@ -3,15 +3,16 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from txrisk.operators import behavior, decode, dims, rules
 from txrisk.plans import catalog
 from txrisk.plans import tables as T
 from txrisk.plans.catalog import DAY_WINDOWS, TEST_LIMITS, comparable
-from txrisk.schemas import CLEAN
+from txrisk.schemas import ACCOUNT_ROW, CLEAN
 from txrisk.session import shared_dir
 from txrisk.sources import readers
 from txrisk.sources.state import BatchTable
@@ -28,88 +29,180 @@ def finish(*queries) -> None:
         query.awaitTermination()
 
 
+def slice_of(n: int) -> Column:
+    """Which of `n` consecutive stretches of time, 0 to n - 1, a row of `events` is in; 0 without a time.
+    `low` and `high` are the first and last time of the table, in microseconds."""
+    at, number = F.unix_micros(F.col("ts").cast("timestamp")), F.lit(0)
+    for i in range(1, n):
+        edge = F.col("low") + F.floor((F.col("high") - F.col("low")) * i / n)
+        number = F.when(at >= edge, i).otherwise(number)
+    return number
+
+
+def time_slices(events: DataFrame, n: int) -> list[DataFrame]:
+    """The whole table in `n` consecutive stretches of time; a table without times is the first."""
+    at = F.unix_micros(F.col("ts").cast("timestamp"))
+    low, high = events.agg(F.min(at), F.max(at)).first()
+    marked = events.withColumns({name: F.lit(value).cast("bigint") for name, value in (("low", low), ("high", high))})
+    marked = marked.withColumn("slice", slice_of(n)).drop("low", "high")
+    return [marked.filter(F.col("slice") == i).drop("slice") for i in range(n)]
+
+
+def delivered(spark, sf_dir, name: str, work: str, slices: int, arrange=None):
+    """The rows of a table as files of `slices` runs: after each yield the next is there to be read.
+
+    Gives the schema and the folder. `arrange` may change the slices' rows.
+    """
+    parts = (time_slices if name == "events" else hashed_slices)(T.table(spark, sf_dir, name), slices)
+    schema = parts[0].schema
+    for i, part in enumerate(arrange(parts) if arrange else parts):
+        part.write.mode("append").parquet(f"{work}/{name}")
+        yield schema, f"{work}/{name}"
+
+
+def hashed_slices(rows: DataFrame, n: int) -> list[DataFrame]:
+    """The whole table in `n` parts by a hash of its rows: changes of a key arrive out of order."""
+    part = F.pmod(F.xxhash64(*rows.columns), F.lit(n))
+    return [rows.filter(part == i) for i in range(n)]
+
+
 def stream_clean_lake(spark, sf_dir):
+    """In three runs on one checkpoint: the lake, from the landed decode."""
     work = shared_dir(spark, "clean")
-    raw = T.transaction_envelopes(table_stream(spark, sf_dir, "events"))
-    finish(*jobs.start_clean(raw, f"{work}/checkpoint", f"{work}/lake", available_now=True))
-    return comparable(spark.read.schema(CLEAN).parquet(f"{work}/lake"))
+    for schema, folder in delivered(spark, sf_dir, "events", work, 3):
+        raw = T.transaction_envelopes(readers.file_stream(spark, folder, schema))
+        finish(jobs.start_clean(raw, f"{work}/checkpoint", f"{work}/lake", available_now=True))
+    return comparable(spark.read.schema(CLEAN).parquet(f"{work}/lake").select(*CLEAN.names))
 
 
-def stream_dead_letters(spark, sf_dir):
+def _damaged(spark, sf_dir):
+    """The clean job over damaged change events, in two runs: (lake, dead letters)."""
     work = shared_dir(spark, "dead")
-    raw = T.damaged_envelopes(table_stream(spark, sf_dir, "events"))
-    finish(jobs.start_dead_letters(raw, f"{work}/rows", f"{work}/checkpoint", available_now=True))
-    rows = spark.read.parquet(f"{work}/rows")
+    for schema, folder in delivered(spark, sf_dir, "events", work, 2):
+        raw = T.damaged_envelopes(readers.file_stream(spark, folder, schema))
+        finish(jobs.start_clean(raw, f"{work}/checkpoint", f"{work}/lake", f"{work}/rows", available_now=True))
+    return spark.read.parquet(f"{work}/lake"), BatchTable(f"{work}/rows").read_all(spark)
+
+
+def stream_dead_letters(spark, sf_dir):
+    """From the same query as the lake."""
+    _, rows = _damaged(spark, sf_dir)
     return rows.groupBy("reason").agg(F.count(F.lit(1)).alias("n"))
 
 
-def _dimension(spark, changes, state, work):
-    finish(jobs.start_dimension(spark, changes, state, f"{work}/checkpoint", available_now=True))
-    return state.read(spark)
+def stream_clean_counts(spark, sf_dir):
+    """Rows in the lake and in the dead letters, by reason, as the clean job counts them while landing."""
+    work, counts = shared_dir(spark, "counts"), {}
+    for schema, folder in delivered(spark, sf_dir, "events", work, 2):
+        raw = T.damaged_envelopes(readers.file_stream(spark, folder, schema))
+        finish(jobs.start_clean(
+            raw, f"{work}/checkpoint", f"{work}/lake", on_counts=counts.__setitem__, available_now=True))
+    rows = [(reason or "VALID", n) for batch in counts.values() for reason, n in batch.items()]
+    return spark.createDataFrame(rows, "reason string, n long").groupBy("reason").agg(F.sum("n").alias("n"))
+
+
+def clean_topic_dead_letters(spark, sf_dir):
+    """Messages of the clean topic that its readers pass over, in a topic with faults by `k`."""
+    work = shared_dir(spark, "flat")
+    T.damaged_messages(catalog.events(spark, sf_dir)).write.parquet(f"{work}/topic")
+    raw = readers.file_stream(spark, f"{work}/topic", "key string, value string")
+    finish(jobs.start_flat_dead_letters(raw, CLEAN, f"{work}/rows", f"{work}/checkpoint", available_now=True))
+    used = decode.usable_flat(spark.read.parquet(f"{work}/topic"), CLEAN).select(F.lit("USED").alias("reason"))
+    rows = spark.read.parquet(f"{work}/rows").select("reason").unionByName(used)
+    return rows.groupBy("reason").agg(F.count(F.lit(1)).alias("n"))
+
+
+def dimension_dead_letters(spark, sf_dir):
+    """Account changes that change nothing, in a topic with faults by order key."""
+    work = shared_dir(spark, "dimension-dead")
+    raw = T.damaged_account_envelopes(table_stream(spark, sf_dir, "orders"))
+    rejected = decode.rejected_changes(raw, ACCOUNT_ROW, "account_id")
+    finish(jobs.sinks.start_rows_sink(rejected, f"{work}/rows", f"{work}/checkpoint", available_now=True))
+    return spark.read.parquet(f"{work}/rows").groupBy("reason").agg(F.count(F.lit(1)).alias("n"))
+
+
+def _dimension(spark, sf_dir, name, changes, state):
+    """A dimension's state after four runs that deliver its changes out of order."""
+    work = shared_dir(spark, name)
+    state = state(f"{work}/state", fold_every=2)
+    for schema, folder in delivered(spark, sf_dir, "orders", work, 4):
+        source = changes(readers.file_stream(spark, folder, schema))
+        finish(jobs.start_dimension(spark, source, state, f"{work}/checkpoint", available_now=True))
+    return state
 
 
 def stream_account_state(spark, sf_dir):
-    work = shared_dir(spark, "accounts")
-    changes = dims.account_changes(T.account_envelopes(table_stream(spark, sf_dir, "orders")))
-    rows = _dimension(spark, changes, jobs.account_state(f"{work}/state"), work)
-    return comparable(rows.select(*dims.ACCOUNT_STATE))
+    state = _dimension(spark, sf_dir, "accounts", lambda rows: dims.account_changes(T.account_envelopes(rows)),
+                       jobs.account_state)
+    return comparable(state.read(spark).select(*dims.ACCOUNT_STATE))
 
 
 def stream_customer_state(spark, sf_dir):
-    work = shared_dir(spark, "customers")
-    changes = dims.customer_changes(T.customer_envelopes(table_stream(spark, sf_dir, "orders")))
-    rows = _dimension(spark, changes, jobs.customer_state(f"{work}/state"), work)
-    return comparable(rows.select(*dims.CUSTOMER_STATE))
+    state = _dimension(spark, sf_dir, "customers", lambda rows: dims.customer_changes(T.customer_envelopes(rows)),
+                       jobs.customer_state)
+    return comparable(state.read(spark).select(*dims.CUSTOMER_STATE))
 
 
-def _behavior_tables(spark, sf_dir):
+def _behavior(spark, sf_dir):
+    """The behaviour job over the events, in three runs on one checkpoint."""
     work = shared_dir(spark, "behavior")
-    session = jobs.state_session(spark)
-    clean = T.clean_rows(table_stream(session, sf_dir, "events"))
-    counts, sums = jobs.window_table(f"{work}/counts"), jobs.window_table(f"{work}/sums")
-    finish(*jobs.start_behavior(
-        spark, clean, counts, sums, f"{work}/checkpoint", available_now=True
-    ))
-    return counts.read(spark), sums.read(spark)
+    store = jobs.BehaviorStore(f"{work}/state", fold_every=2)
+    for schema, folder in delivered(spark, sf_dir, "events", work, 3):
+        session = jobs.state_session(spark)
+        clean = T.clean_rows(readers.file_stream(session, folder, schema))
+        finish(jobs.start_behavior(spark, clean, store, f"{work}/checkpoint", available_now=True))
+    return store
 
 
 def stream_velocity_1m(spark, sf_dir):
-    counts, _ = _behavior_tables(spark, sf_dir)
+    counts = _behavior(spark, sf_dir).counts(spark)
     return comparable(counts.select("account_id", "window_start", "window_end", "cnt_1m"))
 
 
 def stream_spend_fail_5m(spark, sf_dir):
-    _, sums = _behavior_tables(spark, sf_dir)
-    return comparable(
-        sums.select("account_id", "window_start", "window_end", "sum_5m", "fail_5m")
-    )
+    sums = _behavior(spark, sf_dir).sums(spark)
+    return comparable(sums.select("account_id", "window_start", "window_end", "sum_5m", "fail_5m"))
 
 
 def stream_behavior_latest(spark, sf_dir):
-    state = jobs.behavior_state(*_behavior_tables(spark, sf_dir))
-    return comparable(state.select("account_id", "updated_at", *behavior.FEATURES))
+    rows = _behavior(spark, sf_dir).rows(spark)
+    return comparable(rows.select("account_id", "updated_at", *behavior.FEATURES))
 
 
-def _time_slices(events: DataFrame, n: int) -> list[DataFrame]:
-    """The whole table in `n` consecutive stretches of time."""
-    low, high = events.agg(
-        F.min(F.unix_micros(F.col("ts").cast("timestamp"))),
-        F.max(F.unix_micros(F.col("ts").cast("timestamp"))),
-    ).first()
-    at = F.unix_micros(F.col("ts").cast("timestamp"))
-    edges = [low + (high - low) * i // n for i in range(n)] + [high + 1]
-    return [events.filter((at >= a) & (at < b)) for a, b in zip(edges, edges[1:])]
+def stream_behavior_fresh(spark, sf_dir):
+    """The behaviour rows that have not expired at the time of the last event."""
+    now = T.table(spark, sf_dir, "events").agg(F.max(F.col("ts").cast("timestamp"))).first()[0]
+    rows = _behavior(spark, sf_dir).rows(spark, now=F.lit(now).cast("timestamp"))
+    return comparable(rows.select("account_id", "updated_at", "expires_at", *behavior.FEATURES))
+
+
+def stream_late_rows(spark, sf_dir):
+    """Transactions that came behind the watermark. Those with a `k` of 40 to 44 are delivered with the last
+    of three runs, whatever their time."""
+    work = shared_dir(spark, "late")
+
+    def arrange(parts):
+        held = F.coalesce(T.k_of_props().between(40, 44), F.lit(False))
+        return [*[part.filter(~held) for part in parts[:-1]],
+                reduce(DataFrame.unionByName, [parts[-1], *[part.filter(held) for part in parts[:-1]]])]
+
+    for schema, folder in delivered(spark, sf_dir, "events", work, 3, arrange):
+        clean = T.clean_rows(readers.file_stream(spark, folder, schema))
+        finish(jobs.start_late_rows(spark, clean, f"{work}/out", f"{work}/checkpoint", available_now=True))
+    rows = BatchTable(f"{work}/out/rows").read_all(spark)
+    return comparable(rows.select("tx_id", "account_id", "event_time", "watermark", "reason"))
 
 
 def enrich_in_slices(
-    spark: SparkSession, sf_dir: str, sink, windows=behavior.DEFAULT, slices: int = 3
+    spark: SparkSession, sf_dir: str, sink, windows=behavior.DEFAULT, slices: int = 3, change=None, fold_every: int = 2
 ) -> None:
     """Replay the events through streaming enrichment: the files of one stretch of time, a run
-    on the same checkpoint, the next stretch, and so on."""
+    on the same checkpoint, the next stretch, and so on. `change` may alter the clean rows."""
     work = shared_dir(spark, "enrich")
-    store = enrichment.EnrichmentStore(f"{work}/store", windows, fold_every=2)
-    for part in _time_slices(catalog.events(spark, sf_dir), slices):
-        T.clean_rows(part).write.mode("append").parquet(f"{work}/clean")
+    store = enrichment.EnrichmentStore(f"{work}/store", windows, fold_every=fold_every)
+    for part in time_slices(catalog.events(spark, sf_dir), slices):
+        clean = T.clean_rows(part)
+        (change(clean) if change else clean).write.mode("append").parquet(f"{work}/clean")
         source = readers.file_stream(spark, f"{work}/clean", CLEAN)
         finish(enrichment.start_enrichment(
             spark, source, store,
@@ -124,6 +217,15 @@ def stream_enriched(spark, sf_dir):
     return comparable(out.read_all(spark))
 
 
+def stream_enriched_outliers(spark, sf_dir):
+    """With rows dated far ahead, long past and not at all, and huge amounts: each row gets what the rows
+    delivered with it or before give it, and nobody's state is lost."""
+    out = BatchTable(shared_dir(spark, "outliers"))
+    enrich_in_slices(spark, sf_dir, out.write, slices=4, change=T.with_outliers, fold_every=1)
+    rows = out.read_all(spark)
+    return comparable(rows.select("tx_id", "account_id", "event_time", "location", *behavior.FEATURES, "last_location"))
+
+
 def stream_verdicts(spark, sf_dir):
     out = BatchTable(shared_dir(spark, "verdicts"))
     enrich_in_slices(
@@ -152,7 +254,8 @@ STREAMS: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         stream_clean_lake, stream_dead_letters, stream_account_state, stream_customer_state,
-        stream_velocity_1m, stream_spend_fail_5m, stream_behavior_latest,
-        stream_enriched, stream_verdicts, stream_judged_topic,
+        stream_clean_counts, clean_topic_dead_letters, dimension_dead_letters,
+        stream_velocity_1m, stream_spend_fail_5m, stream_behavior_latest, stream_behavior_fresh,
+        stream_late_rows, stream_enriched, stream_enriched_outliers, stream_verdicts, stream_judged_topic,
     )
 }

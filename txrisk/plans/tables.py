@@ -18,7 +18,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _k() -> Column:
+def k_of_props() -> Column:
     return F.get_json_object("props", "$.k").cast("int")
 
 
@@ -38,9 +38,9 @@ def _location() -> Column:
 
 def transaction_rows(events: DataFrame) -> DataFrame:
     """Row images of the transactions, as text where the wire has text, and their operation."""
-    return events.withColumn("k", _k()).select(
+    return events.withColumn("k", k_of_props()).select(
         F.col("event_id").alias("tx_id"),
-        F.col("user_id").cast("int").alias("account_id"),
+        F.col("user_id").try_cast("int").alias("account_id"),
         F.col("value").cast("decimal(18,2)").cast("string").alias("amount"),
         F.lit("VND").alias("currency"),
         F.upper("event_type").alias("tx_type"),
@@ -91,6 +91,33 @@ def damaged_envelopes(events: DataFrame) -> DataFrame:
     return rows.select(broken.alias("value"))
 
 
+def damaged_messages(events: DataFrame) -> DataFrame:
+    """(key, value) of the clean topic, with faults put in by `k`."""
+    rows = clean_rows(events).withColumn("k", F.substring("merchant", 2, 9).cast("int"))
+    k = F.col("k")
+    rows = (
+        rows.withColumn("tx_id", F.when(k != 27, F.col("tx_id")))
+        .withColumn("amount", F.when(k == 28, 1e17).otherwise(F.col("amount")))
+    )
+    pairs = rows.select("k", F.col("tx_id").cast("string").alias("key"), F.to_json(
+        F.struct(*CLEAN.names), {"timestampFormat": C.ISO_MICROS}).alias("value"))
+    broken = F.when(k == 25, "[1").when(k == 29, F.concat(F.lit('{"tx_id":'), F.lit('"x"}'))).when(k != 26, F.col("value"))
+    return pairs.select("key", broken.alias("value"))
+
+
+def with_outliers(clean: DataFrame) -> DataFrame:
+    """Clean rows of which some, by `k`, are dated 400 days or 40 years ahead, 20 years back or not at all, or have
+    an amount that no account holds."""
+    k = F.substring("merchant", 2, 9).cast("int")
+    at = F.col("event_time")
+    moved = (
+        F.when(k == 30, at + F.expr("INTERVAL 400 DAYS")).when(k == 31, at + F.expr("INTERVAL 14600 DAYS"))
+        .when(k == 32, at - F.expr("INTERVAL 7300 DAYS")).when(k != 33, at)
+    )
+    huge = F.when(k == 34, 2e16).when(k == 35, float("nan")).otherwise(F.col("amount"))
+    return clean.withColumns({"event_time": moved, "event_date": F.to_date(moved), "amount": huge})
+
+
 def clean_rows(events: DataFrame) -> DataFrame:
     """The clean transactions of `transaction_envelopes`, without the way through JSON."""
     rows = transaction_rows(events)
@@ -108,10 +135,12 @@ def clean_rows(events: DataFrame) -> DataFrame:
 
 
 def accounts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Accounts that were captured: those not overdrawn. The others stay unmatched."""
+    """Accounts under their own ids, those overdrawn under negative ones: transactions of these stay unmatched."""
     gone = F.col("c_acctbal") > 9900
-    return table(spark, sf_dir, "customer").filter(F.col("c_acctbal") >= 0).select(
-        F.col("c_custkey").cast("int").alias("account_id"),
+    held = F.coalesce(F.col("c_acctbal") >= 0, F.lit(False))
+    key = F.col("c_custkey").try_cast("int")
+    return table(spark, sf_dir, "customer").select(
+        F.when(held, key).otherwise(-key).alias("account_id"),
         F.col("c_nationkey").alias("customer_id"),
         F.col("c_mktsegment").alias("account_type"),
         F.when(gone, "DELETED").when(F.col("c_acctbal") < 1000, "FROZEN").otherwise("ACTIVE")
@@ -139,8 +168,8 @@ def _order_changes(orders: DataFrame) -> DataFrame:
     return orders.select(
         F.when(priority == "4-NOT SPECIFIED", F.lit(None).cast("string"))
         .when(status == "P", "d").when(status == "F", "c").otherwise("u").alias("op"),
-        F.col("o_custkey").cast("int").alias("changed_key"),
-        F.col("o_orderkey").cast("int").alias("version"),
+        F.col("o_custkey").try_cast("int").alias("changed_key"),
+        F.col("o_orderkey").try_cast("int").alias("version"),
         F.when(level != "NOT SPECIFIED", level).alias("level"),
         status.alias("kind"),
         F.unix_millis(F.col("o_orderdate").cast("timestamp")).alias("ts_ms"),
@@ -152,14 +181,28 @@ def _as_row(df: DataFrame, names: list[str], **given: Column) -> DataFrame:
     return df.select("op", "version", "ts_ms", *[given.get(n, blank).alias(n) for n in names])
 
 
-def account_envelopes(orders: DataFrame) -> DataFrame:
-    rows = _as_row(
+def _account_images(orders: DataFrame) -> DataFrame:
+    return _as_row(
         _order_changes(orders), ACCOUNT_ROW.names,
         account_id=F.col("changed_key"), customer_id=F.col("version"),
         account_type=F.col("kind"), status=F.col("level"),
     )
-    value = _envelope(ACCOUNT_ROW.names, "account", F.col("version"), F.col("ts_ms"))
-    return rows.select(value.alias("value"))
+
+
+def _account_event() -> Column:
+    return _envelope(ACCOUNT_ROW.names, "account", F.col("version"), F.col("ts_ms"))
+
+
+def account_envelopes(orders: DataFrame) -> DataFrame:
+    return _account_images(orders).select(_account_event().alias("value"))
+
+
+def damaged_account_envelopes(orders: DataFrame) -> DataFrame:
+    """The account changes, with faults put in by the last digit of the order's number."""
+    digit = F.col("version") % 10
+    rows = _account_images(orders).withColumn("account_id", F.when(digit != 1, F.col("account_id")))
+    broken = F.when(digit == 2, "{not json").when(digit != 3, _account_event())
+    return rows.select(broken.alias("value"))
 
 
 def customer_envelopes(orders: DataFrame) -> DataFrame:
@@ -173,8 +216,8 @@ def customer_envelopes(orders: DataFrame) -> DataFrame:
 
 def signup_account_changes(events: DataFrame) -> DataFrame:
     """Signup events read as account changes, in the time range of the transactions."""
-    return events.filter(F.col("event_type") == "signup").withColumn("k", _k()).select(
-        F.col("user_id").cast("int").alias("account_id"), F.col("k").alias("customer_id"),
+    return events.filter(F.col("event_type") == "signup").withColumn("k", k_of_props()).select(
+        F.col("user_id").try_cast("int").alias("account_id"), F.col("k").alias("customer_id"),
         F.lit("CARD").alias("account_type"),
         F.when(F.col("value") > 50, "FROZEN").otherwise("ACTIVE").alias("status"),
         F.lit(False).alias("is_deleted"), F.col("ts").cast("timestamp").alias("updated_at"),
@@ -185,7 +228,7 @@ def signup_account_changes(events: DataFrame) -> DataFrame:
 
 def view_customer_changes(events: DataFrame) -> DataFrame:
     """View events read as changes of customer `k`."""
-    return events.filter(F.col("event_type") == "view").withColumn("k", _k()).select(
+    return events.filter(F.col("event_type") == "view").withColumn("k", k_of_props()).select(
         F.col("k").alias("customer_id"),
         F.when(F.col("value") > 50, "HIGH").when(F.col("value") > 10, "LOW").alias("risk_level"),
         F.lit(False).alias("is_deleted"), F.col("ts").cast("timestamp").alias("updated_at"),

@@ -81,3 +81,7 @@ ENRICHED_WIRE = struct_of(
     tx_id=_L, account_id=_I, amount=DoubleType(), location=_S, customer_risk=_S,
     tx_count_1m=_L, amount_sum_5m=DoubleType(), failed_tx_5m=_L, last_location=_S,
 )
+
+# What behaviour windows read of a clean transaction on the wire.
+BEHAVIOR_WIRE = StructType([CLEAN[name] for name in (
+    "tx_id", "account_id", "amount", "status", "event_type", "event_time")])

@@ -1,7 +1,7 @@
 """Continuous enrichment: the batch operators, one micro-batch at a time.
 
-Trailing windows and the previous location need rows of earlier micro-batches. Those are kept in
-batch tables, and each micro-batch reads what can matter to it:
+Trailing windows and the previous location need rows of earlier micro-batches. Those are kept dealt
+out by account, and each micro-batch opens the buckets of its own accounts:
 
 * earlier transactions of the batch's accounts within a window's reach, for the windows;
 * the last transaction per (account, slot), for the previous location;
@@ -15,24 +15,41 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from txrisk.operators import enrich
 from txrisk.operators.behavior import DEFAULT, Windows, slot_tails
-from txrisk.operators.slots import MICROS, now_micros, slot_start
+from txrisk.operators.slots import MICROS, slot_start
 from txrisk.sources import sinks
-from txrisk.sources.state import BatchTable, KeyedState
+from txrisk.sources.state import BatchTable, BucketedLog, KeyedState
+
+# What earlier transactions are kept for: windows and the order within an account.
+KEPT = ("account_id", "event_time", "tx_id", "lsn", "amount", "status", "event_type", "location")
+
+
+def newest_slots(rows: DataFrame, slot: Column, most: int) -> DataFrame:
+    """The rows in the `most` newest slots in which their account has any.
+
+    Slots are counted, not measured: a row dated far ahead takes the place of one slot of its own
+    account, whatever its date, and none of any other account.
+    """
+    keyed = rows.withColumn("_slot", slot)
+    order = Window.partitionBy("account_id").orderBy(F.desc("_slot"))
+    kept = (
+        keyed.select("account_id", "_slot").distinct()
+        .withColumn("_place", F.row_number().over(order)).filter(F.col("_place") <= most)
+    )
+    return keyed.join(kept, ["account_id", "_slot"], "left_semi").select(*rows.columns)
 
 
 class EnrichmentStore:
     """What enrichment keeps between micro-batches, under one folder.
 
-    `keep_slots` is for how many slots of event time (or spend windows, if those are longer),
-    counted back from an account's newest (rows: from the newest of all, or from now if that is earlier), transactions and the last one per (account, slot) are kept. Of older ones only each account's last is: a
-    row that arrives later than that lacks earlier rows in its windows, and finds no previous
-    location of before its own time.
+    Of each account the `keep_slots` newest slots (rows: stretches) that hold any of its
+    transactions are kept, however long ago they are. A row that arrives later than those lacks
+    earlier rows in its windows, and finds no previous location of before its own time.
     """
 
     def __init__(
@@ -41,67 +58,50 @@ class EnrichmentStore:
         windows: Windows = DEFAULT,
         keep_slots: int = 24 * 4,
         fold_every: int = 20,
+        buckets: int = 16,
     ):
         self.windows = windows
         self.reach = max(windows.count, windows.spend)
         # Rows are looked up by stretches that a window, or a slot, spans at most two of.
         self.stretch = max(windows.slot, self.reach)
-        self.keep = keep_slots * self.stretch * MICROS
-        self.rows = BatchTable(f"{path}/rows")
-        self.spans = KeyedState(
-            f"{path}/spans", ["batch_id"], [], fold_every, self._trim_spans, keep_log=False
+        self.keep_slots = keep_slots
+        self.landed = BatchTable(f"{path}/landed")
+        options = {"fold_every": fold_every, "buckets": buckets}
+        self.rows = BucketedLog(
+            f"{path}/rows", "account_id", trim=self._trim_rows, layout=f"stretch {self.stretch}", **options
         )
         self.tails = KeyedState(
-            f"{path}/tails", ["account_id", "slot"], ["tail"], fold_every, self._trim_tails,
-            keep_log=False,
+            f"{path}/tails", ["account_id", "slot"], ["tail"], trim=self._trim_tails,
+            layout=f"slot {windows.slot}", **options
         )
 
-    def _trim_tails(self, tails: DataFrame) -> DataFrame:
-        # By account, and never ahead of the time: no row moves what is kept of other accounts.
-        newest = tails.groupBy("account_id").agg(
-            F.least(F.max("slot"), F.lit(now_micros())).alias("_newest")
-        )
-        columns = tails.columns
-        tails = tails.join(newest, "account_id")
-        recent = F.col("slot") >= F.col("_newest") - self.keep
-        rest = [c for c in columns if c != "account_id"]
-        last = (
-            tails.filter(~recent).groupBy("account_id")
-            .agg(F.max_by(F.struct(*rest), "slot").alias("last"))
-            .select("account_id", "last.*")
-        )
-        return tails.filter(recent).select(columns).unionByName(last.select(columns))
+    def _trim_rows(self, rows: DataFrame) -> DataFrame:
+        own = slot_start(F.unix_micros("event_time"), self.stretch)
+        return newest_slots(rows, own, self.keep_slots + 1)
 
-    def _trim_spans(self, spans: DataFrame) -> DataFrame:
-        # A batch counts by its first event, so that a row dated ahead doesn't age the other batches.
-        newest = spans.agg(F.max("first")).first()[0]
-        if newest is None:
-            return spans
-        newest = min(newest, now_micros())
-        return spans.filter(F.col("last") >= newest - self.keep - 2 * self.stretch * MICROS)
+    def _trim_tails(self, tails: DataFrame) -> DataFrame:
+        return newest_slots(tails, F.col("slot"), self.keep_slots)
 
     def fold(self, spark: SparkSession, batch_id: int) -> None:
-        """Fold the state, and drop the rows no window of a kept slot can reach any more."""
         self.tails.fold(spark, batch_id)
-        if not self.spans.fold(spark, batch_id):
-            return
-        oldest = self.spans.read(spark, before=batch_id).agg(F.min("batch_id").alias("id"))
-        first = oldest.first()["id"]
-        if first is not None:
-            self.rows.drop_before(spark, first)
+        self.rows.fold(spark, batch_id)
+
+    def keep(self, batch: DataFrame, batch_id: int) -> None:
+        """Keep a micro-batch for those after it."""
+        owned = F.col("account_id").isNotNull() & F.col("event_time").isNotNull()
+        self.rows.write(batch.filter(owned).select(*KEPT), batch_id)
+        self.tails.write(slot_tails(batch, self.windows.slot), batch_id)
 
     def context(self, spark: SparkSession, batch: DataFrame, span, batch_id: int):
         """Earlier rows that windows ending in this batch can reach, or None."""
-        spans = self.spans.read(spark, before=batch_id)
-        if spans is None or span["first"] is None:
+        if span["first"] is None:
             return None
-        length = self.stretch * MICROS
-        start = span["first"] // length * length - length
-        near = spans.filter((F.col("last") >= start) & (F.col("first") <= span["last"]))
-        ids = sorted(row["batch_id"] for row in near.select("batch_id").collect())
-        earlier = self.rows.read(spark, ids)
+        accounts = batch.select("account_id").distinct()
+        earlier = self.rows.read(spark, before=batch_id, only=accounts, buckets=set(span["buckets"]))
         if earlier is None:
             return None
+        length = self.stretch * MICROS
+        start = span["first"] // length * length - length
         own = slot_start(F.unix_micros("event_time"), self.stretch)
         touched = batch.select(
             "account_id", F.explode(F.array(own, own - length)).alias("_stretch")
@@ -114,8 +114,8 @@ class EnrichmentStore:
             .drop("_stretch")
         )
 
-    def earlier_tails(self, spark: SparkSession, account_ids: DataFrame, batch_id: int):
-        return self.tails.read(spark, before=batch_id, only=account_ids)
+    def earlier_tails(self, spark: SparkSession, account_ids: DataFrame, span, batch_id: int):
+        return self.tails.read(spark, before=batch_id, only=account_ids, buckets=set(span["buckets"]))
 
 
 def process_batch(
@@ -131,12 +131,14 @@ def process_batch(
     at the same batch wrote, so it may be repeated after a failure at any point."""
     # Written first and read back: the batch is computed once, and what follows runs as a batch
     # query with adaptive execution, which streams run without.
-    store.rows.write(incoming, batch_id)
-    batch = store.rows.read(spark, [batch_id])
+    store.landed.write(incoming, batch_id)
+    store.landed.drop_before(spark, batch_id - 1)
+    batch = store.landed.read(spark, [batch_id])
     span = batch.agg(
         F.count(F.lit(1)).alias("n"),
         F.min(F.unix_micros("event_time")).alias("first"),
         F.max(F.unix_micros("event_time")).alias("last"),
+        F.collect_set(store.rows.bucket()).alias("buckets"),
     ).first()
     if span["n"] == 0:
         return
@@ -147,13 +149,10 @@ def process_batch(
     accounts, customers = dimensions(account_ids)
     enriched = enrich.enrich(
         batch, accounts, customers, store.windows, event_types,
-        context=context, earlier_tails=store.earlier_tails(spark, account_ids, batch_id),
+        context=context, earlier_tails=store.earlier_tails(spark, account_ids, span, batch_id),
     )
     sink(enriched, batch_id)
-    store.tails.write(slot_tails(batch, store.windows.slot), batch_id)
-    bounds = {"batch_id": batch_id, "first": span["first"], "last": span["last"]}
-    row = [F.lit(value).cast("bigint").alias(name) for name, value in bounds.items()]
-    store.spans.write(spark.range(1).select(*row), batch_id)
+    store.keep(batch, batch_id)
 
 
 def start_enrichment(
