@@ -8,6 +8,7 @@ from rows import T0, at, expected, frame, tx
 from txrisk import schemas
 from txrisk.operators import asof, behavior, enrich, rules
 from txrisk.operators.behavior import Windows
+from txrisk.operators.slots import dense_cuts
 
 UTC = datetime.timezone.utc
 
@@ -118,9 +119,8 @@ def test_window_ends_belong_to_the_window(spark):
     assert [got[i][:2] for i in (1, 2, 3, 4)] == [(1, 5.0), (2, 12.0), (1, 13.0), (2, 10.0)]
 
 
-def largest_group(plan_input, windows=behavior.DEFAULT):
-    marks = behavior._entering(plan_input.withColumn("_emit", F.lit(True)), windows, None)
-    marks = marks.unionByName(behavior._leaving(marks, windows), allowMissingColumns=True)
+def largest_group(plan_input, windows=behavior.DEFAULT, cuts=None):
+    marks = behavior._marks(behavior._entering(plan_input.withColumn("_emit", F.lit(True)), windows, None, cuts), windows)
     return marks.groupBy("account_id", "slot").count().agg(F.max("count")).first()[0]
 
 
@@ -227,3 +227,72 @@ def test_asof_join_against_all_pairs(spark, options):
     want_options = {k: v for k, v in options.items() if k != "slot"}
     want = versions_by_hand(facts, versions, **want_options)
     assert {r.id: r.version and r.version.n for r in got.collect()} == want
+
+
+def test_a_dense_slot_is_cut(spark):
+    """A hundred thousand rows of one account within a slot, most of them within one second."""
+    n = 100_000
+    seconds = [i * 800 / n for i in range(n // 10)] + [400 + i / n for i in range(n - n // 10)]
+    rows = [tx(i, 1, s, 1.0) for i, s in enumerate(seconds)] + [tx(n, 2, 5)]
+    df = frame(spark, rows).repartition(8)
+    cuts = behavior.dense_account_cuts(df, most_rows=2000).cache()
+    assert [r.account_id for r in cuts.collect()] == [1]
+    assert largest_group(df) > n
+    # Quantiles are approximate.
+    assert largest_group(df, cuts=cuts) < 2 * 2000
+    plain = behavior.trailing_features(df).select("tx_id", *behavior.FEATURES, "last_location")
+    cut = behavior.trailing_features(df, cuts=cuts).select("tx_id", *behavior.FEATURES, "last_location")
+    assert cut.exceptAll(plain).count() == 0 and cut.count() == n + 1
+    with pytest.raises(ValueError, match="cut"):
+        behavior.trailing_features(df, earlier_tails=df, cuts=cuts)
+
+
+def test_rows_at_one_time_stay_together(spark):
+    rows = [tx(i, 1, 0) for i in range(50)] + [tx(50 + i, 1, 1 + i) for i in range(50)]
+    df = frame(spark, rows)
+    cuts = behavior.dense_account_cuts(df, most_rows=5)
+    assert features(behavior.trailing_features(df, cuts=cuts)) == expected(rows)
+
+
+@pytest.mark.parametrize("within", [1, 60, 100_000])
+def test_previous_behavior_on_skewed_rows(spark, within):
+    rows = skewed(300)
+    windows = Windows(freshness=within)
+    got = {
+        r.tx_id: (r.previous_found, r.previous_tx_count_1m, r.previous_amount_sum_5m, r.previous_failed_tx_5m)
+        for r in behavior.fresh_previous_behavior(frame(spark, rows), windows).collect()
+    }
+    known, want = expected(rows), {}
+    for r in rows:
+        earlier = [o for o in rows if r["event_time"] and o["event_time"] and r["account_id"] is not None
+                   and o["account_id"] == r["account_id"] and o["event_time"] < r["event_time"]]
+        last = max(earlier, key=lambda o: o["event_time"], default=None)
+        fresh = last is not None and (r["event_time"] - last["event_time"]).total_seconds() < within
+        want[r["tx_id"]] = (True, *known[last["tx_id"]][:3]) if fresh else (False, 0, 0.0, 0)
+    assert got == want
+
+
+def test_asof_within_and_cut(spark):
+    """Versions that expire, and slots cut by density, against all pairs."""
+    rng = random.Random(6)
+    facts = [(i, rng.randint(0, 2), at(rng.randint(0, 3000) / 2)) for i in range(200)] + [(900, None, at(0)), (901, 1, None)]
+    versions = [(i, rng.randint(0, 2), at(rng.randint(0, 3000) / 2)) for i in range(150)]
+    f = spark.createDataFrame(facts, "id int, k int, t timestamp")
+    v = spark.createDataFrame(versions, "vid int, k int, t timestamp")
+    cuts = dense_cuts(f, "k", F.unix_micros("t"), 7200, 10)
+
+    def plain(within, strict):
+        found = {}
+        for i, k, t in facts:
+            earlier = [(vt, vid) for vid, vk, vt in versions if vk == k and t and (vt < t or (vt == t and not strict))]
+            best = max(earlier, default=None)
+            young = best and (within is None or (t - best[0]).total_seconds() < within)
+            found[i] = best[1] if young else None
+        return found
+
+    for within in (1, 100, 5000):
+        for strict in (False, True):
+            got = asof.asof_join(f, v, "k", "t", "t", ["vid"], slot=120, strict=strict, within=within)
+            assert {r.id: r.version and r.version.vid for r in got.collect()} == plain(within, strict)
+    got = asof.asof_join(f, v, "k", "t", "t", ["vid"], slot=7200, cuts=cuts)
+    assert {r.id: r.version and r.version.vid for r in got.collect()} == plain(None, False)

@@ -79,3 +79,20 @@ def test_behaviour_reads_the_fields_it_needs(spark):
     parse = re.search(r"from_json\(StructField\((.*?)\), \(", plan) or re.search(r"from_json\((.*?)value#", plan)
     names = set(re.findall(r"StructField\((\w+),", "StructField(" + parse.group(1)))
     assert names == {*schemas.BEHAVIOR_WIRE.names, schemas.CORRUPT}
+
+
+def scans(plan):
+    return len(nodes(plan, "FileScan parquet"))
+
+
+def test_features_read_their_input_twice_and_previous_ones_once(spark, small):
+    tx = catalog.transactions(spark, small)
+    assert scans(physical(behavior.trailing_features(tx))) == 2
+    plan = physical(behavior.fresh_previous_behavior(tx))
+    assert scans(plan) == 1 and plan.count("Exchange hashpartitioning") == 1
+    plan = physical(catalog.behavior_asof_join(spark, small))
+    assert scans(plan) == 2 and plan.count("Exchange hashpartitioning") <= 1
+    assert scans(physical(catalog.dim_enrich_asof(spark, small))) <= 6
+    # Columns that aren't asked for are neither read nor moved.
+    plan = physical(behavior.trailing_features(tx).select("tx_id", "tx_count_1m"))
+    assert "D" not in re.findall(r"concat\((\w)", plan)

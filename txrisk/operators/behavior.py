@@ -3,14 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from txrisk.functions import columns as C
-from txrisk.operators.asof import asof_join
-from txrisk.operators.slots import MICROS, carry_in, slot_start
+from txrisk.operators.slots import MICROS, carry_in, dense_cuts, slot_of, slot_start, with_cuts
 
 
 @dataclass(frozen=True)
@@ -146,8 +145,11 @@ FEATURES = ("tx_count_1m", "amount_sum_5m", "failed_tx_5m")
 _SUMS = ("_count", "_spend", "_failures")
 
 
-def _entering(tx: DataFrame, windows: Windows, event_types: Sequence[str] | None) -> DataFrame:
+def _entering(
+    tx: DataFrame, windows: Windows, event_types: Sequence[str] | None, cuts: DataFrame | None = None
+) -> DataFrame:
     """Transactions with their place on the account's time line and what they add to its sums."""
+    tx = with_cuts(tx, "account_id", cuts)
     at = F.unix_micros("event_time")
     owned = F.col("account_id").isNotNull() & at.isNotNull()
     counts = F.col("event_type").isin(*event_types) if event_types else F.lit(True)
@@ -158,15 +160,18 @@ def _entering(tx: DataFrame, windows: Windows, event_types: Sequence[str] | None
     spread = -1 - F.pmod(F.xxhash64("tx_id"), F.lit(1 << 16))
     return tx.select(
         *tx.columns,
-        F.when(owned, slot_start(at, windows.slot)).otherwise(spread).alias("slot"),
+        F.when(owned, _slot(at, windows, tx)).otherwise(spread).alias("slot"),
         F.coalesce(at, F.lit(0)).alias("at"),
         F.when(counts, 1).otherwise(0).alias("_count"),
         F.when(counts, spend).otherwise(C.no_money()).alias("_spend"),
         F.when(counts, C.failed(F.col("status"))).otherwise(0).alias("_failures"),
-        F.lit(True).alias("_entering"),
     )
 
 
+def _slot(at: Column, windows: Windows, rows: DataFrame) -> Column:
+    return slot_of(at, windows.slot, F.col("_cuts") if "_cuts" in rows.columns else None)
+
+
 def _owned() -> Column:
     return F.col("account_id").isNotNull() & F.col("event_time").isNotNull()
 
@@ -178,53 +183,40 @@ def _ends(windows: Windows) -> tuple[Column, Column]:
     return at + (windows.count * MICROS + 1), at + (windows.spend * MICROS + 1)
 
 
-def _change(at: Column, slot: Column, *sums: Column) -> Column:
-    named = [c.alias(name) for name, c in zip(_SUMS, sums)]
-    return F.struct(at.alias("at"), slot.alias("slot"), *named)
+_ENTERS, _LEAVES_COUNT, _LEAVES_SPEND = range(3)
 
 
-def _exploded(entering: DataFrame, *changes: Column) -> DataFrame:
-    """The changes of each owned transaction that change something, as rows."""
-    some = (F.col("_count") != 0) | (F.col("_spend") != 0) | (F.col("_failures") != 0)
-    return (
-        entering.filter(_owned())
-        .select("account_id", F.explode(F.array(*changes)).alias("change"))
-        .select("account_id", "change.*")
-        .filter(some)
-    )
+def _mark(kind: int, at: Column, slot: Column, *sums: Column, **more: Column) -> Column:
+    named = [c.alias(name) for name, c in zip(_SUMS, sums)]
+    named += [c.alias(name) for name, c in more.items()]
+    return F.struct(F.lit(kind).alias("kind"), at.alias("at"), slot.alias("slot"), *named)
 
 
-def _leaving(entering: DataFrame, windows: Windows) -> DataFrame:
-    """A mark where each transaction leaves the count window, and one for the spend window."""
-    none = F.lit(0)
-    count_end, spend_end = _ends(windows)
-    count, spend, failures = (-F.col(name) for name in _SUMS)
-    return _exploded(
-        entering,
-        _change(count_end, slot_start(count_end, windows.slot), count, C.no_money(), none),
-        _change(spend_end, slot_start(spend_end, windows.slot), none, spend, failures),
-    ).withColumns({"_entering": F.lit(False), "_emit": F.lit(False)})
+def _changes_something(mark: str) -> Column:
+    return (F.col(f"{mark}._count") != 0) | (F.col(f"{mark}._spend") != 0) | (F.col(f"{mark}._failures") != 0)
 
 
-def _crossing_sums(entering: DataFrame, windows: Windows) -> DataFrame:
-    """What each slot adds to the sums of later slots. Transactions that leave a window in the
-    slot they entered it add nothing, so these are few where windows are short."""
-    none, at, slot = F.lit(0), F.col("at"), F.col("slot")
+def _marks(entering: DataFrame, windows: Windows) -> DataFrame:
+    """Each transaction as a mark where it enters the windows, with all its columns, and marks where it leaves
+    the count window and the spend window, with what the sums need only. One pass over the rows."""
+    none, (count_end, spend_end) = F.lit(0), _ends(windows)
     count, spend, failures = (F.col(name) for name in _SUMS)
-    count_end, spend_end = (slot_start(end, windows.slot) for end in _ends(windows))
-
-    def crossing(end, value, zero):
-        return F.when(end != slot, value).otherwise(zero)
-
-    count = crossing(count_end, count, none)
-    spend = crossing(spend_end, spend, C.no_money())
-    failures = crossing(spend_end, failures, none)
-    return _exploded(
-        entering,
-        _change(at, slot, count, spend, failures),
-        _change(at, count_end, -count, C.no_money(), none),
-        _change(at, spend_end, none, -spend, -failures),
-    ).groupBy("account_id", "slot").agg(*[F.sum(name).alias(name) for name in _SUMS])
+    marks = F.explode(F.array(
+        _mark(_ENTERS, F.col("at"), F.col("slot"), count, spend, failures),
+        _mark(_LEAVES_COUNT, count_end, _slot(count_end, windows, entering), -count, C.no_money(), none),
+        _mark(_LEAVES_SPEND, spend_end, _slot(spend_end, windows, entering), none, -spend, -failures),
+    ))
+    enters = F.col("mark.kind") == _ENTERS
+    taken = ("at", "slot", *_SUMS)
+    rest = [c for c in entering.columns if c not in (*taken, "account_id", "_emit", "_cuts")]
+    return (
+        entering.select("*", marks.alias("mark")).filter(enters | _changes_something("mark"))
+        .select(
+            "account_id", *[F.when(enters, F.col(c)).alias(c) for c in rest],
+            *[f"mark.{name}" for name in taken],
+            enters.alias("_entering"), (enters & F.col("_emit")).alias("_emit"),
+        )
+    )
 
 
 def _tail() -> Column:
@@ -236,19 +228,39 @@ def _slot_carry(
 ) -> DataFrame:
     """For each (account, slot) with output: the sums and the last transaction brought into it.
 
-    Slots are reduced to their sums and their last row by map-side combined aggregates. Running
-    totals are then taken over those, however many transactions an account has.
+    Slots are reduced to their last row and what they add to the sums of later slots, by one map-side
+    combined aggregate over one pass. Transactions that leave a window in the slot they entered it add nothing,
+    so the marks are few where windows are short. Running totals are then taken over the slots, however
+    many transactions an account has.
     """
-    rows = entering.filter(_owned()).select("account_id", "slot", _tail().alias("tail"), "_emit")
+    none, slot, (count_end, spend_end) = F.lit(0), F.col("slot"), _ends(windows)
+    count, spend, failures = (F.col(name) for name in _SUMS)
+    count_slot, spend_slot = (_slot(end, windows, entering) for end in (count_end, spend_end))
+    count = F.when(count_slot != slot, count).otherwise(none)
+    spend, failures = (F.when(spend_slot != slot, c).otherwise(zero)
+                       for c, zero in ((spend, C.no_money()), (failures, none)))
+    own, nothing = {"tail": _tail(), "_emit": F.col("_emit")}, F.lit(None)
+    other = {"tail": F.when(nothing.isNotNull(), _tail()), "_emit": F.lit(False)}
+    marks = F.explode(F.array(
+        _mark(_ENTERS, F.col("at"), slot, count, spend, failures, **own),
+        _mark(_LEAVES_COUNT, F.col("at"), count_slot, -count, C.no_money(), none, **other),
+        _mark(_LEAVES_SPEND, F.col("at"), spend_slot, none, -spend, -failures, **other),
+    ))
+    rows = (
+        entering.filter(_owned()).select("account_id", marks.alias("mark"))
+        .filter((F.col("mark.kind") == _ENTERS) | _changes_something("mark"))
+        .select("account_id", "mark.slot", "mark.tail", "mark._emit", *[f"mark.{name}" for name in _SUMS])
+    )
     if earlier_tails is not None:
         rows = rows.unionByName(
-            earlier_tails.select("account_id", "slot", "tail", F.lit(False).alias("_emit"))
+            earlier_tails.select("account_id", "slot", "tail", F.lit(False).alias("_emit")),
+            allowMissingColumns=True,
         )
-    tails = rows.groupBy("account_id", "slot").agg(
-        F.max_by("tail", "tail.pos").alias("tail"), F.max("_emit").alias("_emit")
+    slots = rows.groupBy("account_id", "slot").agg(
+        F.max_by("tail", "tail.pos").alias("tail"), F.max("_emit").alias("_emit"),
+        *[F.sum(name).alias(name) for name in _SUMS],
     )
-    both = tails.unionByName(_crossing_sums(entering, windows), allowMissingColumns=True)
-    return carry_in(both, "account_id", "tail", _SUMS).filter("_emit").select(
+    return carry_in(slots, "account_id", "tail", _SUMS).filter("_emit").select(
         "account_id", "slot", "tail", *[F.col(name).alias(f"{name}_in") for name in _SUMS],
     )
 
@@ -260,6 +272,7 @@ def trailing_features(
     context: DataFrame | None = None,
     earlier_tails: DataFrame | None = None,
     profiles: DataFrame | None = None,
+    cuts: DataFrame | None = None,
 ) -> DataFrame:
     """Add to each transaction what its account did in the windows ending at it, and where the
     account's preceding transaction was.
@@ -278,8 +291,11 @@ def trailing_features(
 
     `profiles`, one row per account, is joined to the slots and so costs no further shuffle of the
     transactions. `context` holds earlier transactions that count but are not output, and
-    `earlier_tails` the slot tails of everything earlier.
+    `earlier_tails` the slot tails of everything earlier. `cuts`, from `dense_account_cuts`, split the slots of
+    accounts that are too dense for them; with `earlier_tails`, which are kept by whole slots, there can't be any.
     """
+    if cuts is not None and earlier_tails is not None:
+        raise ValueError("slots that earlier tails are kept by can't be cut")
     output = list(tx.columns)
     if "lsn" not in tx.columns:
         tx = tx.withColumn("lsn", F.lit(None).cast("bigint"))
@@ -287,8 +303,8 @@ def trailing_features(
     if context is not None:
         context = context.select(*[c for c in tx.columns if c in context.columns])
         rows = rows.unionByName(context.withColumn("_emit", F.lit(False)), allowMissingColumns=True)
-    entering = _entering(rows, windows, event_types)
-    marks = entering.unionByName(_leaving(entering, windows), allowMissingColumns=True)
+    entering = _entering(rows, windows, event_types, cuts)
+    marks = _marks(entering, windows)
 
     # Sorting once by the full order serves both windows below, and the join.
     line = marks.repartition("account_id", "slot").sortWithinPartitions(
@@ -333,20 +349,74 @@ def slot_tails(tx: DataFrame, slot: int) -> DataFrame:
     return rows.groupBy("account_id", "slot").agg(F.max_by("tail", "tail.pos").alias("tail"))
 
 
+def dense_account_cuts(tx: DataFrame, windows: Windows = DEFAULT, most_rows: int = 1_000_000) -> DataFrame:
+    """Where to cut the slots of accounts with more than `most_rows` marks in one: see `dense_cuts`.
+
+    A burst of transactions is as dense again where they leave the windows, so those times count too.
+    Write the cuts to the shared folder and use them if there are any; they take two narrow passes.
+    """
+    at = F.unix_micros("event_time")
+    marks = tx.select("account_id", at.alias("at")).select(
+        "account_id", F.explode(F.array("at", *_ends(windows))).alias("at"))
+    return dense_cuts(marks, "account_id", F.col("at"), windows.slot, most_rows)
+
+
 def fresh_previous_behavior(
     tx: DataFrame, windows: Windows = DEFAULT, event_types: Sequence[str] | None = None
 ) -> DataFrame:
     """The stored-state reading: each transaction with the counters its account had after the
-    latest earlier one, unless those are `freshness` seconds old. Absent counters are 0."""
-    versions = trailing_features(tx.filter(_owned()), windows, event_types).select(
-        "account_id", "event_time", "tx_id", *FEATURES
+    latest earlier one, unless those are `freshness` seconds old. Absent counters are 0.
+
+    What a fresh earlier row can have counted lies at most `freshness` and a window back. So each
+    transaction is a mark in its own slot and, if that is within reach, in the next one too; then every
+    (account, slot) is worked out by itself, in one ordered pass and one shuffle: the sums at each
+    mark, and of these the ones at the last earlier time.
+    """
+    reach = windows.freshness + max(windows.count, windows.spend)
+    length = max(windows.slot, reach)
+    windows = replace(windows, slot=length)
+    entering = _entering(tx, windows, event_types)
+    none, at, slot, (count_end, spend_end) = F.lit(0), F.col("at"), F.col("slot"), _ends(windows)
+    count, spend, failures = (F.col(name) for name in _SUMS)
+    marks = []
+    for place, home in ((slot, True), (slot + length * MICROS, False)):
+        more = {"home": F.lit(home)}
+        marks += [
+            _mark(_ENTERS, at, place, count, spend, failures, **more),
+            _mark(_LEAVES_COUNT, count_end, place, -count, C.no_money(), none, **more),
+            _mark(_LEAVES_SPEND, spend_end, place, none, -spend, -failures, **more),
+        ]
+    enters, home = F.col("mark.kind") == _ENTERS, F.col("mark.home")
+    inside = F.col("mark.at") < F.col("mark.slot") + length * MICROS
+    within_reach = _owned() & (F.col("at") + reach * MICROS >= F.col("mark.slot"))
+    wanted = (enters & home) | (inside & (home | within_reach) & (enters | _changes_something("mark")))
+    own = enters & home
+    line = (
+        entering.select("*", F.explode(F.array(*marks)).alias("mark")).filter(wanted)
+        .select(
+            F.col("account_id").alias("_account"), *[F.when(own, F.col(c)).alias(c) for c in tx.columns],
+            "mark.slot", "mark.at", *[f"mark.{name}" for name in _SUMS],
+            enters.alias("_enters"), own.alias("_own"), (own & _owned()).alias("_owned"),
+        )
+        .repartition("_account", "slot").sortWithinPartitions("_account", "slot", "at")
     )
-    found = asof_join(
-        tx, versions, "account_id", "event_time", "event_time", ["tx_id"],
-        slot=windows.slot, strict=True, within=windows.freshness, spread_by=["tx_id"],
+    part = Window.partitionBy("_account", "slot").orderBy("at")
+    so_far = part.rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    sums = [F.sum(name).over(so_far).alias(name) for name in _SUMS]
+    rows = line.select(*tx.columns, "_account", "slot", "at", "_enters", "_own", "_owned", *sums)
+    before = part.rangeBetween(Window.unboundedPreceding, -1)
+    state = F.when(F.col("_enters"), F.struct("at", *_SUMS))
+    rows = rows.withColumn("previous", F.last(state, ignorenulls=True).over(before)).filter("_own")
+    fresh = F.col("_owned") & (F.col("at") - F.col("previous.at") < windows.freshness * MICROS)
+    found = F.coalesce(fresh, F.lit(False))
+
+    def kept(value: Column, zero: Column) -> Column:
+        return F.when(found, value).otherwise(zero)
+
+    return rows.select(
+        *tx.columns,
+        kept(F.col("previous._count"), F.lit(0)).alias("previous_tx_count_1m"),
+        kept(C.units(F.col("previous._spend")), F.lit(0.0)).alias("previous_amount_sum_5m"),
+        kept(F.col("previous._failures"), F.lit(0)).alias("previous_failed_tx_5m"),
+        found.alias("previous_found"),
     )
-    kept = [
-        F.coalesce(F.col(f"version.{name}"), F.lit(0)).alias(f"previous_{name}")
-        for name in FEATURES
-    ]
-    return found.select(*tx.columns, *kept, F.col("version").isNotNull().alias("previous_found"))

@@ -12,6 +12,7 @@ from txrisk.functions import columns as C
 from txrisk.operators.asof import asof_join
 from txrisk.operators.behavior import DEFAULT, Windows, trailing_features
 from txrisk.operators.dims import CHANGE_ORDER
+from txrisk.session import landed
 
 UNKNOWN_RISK = "UNKNOWN"
 
@@ -63,8 +64,12 @@ def add_profiles_as_of(
     customer_changes: DataFrame,
     order: Sequence[str] = CHANGE_ORDER,
 ) -> DataFrame:
-    """The same columns, each from the version that was valid at the transaction's time."""
-    with_account = asof_join(
+    """The same columns, each from the version that was valid at the transaction's time.
+
+    Transactions with their accounts are landed in the shared folder: the lookup of customers reads
+    them twice.
+    """
+    with_account = landed(asof_join(
         tx, account_changes, "account_id", "event_time", "updated_at", order, spread_by=["tx_id"]
     ).select(
         *tx.columns, "version.customer_id", "version.account_type",
@@ -72,7 +77,7 @@ def add_profiles_as_of(
         F.col("version.is_deleted").alias("account_is_deleted"),
         F.col("version.updated_at").alias("account_updated_at"),
         F.nullif(F.col("version.customer_id"), F.lit(0)).alias("_customer"),
-    )
+    ), "with-account")
     found = asof_join(
         with_account, customer_changes.withColumnRenamed("customer_id", "_customer"),
         "_customer", "event_time", "updated_at", order, spread_by=["tx_id"],
@@ -96,16 +101,17 @@ def enrich(
     event_types: Sequence[str] | None = None,
     context: DataFrame | None = None,
     earlier_tails: DataFrame | None = None,
+    cuts: DataFrame | None = None,
 ) -> DataFrame:
     """Clean transactions to the 27 enriched columns.
 
     `accounts` and `customers` hold one row per key. Profiles are looked up once per
     (account, slot), see `trailing_features`, so a hot account is never one task.
     For micro-batches: `context` holds earlier transactions within reach of the windows, and
-    `earlier_tails` the slot tails of everything earlier.
+    `earlier_tails` the slot tails of everything earlier. `cuts` as in `trailing_features`.
     """
     profiles = account_profiles(accounts, customers)
-    rows = trailing_features(tx, windows, event_types, context, earlier_tails, profiles)
+    rows = trailing_features(tx, windows, event_types, context, earlier_tails, profiles, cuts)
     full = (
         rows.withColumn("customer_risk", known_risk())
         .withColumnsRenamed({"status": "tx_status", "is_deleted": "tx_is_deleted"})

@@ -7,7 +7,8 @@ needs from earlier time is brought in by a second, small pass: each (account, sl
 one row (its sums, its last row) by a map-side combined aggregate, and only those rows are put in
 order per account.
 
-Times are epoch microseconds held in a bigint, and a slot is named by its first microsecond.
+Times are epoch microseconds held in a bigint, and a slot is named by its first microsecond. Where a
+key is so dense that one slot is too much for a task, `dense_cuts` finds times to cut that key's slots at.
 """
 
 from __future__ import annotations
@@ -24,6 +25,52 @@ def slot_start(at: Column, seconds: int) -> Column:
     return at - F.pmod(at, F.lit(seconds * MICROS))
 
 
+def slot_of(at: Column, seconds: int, cuts: Column | None = None) -> Column:
+    """The slot of a time: a stretch of `seconds`, or a piece of one that begins at one of the key's `cuts`."""
+    start = slot_start(at, seconds)
+    if cuts is None:
+        return start
+    return F.greatest(start, F.array_max(F.filter(cuts, lambda cut: cut <= at)))
+
+
+PIECES = 256
+
+
+def dense_cuts(
+    rows: DataFrame, key: str, at: Column, seconds: int, most_rows: int
+) -> DataFrame:
+    """(key, cuts): where to cut the slots that hold more than `most_rows` rows of a key, in order.
+
+    Cut points are quantiles of the rows' own times, so pieces have about `most_rows` rows however the
+    rows lie within the slot, short of more than that at one and the same time; a slot is cut into
+    at most `PIECES`, beyond which pieces grow with it. Keys without such a slot have no row. Counts
+    and quantiles are aggregates combined before the shuffle.
+    """
+    placed = rows.select(F.col(key), at.alias("_at")).filter(F.col(key).isNotNull() & F.col("_at").isNotNull())
+    placed = placed.withColumn("_slot", slot_start(F.col("_at"), seconds))
+    dense = placed.groupBy(key, "_slot").agg(F.count(F.lit(1)).alias("_rows")).filter(F.col("_rows") > most_rows)
+    shares = [i / PIECES for i in range(1, PIECES)]
+    grid = (
+        placed.join(dense.select(key, "_slot"), [key, "_slot"], "left_semi").groupBy(key, "_slot")
+        .agg(F.percentile_approx("_at", shares, 10 * PIECES).alias("_grid"), F.count(F.lit(1)).alias("_rows"))
+    )
+    pieces = F.least(F.ceil(F.col("_rows") / most_rows), F.lit(PIECES)).cast("int")
+    cuts = F.transform(
+        F.sequence(F.lit(1), pieces - 1), lambda i: F.get("_grid", F.floor(i * PIECES / pieces).cast("int") - 1))
+    return (
+        grid.select(key, F.explode(cuts).alias("_cut"))
+        .groupBy(key).agg(F.sort_array(F.collect_set("_cut")).alias("cuts"))
+    )
+
+
+def with_cuts(rows: DataFrame, key: str, cuts: DataFrame | None, name: str = "_cuts") -> DataFrame:
+    """`rows` with the cuts of their key; without `cuts`, as they are."""
+    if cuts is None:
+        return rows
+    table = cuts.select(F.col(key).alias("_cut_key"), F.col("cuts").alias(name))
+    return rows.join(table, F.col(key) == F.col("_cut_key"), "left").drop("_cut_key")
+
+
 def carry_in(
     slots: DataFrame, key: str, tail: str = "tail", sums: Sequence[str] = (), slot: str = "slot"
 ) -> DataFrame:

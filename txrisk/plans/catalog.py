@@ -9,8 +9,10 @@ from pyspark.sql import functions as F
 
 from txrisk.operators import asof, behavior, decode, dims, enrich, rules
 from txrisk.operators.behavior import Windows
+from txrisk.operators.slots import dense_cuts
 from txrisk.plans import tables as T
 from txrisk.schemas import CLEAN
+from txrisk.session import landed as stored
 from txrisk.session import shared_dir
 from txrisk.sources import sinks
 
@@ -136,6 +138,14 @@ def behavior_trailing_days(spark, sf_dir):
     return rows.select("tx_id", *behavior.FEATURES)
 
 
+def behavior_trailing_dense(spark, sf_dir):
+    """With slots of a year, cut where an account has more than ten transactions in one."""
+    tx = transactions(spark, sf_dir)
+    windows = Windows(count=DAY, spend=5 * DAY, slide=DAY, slot=365 * DAY)
+    cuts = stored(behavior.dense_account_cuts(tx, windows, most_rows=10), "cuts")
+    return behavior.trailing_features(tx, windows, cuts=cuts).select("tx_id", "last_location", *behavior.FEATURES)
+
+
 def behavior_asof_ttl(spark, sf_dir):
     rows = behavior.fresh_previous_behavior(transactions(spark, sf_dir))
     return rows.select("tx_id", "previous_found", *[f"previous_{n}" for n in behavior.FEATURES])
@@ -156,13 +166,17 @@ def dim_enrich(spark, sf_dir):
 
 
 def dim_asof(spark, sf_dir):
+    return _dim_asof(spark, sf_dir)
+
+
+def _dim_asof(spark, sf_dir, **slots):
     orders = T.table(spark, sf_dir, "orders")
     lines = T.table(spark, sf_dir, "lineitem").join(
         orders.select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey"), "l_orderkey"
     ).select("l_orderkey", "l_linenumber", "l_partkey", "o_custkey", "l_shipdate")
     versions = orders.select("o_custkey", "o_orderdate", "o_orderkey", "o_orderpriority")
     found = asof.asof_join(
-        lines, versions, "o_custkey", "l_shipdate", "o_orderdate", ["o_orderkey"]
+        lines, versions, "o_custkey", "l_shipdate", "o_orderdate", ["o_orderkey"], **slots
     )
     return found.select(
         "l_orderkey", "l_linenumber", "l_partkey", "o_custkey", "l_shipdate",
@@ -172,6 +186,14 @@ def dim_asof(spark, sf_dir):
     )
 
 
+def dim_asof_dense(spark, sf_dir):
+    """As `dim_asof`, with slots of ten years, cut where a customer has more than ten orders in one."""
+    orders = T.table(spark, sf_dir, "orders")
+    at = F.unix_micros(F.col("o_orderdate").cast("timestamp"))
+    cuts = stored(dense_cuts(orders, "o_custkey", at, 3650 * DAY, 10), "cuts")
+    return _dim_asof(spark, sf_dir, slot=3650 * DAY, cuts=cuts)
+
+
 def dim_enrich_asof(spark, sf_dir):
     """Account and customer versions valid at each transaction's time."""
     rows = enrich.add_profiles_as_of(
@@ -184,9 +206,9 @@ def dim_enrich_asof(spark, sf_dir):
 
 def behavior_asof_join(spark, sf_dir):
     """Freshness by the general as-of join: the latest earlier behaviour row under 600 s old."""
-    rows = behavior.trailing_features(transactions(spark, sf_dir)).select(
+    rows = stored(behavior.trailing_features(transactions(spark, sf_dir)).select(
         "tx_id", "account_id", "event_time", *behavior.FEATURES
-    )
+    ), "features")
     versions = rows.select("account_id", "event_time", *behavior.FEATURES)
     found = asof.asof_join(
         rows.select("tx_id", "account_id", "event_time"), versions, "account_id",
@@ -235,9 +257,9 @@ BATCH: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         lake_partition_counts,
         account_state_changes, account_state_latest, customer_state_latest,
         velocity_tumbling_1m, velocity_tumbling_inserts, spend_fail_sliding_5m,
-        behavior_latest, behavior_latest_days, behavior_trailing, behavior_trailing_days,
+        behavior_latest, behavior_latest_days, behavior_trailing, behavior_trailing_days, behavior_trailing_dense,
         behavior_asof_ttl, behavior_asof_join, last_location,
-        dim_enrich, dim_asof, dim_enrich_asof, enriched_full,
+        dim_enrich, dim_asof, dim_asof_dense, dim_enrich_asof, enriched_full,
         risk_verdicts, risk_verdicts_default, risk_alert_rows,
     )
 }

@@ -221,6 +221,8 @@ FROM tx WHERE event_type = 'INSERT' GROUP BY ALL""",
     + "SELECT tx_id, tx_count_1m, amount_sum_5m, failed_tx_5m FROM bhv",
     "behavior_trailing_days": _with(TX, DAYS)
     + "SELECT tx_id, tx_count_1m, amount_sum_5m, failed_tx_5m FROM bhv",
+    "behavior_trailing_dense": _with(TX, DAYS)
+    + "SELECT tx_id, last_location, tx_count_1m, amount_sum_5m, failed_tx_5m FROM bhv",
     "behavior_asof_ttl": _with(TX, MINUTES) + _PREVIOUS.format(shown=f"""
        COALESCE({_FRESH}, FALSE) AS previous_found,
        CASE WHEN {_FRESH} THEN b.tx_count_1m ELSE 0 END AS previous_tx_count_1m,
@@ -329,6 +331,8 @@ FROM moved e
 LEFT JOIN moved p ON p.account_id = e.account_id AND p.run <= e.run AND p.event_time <= e.event_time
 GROUP BY e.tx_id, e.account_id, e.event_time, e.location"""
 
+BATCH["dim_asof_dense"] = BATCH["dim_asof"]
+
 STREAMS: dict[str, str] = {
     "stream_clean_lake": BATCH["cdc_decode_clean"],
     "stream_dead_letters": f"SELECT * FROM ({BATCH['cdc_bad_records']}) WHERE reason <> 'VALID'",

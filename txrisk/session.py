@@ -6,7 +6,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def build_session(app: str = "txrisk", master: str | None = None, **conf: str) -> SparkSession:
@@ -50,3 +50,10 @@ def shared_dir(spark: SparkSession, name: str) -> str:
         base = tempfile.mkdtemp(prefix="txrisk-")
         spark.sparkContext.setCheckpointDir(base)
     return os.path.join(base, f"{name}-{uuid.uuid4().hex}")
+
+
+def landed(df: DataFrame, name: str) -> DataFrame:
+    """`df` written to the shared folder and read again: what uses it more than once doesn't work it out again."""
+    path = shared_dir(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
