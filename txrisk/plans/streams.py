@@ -67,9 +67,9 @@ def hashed_slices(rows: DataFrame, n: int) -> list[DataFrame]:
 
 
 def stream_clean_lake(spark, sf_dir):
-    """In three runs on one checkpoint: the lake, from the landed decode."""
+    """In two runs on one checkpoint: the lake, from the landed decode."""
     work = shared_dir(spark, "clean")
-    for schema, folder in delivered(spark, sf_dir, "events", work, 3):
+    for schema, folder in delivered(spark, sf_dir, "events", work, 2):
         raw = T.transaction_envelopes(readers.file_stream(spark, folder, schema))
         finish(jobs.start_clean(raw, f"{work}/checkpoint", f"{work}/lake", available_now=True))
     return comparable(spark.read.schema(CLEAN).parquet(f"{work}/lake").select(*CLEAN.names))
@@ -122,10 +122,10 @@ def dimension_dead_letters(spark, sf_dir):
 
 
 def _dimension(spark, sf_dir, name, changes, state):
-    """A dimension's state after four runs that deliver its changes out of order."""
+    """A dimension's state after three runs that deliver its changes out of order."""
     work = shared_dir(spark, name)
-    state = state(f"{work}/state", fold_every=2)
-    for schema, folder in delivered(spark, sf_dir, "orders", work, 4):
+    state = state(f"{work}/state", fold_every=1)
+    for schema, folder in delivered(spark, sf_dir, "orders", work, 3):
         source = changes(readers.file_stream(spark, folder, schema))
         finish(jobs.start_dimension(spark, source, state, f"{work}/checkpoint", available_now=True))
     return state
@@ -144,10 +144,10 @@ def stream_customer_state(spark, sf_dir):
 
 
 def _behavior(spark, sf_dir):
-    """The behaviour job over the events, in three runs on one checkpoint."""
+    """The behaviour job over the events, in two runs on one checkpoint."""
     work = shared_dir(spark, "behavior")
-    store = jobs.BehaviorStore(f"{work}/state", fold_every=2)
-    for schema, folder in delivered(spark, sf_dir, "events", work, 3):
+    store = jobs.BehaviorStore(f"{work}/state", fold_every=1)
+    for schema, folder in delivered(spark, sf_dir, "events", work, 2):
         session = jobs.state_session(spark)
         clean = T.clean_rows(readers.file_stream(session, folder, schema))
         finish(jobs.start_behavior(spark, clean, store, f"{work}/checkpoint", available_now=True))

@@ -44,8 +44,8 @@ def write_lake_batch(clean: DataFrame, path: str, batch_id: int, rows_per_file:
     """The clean rows of a micro-batch to the lake, in a folder of each event date's folder.
 
     A retry replaces those folders. Each date has as many writers as its rows ask for, so that
-    neither a busy day nor a busy account is one writer, and a quiet day is one file. `clean` is
-    read twice: its dates are counted first, one number a date.
+    neither a busy day nor a busy account is one writer; a quiet day is one file, and no file has more than
+    `rows_per_file`. `clean` is read twice: its dates are counted first, one number a date.
     """
     # A row a date, and times outside the years 1 to 9999 have been rejected: small enough to send.
     dates = clean.groupBy(F.col("event_date").alias("_date")).agg(
