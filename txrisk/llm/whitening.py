@@ -18,7 +18,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
 from txrisk.llm import feast
-from txrisk.llm.common import own_name
+from txrisk.llm.common import own_name, stored
 
 SCALE = 64
 SHIFT = 1_000_000
@@ -123,7 +123,7 @@ def fit(table: DataFrame, vec_col: str = "embedding", components: int = COMPONEN
                 total[x.shape[1]] = total.get(x.shape[1], 0) + own
         yield from total.items()
 
-    totals = _added(vectors, sums, "decimal(38,0)")
+    totals = stored(_added(vectors, sums, "decimal(38,0)"), "whitening-sums")
     largest = totals.filter("place = part").orderBy(F.desc("value"), F.desc("part")).first()
     if largest is None:
         return Model(0, 0, *np.zeros((2, 0), np.int64), np.zeros(0), np.zeros((0, 0)), 0.0)
