@@ -32,7 +32,7 @@ def test_whole_chain_over_folders(spark, tmp_path):
         return {r.tx_id: [a.code for a in r.alerts] for r in judged.collect()}
 
     def pay(tx_id, seconds, **changes):
-        micros = 1765785720162255 + seconds * 1_000_000
+        micros = 1771234567890123 + seconds * 1_000_000
         return event(after={**ROW, "tx_id": tx_id, "created_at": micros, **changes}, lsn=tx_id)
 
     lines(spark, f"{tmp_path}/accounts", event(after={**ACCOUNT, "account_id": 1}))
@@ -42,7 +42,7 @@ def test_whole_chain_over_folders(spark, tmp_path):
     assert chain() == {1: [], 2: [rules.RECENT_FAILURES]}
 
     lines(spark, f"{tmp_path}/customers",
-          event("u", after={"customer_id": 4, "risk_level": "HIGH"}, ts_ms=1765785729000))
+          event("u", after={"customer_id": 4, "risk_level": "HIGH"}, ts_ms=1771234577000))
     lines(spark, f"{tmp_path}/tx", pay(3, 20, amount="52000.00", location="Dubai"))
     assert chain() == {
         1: [], 2: [rules.RECENT_FAILURES],

@@ -280,7 +280,7 @@ def test_lake_stream_restarts_without_copies(spark, tmp_path):
     files = [f for f in os.listdir(f"{tmp_path}/lake/{date}/batch=3") if f.endswith(".parquet")]
     assert 2 <= len(files) <= 5
     assert [r.reason for r in BatchTable(f"{tmp_path}/dead").read_all(spark).collect()] == ["UNDECODABLE"]
-    assert "event_date=2025-12-15" in os.listdir(f"{tmp_path}/lake")
+    assert "event_date=2026-02-16" in os.listdir(f"{tmp_path}/lake")
 
 
 def test_dimension_stream_publishes_and_keeps_state(spark, tmp_path):

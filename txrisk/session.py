@@ -35,8 +35,8 @@ def use_utc(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def shared_dir(spark: SparkSession, name: str) -> str:
-    """A fresh folder under the cluster's shared checkpoint folder.
+def shared_dir(spark: SparkSession, name: str, fresh: bool = True) -> str:
+    """A folder under the cluster's shared checkpoint folder: a fresh one, or the one of that name.
 
     `spark.checkpoint.dir` names a folder all executors can reach. Where the session has none, a
     temporary one is made and set in local mode; on a cluster that is an error.
@@ -49,7 +49,7 @@ def shared_dir(spark: SparkSession, name: str) -> str:
             raise ValueError("set spark.checkpoint.dir to a folder that all executors can reach")
         base = tempfile.mkdtemp(prefix="txrisk-")
         spark.sparkContext.setCheckpointDir(base)
-    return os.path.join(base, f"{name}-{uuid.uuid4().hex}")
+    return os.path.join(base, f"{name}-{uuid.uuid4().hex}" if fresh else name)
 
 
 def landed(df: DataFrame, name: str) -> DataFrame:
