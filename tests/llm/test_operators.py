@@ -190,6 +190,28 @@ def test_mix_keeps_all_rows_and_weights(spark, docs, empty):
     assert pfair.mix(empty).count() == 0
 
 
+def test_sources_without_a_name_and_many_sources_keep_their_weights(spark):
+    """A third of the rows has no source, one source is called as the rest is, and there are three thousand."""
+    data = [(i, None if i % 3 == 0 else "others" if i % 3 == 1 else "a") for i in range(9000)]
+    df = spark.createDataFrame(data, "doc_id long, source string").repartition(4)
+    half = Counter(r["source"] for r in pfair.mix(df, block_docs=10).orderBy("position").limit(4500).collect())
+    assert all(abs(half[s] - 1500) <= 20 for s in (None, "others", "a"))
+    # Two large sources and many small ones, most of them beyond what the round may name.
+    data = [(i, "x" if i < 6000 else "y" if i < 9000 else f"s{i % 3000}") for i in range(24_000)]
+    df = spark.createDataFrame(data, "doc_id long, source string").repartition(4)
+    mixed = [r["source"] for r in pfair.mix(df, block_docs=1, most_sources=50).orderBy("position").collect()]
+    assert Counter(mixed) == Counter(s for _, s in data)
+    weights = {s: n ** 0.7 for s, n in Counter(mixed).items()}
+    total = sum(weights.values())
+    done = Counter()
+    # Until the first runs out, none is more than a block and a little from its weight, small ones and large ones alike.
+    for k, s in enumerate(mixed[:10_000], 1):
+        done[s] += 1
+        if k % 500 == 0:
+            assert all(abs(done[s] - k * w / total) < 2.5 for s, w in weights.items() if s not in "xy")
+            assert all(abs(done[s] - k * weights[s] / total) < 0.15 * k * weights[s] / total + 2 for s in "xy")
+
+
 def test_token_counts_and_cache(spark, docs, rows, empty):
     path, store = public_tokenizers.path("byte_bpe_50k.json"), shared_dir(spark, "counts")
     library = Tokenizer.from_file(path)

@@ -53,14 +53,15 @@ def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_pfair_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Weights are document counts to the power 0.7; a block has 32 documents."""
+    """Weights are document counts to the power 0.7, of rows without a source too; a block has 32 documents."""
     mixed = pfair.mix(_table(spark, sf_dir, "documents").select("doc_id", "source"), block_docs=32)
     return mixed.select("doc_id", "source", "position", F.floor(F.col("position") / 32).alias("slot"))
 
 
 def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The store has one name in the shared folder: texts that an earlier run counted aren't encoded again."""
     counts = token_counts.count_tokens(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"),
-                                       shared_dir(spark, "token-counts"))
+                                       shared_dir(spark, "token-counts", fresh=False))
     return counts.select(F.col("id").alias("doc_id"), "n_bytes", "n_tokens", (F.col("n_tokens") > 1024).alias("over_limit"))
 
 
