@@ -76,6 +76,19 @@ def test_secret_spans_and_ownership(spark, docs, rows, empty):
     assert found == {(0, False): 40, (2, False): 40, (3, True): 40}
 
 
+def test_values_in_many_repositories_of_an_owner_are_copied(spark):
+    """A value is an example if three owners have it, or one has it in a hundred repositories; two owners with some each are not."""
+    many, some, few = "ab12cd34ef56ab12", "0123456789abcdef01", "fedcba9876543210ff"
+    rows = [(k, f"token={many}", "big") for k in range(100)] + [(100 + k, f"token={some}", "xy"[k % 2]) for k in range(150)]
+    rows += [(300 + k, f"token={few}", "big") for k in range(99)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(4)
+    spans, values = secrets.scan(df)
+    got = {(r["repositories"], r["owners"]): r["copied"] for r in values.collect()}
+    assert got == {(100, 1): True, (150, 2): False, (99, 1): False}
+    live = Counter((r["id"] // 100, s["live"]) for r in spans.collect() for s in r["spans"] if s["kind"] == 0)
+    assert live == {(0, False): 100, (1, True): 100, (2, True): 50, (3, True): 99}
+
+
 def test_arc_versions_dates_and_errors():
     for version in (1, 2):
         data = warc.arc_version_block(version) + b"\n"

@@ -26,6 +26,8 @@ KINDS = [("assign", ASSIGN, 2, 12, True), ("access", ACCESS, 0, 18, True), ("hex
 
 # A value with so many owners or more is widely copied.
 COPIED_OWNERS = 3
+# … or so many repositories of one owner: a sample key that one source copies everywhere is no secret of anyone's.
+COPIED_REPOSITORIES = 100
 
 
 def _matches(text: Column) -> Column:
@@ -73,13 +75,14 @@ def _mixed(value: Column) -> Column:
 def ownership(found: DataFrame) -> DataFrame:
     """(hash, repositories, owners, copied) over (hash, repository, owner) of all candidates.
 
-    Nulls are one repository and one owner each. Counted in steps, each combined before it is shuffled, so that a value in a
+    A value is copied if `COPIED_OWNERS` owners have it, or one in `COPIED_REPOSITORIES` of its repositories. Nulls are one repository and one owner each. Counted in steps, each combined before it is shuffled, so that a value in a
     third of all texts is spread by its repositories first.
     """
     by_repository = found.groupBy("hash", "owner", "repository").agg(F.count("*").alias("times"))
     by_owner = by_repository.groupBy("hash", "owner").agg(F.count("*").alias("repositories"))
-    return by_owner.groupBy("hash").agg(F.sum("repositories").alias("repositories"), F.count("*").alias("owners")).withColumn(
-        "copied", F.col("owners") >= COPIED_OWNERS)
+    copied = (F.count("*") >= COPIED_OWNERS) | (F.max("repositories") >= COPIED_REPOSITORIES)
+    return by_owner.groupBy("hash").agg(
+        F.sum("repositories").alias("repositories"), F.count("*").alias("owners"), copied.alias("copied"))
 
 
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", repository_col: str = "doc_id",
