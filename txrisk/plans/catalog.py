@@ -227,6 +227,20 @@ def enriched_full(spark, sf_dir):
     return comparable(enriched(spark, sf_dir, landed(spark, clean)))
 
 
+def wire_format_text(spark, sf_dir):
+    """Times of the enriched rows as the text their consumers read."""
+    rows = enrich.wire_format(enriched(spark, sf_dir, transactions(spark, sf_dir)))
+    return rows.select("tx_id", "event_time", "event_date", "account_updated_at", "customer_updated_at")
+
+
+def redelivered_once(spark, sf_dir):
+    """Clean rows of which half are delivered again, some of them twice, each kept once."""
+    rows = transactions(spark, sf_dir)
+    k = F.substring("merchant", 2, 9).cast("int")
+    again = rows.unionByName(rows.filter(k >= 50)).unionByName(rows.filter(k >= 90))
+    return comparable(decode.drop_redelivered(again))
+
+
 def judged(spark, sf_dir):
     rows = enriched(spark, sf_dir, transactions(spark, sf_dir), DAY_WINDOWS)
     return rules.verdicts(rows, TEST_LIMITS)
@@ -259,7 +273,8 @@ BATCH: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         velocity_tumbling_1m, velocity_tumbling_inserts, spend_fail_sliding_5m,
         behavior_latest, behavior_latest_days, behavior_trailing, behavior_trailing_days, behavior_trailing_dense,
         behavior_asof_ttl, behavior_asof_join, last_location,
-        dim_enrich, dim_asof, dim_asof_dense, dim_enrich_asof, enriched_full,
+        dim_enrich, dim_asof, dim_asof_dense, dim_enrich_asof, enriched_full, wire_format_text,
+        redelivered_once,
         risk_verdicts, risk_verdicts_default, risk_alert_rows,
     )
 }

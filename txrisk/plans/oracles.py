@@ -276,6 +276,15 @@ ASOF LEFT JOIN acc a ON a.account_id = t.account_id AND t.event_time >= a.update
 ASOF LEFT JOIN cus c ON c.customer_id = NULLIF(a.customer_id, 0)
                     AND t.event_time >= c.updated_at""",
     "enriched_full": _with(TX, DIMS, MINUTES, ENRICHED) + "SELECT * FROM enr",
+    "wire_format_text": _with(TX, DIMS, MINUTES, ENRICHED) + """
+SELECT tx_id,
+       strftime(event_time, '%Y-%m-%dT%H:%M:%S')
+         || CASE WHEN epoch_us(event_time) % 1000000 = 0 THEN '' ELSE strftime(event_time, '.%f') END AS event_time,
+       CAST(event_date AS VARCHAR) AS event_date,
+       strftime(account_updated_at, '%Y-%m-%dT%H:%M:%S.000Z') AS account_updated_at,
+       strftime(customer_updated_at, '%Y-%m-%dT%H:%M:%S.000Z') AS customer_updated_at
+FROM enr""",
+    "redelivered_once": _with(TX) + f"SELECT {CLEAN_COLUMNS} FROM tx",
     "risk_verdicts": _with(TX, DIMS, DAYS, ENRICHED, TEST_FIRED) + VERDICTS,
     "risk_verdicts_default": _with(TX, DIMS, MINUTES, ENRICHED, DEFAULT_FIRED) + VERDICTS,
     "risk_alert_rows": _with(TX, DIMS, DAYS, ENRICHED, TEST_FIRED) + """
