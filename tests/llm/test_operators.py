@@ -19,7 +19,7 @@ from tokenizers import Tokenizer
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 import brute  # noqa: E402
-from txrisk.llm import bpe, ctph, exact_dedup, langid, neighbours, pfair, secrets, simhash, token_counts, toxicity, warc  # noqa: E402
+from txrisk.llm import bpe, ctph, exact_dedup, langid, neighbours, pfair, queries, secrets, simhash, token_counts, toxicity, warc  # noqa: E402
 from txrisk.llm.common import id_hash  # noqa: E402
 from txrisk.session import shared_dir  # noqa: E402
 
@@ -398,11 +398,44 @@ def test_toxicity(spark, empty):
         if r["doc_id"] % 5 == 0 and r["passages"]:
             assert set(texts[r["doc_id"]][r["passages"][0]["start"]:r["passages"][0]["end"]].split()) & {"nasty", "vile", "horrid"}
     assert all(r["score"] < 0.7 for r in found if r["doc_id"] in (900, 901))
+    # More evidence never lowers the score, whatever the length; a long text without any toxic word is no more toxic for it.
+    for n in (1, 50, 100_000):
+        scores = [model.posterior(best, n) for best in np.linspace(0, 60, 200)]
+        assert scores == pytest.approx(sorted(scores), abs=1e-12) and scores[0] == model.posterior(0.0, 1)
+    long_ = toxicity.score(spark.createDataFrame([(1, "waa wab " * 100_000), (2, "waa " * 50_000 + "vile nasty horrid vile nasty")],
+                                                 "doc_id long, text_ string"), model, text_col="text_").collect()
+    assert [r["score"] < 0.7 for r in long_] == [True, False] and "text_" in long_[0].asDict()
     assert toxicity.score(df.limit(0), model).count() == 0
     blank = toxicity.fit(df.limit(0), marks.limit(0), F.lit(True))
     assert {r["score"] for r in toxicity.score(df, blank).collect()} == {0.5}
 
 
+def test_toxicity_query(spark, tmp_path):
+    """Words that few labelled texts have are learned; no held-out label is used; the columns are those of the contract."""
+    rng = random.Random(11)
+    words = [f"w{chr(97 + i)}{chr(97 + j)}" for i in range(20) for j in range(20)]
+    mean = [f"bad{chr(97 + i)}" for i in range(6)]
+    data, labels = [], []
+    for i in range(1500):
+        text = rng.choices(words, k=rng.randint(20, 200))
+        toxic = int(i % 6 == 0)
+        for _ in range(2 * toxic):
+            text[rng.randrange(len(text))] = rng.choice(mean)
+        data.append((i, " ".join(text), "en", "s", len(text)))
+        labels.append((i, toxic if brute.fold(i, 3) != 1 else 1 - toxic))
+    data += [(1500, None, None, None, None), (1501, "", None, None, 0), (3, data[3][1], "en", "t", 1)]
+    folder = str(tmp_path)
+    spark.createDataFrame(data, "doc_id long, text string, lang string, source string, n_chars int").write.parquet(f"{folder}/documents.parquet")
+    spark.createDataFrame([(i, 1, t) for i, t in labels], "doc_id long, quality int, toxic int").write.parquet(f"{folder}/labels.parquet")
+    found = queries.QUERIES["op9_toxicity"](spark, folder).collect()
+    assert sorted(r["doc_id"] for r in found) == sorted(row[0] for row in data)
+    assert all(r["held_out"] == (brute.fold(r["doc_id"], 3) == 1) and r["predicted"] == int(r["score"] >= 0.7) for r in found)
+    held = [r for r in found if r["held_out"] and r["doc_id"] < 1500]
+    caught = sum(r["predicted"] for r in held if r["doc_id"] % 6 == 0)
+    assert caught >= 0.9 * sum(r["doc_id"] % 6 == 0 for r in held)
+    assert sum(r["predicted"] for r in held if r["doc_id"] % 6) <= 0.01 * len(held)
+
+
 def test_piecewise_fingerprints():
     rng = random.Random(7)
     text = " ".join(str(rng.random()) for _ in range(400))

@@ -5,9 +5,11 @@ the toxic against the other class with an informative Dirichlet prior, in propor
 from document counts. Tokens significantly on the toxic side score their log-odds; all others score the
 small negative log-odds of an ordinary token. One linear scan finds all maximal segments of positive score.
 
-Extreme-value calibration on rows that gave no counts: in other documents the best segment's score S follows
-P(S > s) = 1 - exp(-K n exp(-lambda s)) in n tokens; in toxic ones a Gumbel distribution. The document's score is the posterior
-of the toxic class. A passage is reported if less than `EXPECTED` like it are expected in so long an ordinary text.
+Extreme-value calibration: in other documents of n tokens the best segment's score S follows
+P(S > s) = 1 - exp(-K n exp(-lambda (s - u))) beyond the least score u, in toxic ones a Frechet distribution (log S a Gumbel).
+The document's score is the posterior of the toxic class. Every training row takes part in it, scored by a model of the
+other `FOLDS` - 1 parts, so that no row judges itself. A passage is reported if less than `EXPECTED` like it are expected in so
+long an ordinary text.
 """
 
 from __future__ import annotations
@@ -22,7 +24,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
-from txrisk.llm.common import blocks, stored, text_column
+from txrisk.llm.common import blocks, own_name, stored, text_column
 
 WORDS = re.compile(r"[^\W\d_]+")
 STEM = 4
@@ -31,7 +33,7 @@ MOST_ROWS = 40_000
 MOST_TOKENS = 50_000
 MOST_WORDS = 500_000
 PRIOR = 0.1
-MARGIN = 1.0
+FOLDS = 5
 EXPECTED = 0.01
 # The log-odds of a token that speaks for neither class: toxic passages hold about one toxic token in fifty.
 ORDINARY = -0.02
@@ -45,7 +47,9 @@ class Calibration:
     prior: float
     k: float
     decay: float
-    mode: float
+    least: float
+    quiet: float  # share of other rows without a segment
+    mode: float  # of the logarithm, as is the scale
     scale: float
     none: float  # share of toxic rows without a segment
 
@@ -61,19 +65,19 @@ class Model:
         c = self.calibration
         if c is None:
             return 0.5
-        if best <= 0:
-            toxic, other = c.none, math.exp(-c.k * n)
-        else:
-            # Beyond its mode the toxic density counts as level: more evidence never lowers the score.
-            z = max((min(best, c.mode) - c.mode) / c.scale, -6.0)
-            toxic = (1 - c.none) * math.exp(-(z + math.exp(-z))) / c.scale
-            rate = c.k * max(n, 1) * math.exp(-c.decay * best)
-            other = max(rate * c.decay * math.exp(-rate), 1e-300)
-        return c.prior * toxic / (c.prior * toxic + (1 - c.prior) * other)
+        odds = c.none / c.quiet
+        if best > 0:
+            # Beyond its mode the toxic density counts as level, as does the other one before its mode: more evidence never
+            # lowers the score, and the least segment is no better than none.
+            z = max(min((math.log(best) - c.mode) / c.scale, -math.log1p(c.scale)), -4.0)
+            toxic = (1 - c.none) * math.exp(-(z + math.exp(-z)) - (c.mode + c.scale * z)) / c.scale
+            rate = min(self.expected(best, max(n, 1)), 1.0)
+            odds = max(odds, toxic / max(rate * c.decay * math.exp(-rate), 1e-300))
+        return 1 / (1 + (1 - c.prior) / (c.prior * odds))
 
     def expected(self, score: float, n: int) -> float:
         c = self.calibration
-        return math.inf if c is None else c.k * n * math.exp(-c.decay * score)
+        return math.inf if c is None else c.k * n * math.exp(-c.decay * max(score - c.least, 0.0))
 
 
 class Weights(dict):
@@ -114,35 +118,36 @@ def segments(scores: np.ndarray) -> list[tuple[int, int, float]]:
 
 
 def count_tokens(rows: DataFrame) -> DataFrame:
-    """(token, toxic, other): in how many texts of each class of (toxic, text) rows a token is."""
+    """(part, token, toxic, other): in how many texts of each part and class of (toxic, part, text) rows a token is."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts: dict[str, list[int]] = {}
+        counts: dict[tuple[int, str], list[int]] = {}
 
         def counted() -> pa.RecordBatch:
-            part = pa.RecordBatch.from_arrays(
-                [pa.array(list(counts), pa.string()), *(pa.array([n[k] for n in counts.values()], pa.int64()) for k in (1, 0))],
-                ["token", "toxic", "other"])
+            found = pa.RecordBatch.from_arrays(
+                [pa.array([part for part, _ in counts], pa.int32()), pa.array([token for _, token in counts], pa.string()),
+                 *(pa.array([n[k] for n in counts.values()], pa.int64()) for k in (1, 0))],
+                ["part", "token", "toxic", "other"])
             counts.clear()
-            return part
+            return found
 
-        for block, texts in blocks(batches, 1):
-            for toxic, text in zip(block.column(0).to_pylist(), texts):
+        for block, texts in blocks(batches, 2):
+            for toxic, part, text in zip(block.column(0).to_pylist(), block.column(1).to_pylist(), texts):
                 words = set(map(str.lower, WORDS.findall(text)))
                 words |= {"^" + word[:STEM] for word in words if len(word) > STEM}
                 words.add("")  # counts the texts
                 for word in words:
-                    counts.setdefault(word, [0, 0])[toxic] += 1
+                    counts.setdefault((part, word), [0, 0])[toxic] += 1
             if len(counts) > MOST_WORDS:
                 yield counted()
         yield counted()
 
-    return (rows.mapInArrow(run, "token string, toxic long, other long").groupBy("token")
+    return (rows.mapInArrow(run, "part int, token string, toxic long, other long").groupBy("part", "token")
             .agg(F.sum("toxic").alias("toxic"), F.sum("other").alias("other")))
 
 
 def sample(docs: DataFrame, labels: DataFrame, training: Column, id_col: str, text_col: str, label_col: str) -> DataFrame:
-    """(toxic, part, text): training rows with a label; a fifth has part 0, for calibration.
+    """(toxic, part, text): training rows with a label, in `FOLDS` parts.
 
     An id with several labels counts as toxic if any is. Of near copies in a class one is taken, so that a word that
     only they have doesn't count for many. At most `MOST_ROWS` ids of each class are taken.
@@ -154,7 +159,7 @@ def sample(docs: DataFrame, labels: DataFrame, training: Column, id_col: str, te
     ids = taken[0].union(taken[1])
     rows = docs.select(F.col(id_col).alias("id"), text_column(text_col).alias("text"))
     rows = rows.join(F.broadcast(ids), rows["id"] == ids["label_id"])
-    part = F.pmod(F.xxhash64(F.lit("part"), "id"), F.lit(5)).cast("int")
+    part = F.pmod(F.xxhash64(F.lit("part"), "id"), F.lit(FOLDS)).cast("int")
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block, texts in blocks(batches, 2):
@@ -176,41 +181,57 @@ def fit(docs: DataFrame, labels: DataFrame, training: Column, id_col: str = "doc
         label_col: str = "toxic") -> Model:
     """A model of the labelled rows of `labels` for which `training` holds."""
     rows = stored(sample(docs, labels, training, id_col, text_col, label_col), "toxicity-sample")
-    counts = stored(count_tokens(rows.filter("part != 0").select("toxic", "text")), "toxicity-tokens")
-    texts = {1: 0, 0: 0}
-    for row in counts.filter("token = ''").collect():
-        texts = {1: row["toxic"], 0: row["other"]}
-    if not texts[0] or not texts[1]:
-        return Model({}, ORDINARY, None)
-    # Prior counts are a tenth of the rows, dealt out by frequency in both classes together.
-    share = PRIOR * (F.col("toxic") + F.col("other")) / (texts[0] + texts[1])
-    a, b = F.col("toxic") + share * texts[1], F.col("other") + share * texts[0]
-    odds = F.log(a / (texts[1] * (1 + PRIOR) - a)) - F.log(b / (texts[0] * (1 + PRIOR) - b))
-    sure = counts.filter("token != ''").select("token", odds.alias("odds"), (odds / F.sqrt(1 / a + 1 / b)).alias("z"))
-    # Above the largest value that so many tokens without any effect would be expected to reach.
-    bound = math.sqrt(2 * math.log(max(sure.count(), 2))) + MARGIN
-    sure = sure.filter(F.col("z") > bound).orderBy(F.desc("z"), "token").limit(MOST_TOKENS)
-    tokens = {row["token"]: row["odds"] for row in sure.collect()}
-    model = Model(tokens, ORDINARY, None)
-    scored = score(rows.filter("part = 0").select("toxic", "text"), model, keep=["toxic"])
-    positive = F.col("best") > 0
+    counts = stored(count_tokens(rows.select("toxic", "part", "text")), "toxicity-tokens")
+    models = _models(counts)
+    model = models[FOLDS]
+    scored = score(rows, models, keep=["toxic"], model_col="part")
+    best, positive = F.col("best"), F.col("best") > 0
     stats = {row["toxic"]: row for row in scored.groupBy("toxic").agg(
-        F.count("*").alias("rows"), F.sum("n").alias("n"), F.count_if(positive).alias("hits"),
-        F.avg(F.when(positive, F.col("best"))).alias("mean"), F.stddev_pop(F.when(positive, F.col("best"))).alias("deviation")).collect()}
+        F.count("*").alias("rows"), F.sum("n").alias("n"), F.count_if(positive).alias("hits"), F.avg(F.when(positive, best)).alias("mean"),
+        F.min(F.when(positive, best)).alias("least"), F.avg(F.when(positive, F.log(best))).alias("log_mean"),
+        F.stddev_pop(F.when(positive, F.log(best))).alias("log_deviation")).collect()}
     if len(stats) < 2:
         return model
     other, toxic = stats[0], stats[1]
     free = min((other["hits"] + 0.5) / (other["rows"] + 1), 0.99)
-    scale = max((toxic["deviation"] or 0) * math.sqrt(6) / math.pi, 1.0)
+    least = other["least"] or 0.0
+    scale = max((toxic["log_deviation"] or 0.0) * math.sqrt(6) / math.pi, 0.1)
     model.calibration = Calibration(
         prior=(toxic["rows"] + 0.5) / (toxic["rows"] + other["rows"] + 1),
         k=-math.log(1 - free) * (other["rows"] + 1) / max(other["n"], 1),
-        decay=1 / max(other["mean"] or 1.0, 1.0),
-        mode=max((toxic["mean"] or 1.0) - 0.5772 * scale, 1.0), scale=scale,
+        decay=1 / max(other["mean"] - least, 0.25) if other["hits"] > 1 else 1.0, least=least, quiet=1 - free,
+        mode=(toxic["log_mean"] or 0.0) - 0.5772 * scale, scale=scale,
         none=(toxic["rows"] - toxic["hits"] + 0.5) / (toxic["rows"] + 1))
     return model
 
 
+def _models(counts: DataFrame) -> list[Model]:
+    """Models not calibrated yet: for each part, of the counts of the others; last, of all counts."""
+    of_part = [*(F.col("part") != part for part in range(FOLDS)), F.lit(True)]
+    texts = counts.filter("token = ''").select(*[F.struct(
+        F.sum(F.when(has, F.col("toxic"))).alias("toxic"), F.sum(F.when(has, F.col("other"))).alias("other")) for has in of_part]).first()
+    pairs = stored(counts.filter("token != ''").groupBy("token").agg(*[
+        F.sum(F.when(has, F.col(name))).alias(f"{name}{i}") for i, has in enumerate(of_part) for name in ("toxic", "other")]),
+        "toxicity-pairs")
+    kinds = pairs.agg(*[F.count(f"toxic{i}") for i in range(FOLDS + 1)]).first()
+    models = []
+    for i, (toxic, other) in enumerate(texts):
+        if not toxic or not other:
+            models.append(Model({}, ORDINARY, None))
+            continue
+        with_token, without = F.col(f"toxic{i}"), F.col(f"other{i}")
+        # Prior counts are a tenth of the rows, dealt out by frequency in both classes together.
+        share = PRIOR * (with_token + without) / (toxic + other)
+        a, b = with_token + share * toxic, without + share * other
+        odds = F.log(a / (toxic * (1 + PRIOR) - a)) - F.log(b / (other * (1 + PRIOR) - b))
+        # Above the largest value that so many tokens without any effect would be expected to reach.
+        bound = math.sqrt(2 * math.log(max(kinds[i], 2)))
+        sure = pairs.select("token", odds.alias("odds"), (odds / F.sqrt(1 / a + 1 / b)).alias("z")).filter(F.col("z") > bound)
+        tokens = sure.orderBy(F.desc("z"), "token").limit(MOST_TOKENS).collect()
+        models.append(Model({row["token"]: row["odds"] for row in tokens}, ORDINARY, None))
+    return models
+
+
 class Scorer:
     def __init__(self, model: Model) -> None:
         self.model, self.weights = model, Weights(model)
@@ -232,28 +253,32 @@ class Scorer:
         return self.model.posterior(best, len(words)), best, len(words), passages
 
 
-def score(docs: DataFrame, model: Model, text_col: str = "text", keep: list[str] | None = None) -> DataFrame:
+def score(docs: DataFrame, model: Model | list[Model], text_col: str = "text", keep: list[str] | None = None,
+          model_col: str | None = None) -> DataFrame:
     """The columns `keep` of each row (default: all) with score, best, n and passages.
 
+    With several models `model_col` has the number of each row's own.
+
     Null texts count as empty and score like any text without a toxic token. Columns of the same names are replaced.
     """
     from pyspark.sql.types import StructType, _parse_datatype_string
 
-    sent = docs.sparkSession.sparkContext.broadcast(model)
+    sent = docs.sparkSession.sparkContext.broadcast(model if isinstance(model, list) else [model])
     result = _parse_datatype_string(RESULT)
     keep = [name for name in (docs.columns if keep is None else keep) if name not in result.fieldNames()]
-    rows = docs.select(*keep, text_column(text_col).alias("text_"))
+    which = F.lit(0) if model_col is None else F.col(model_col)
+    rows = docs.select(*keep, which.alias(own_name(docs, "which")), text_column(text_col).alias(own_name(docs, "whole_text")))
     passage = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("score", pa.float64()), ("expected", pa.float64())]))
 
     names = [*keep, *result.fieldNames()]
     n_keep = len(keep)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scorer = Scorer(sent.value)
-        for block, texts in blocks(batches, n_keep):
-            values = list(zip(*map(scorer.score, texts)))
+        scorers = list(map(Scorer, sent.value))
+        for block, texts in blocks(batches, n_keep + 1):
+            values = list(zip(*(scorers[i].score(text) for i, text in zip(block.column(n_keep).to_pylist(), texts))))
             yield pa.RecordBatch.from_arrays(
-                [*block.columns[:-1], pa.array(values[0], pa.float64()), pa.array(values[1], pa.float64()),
+                [*block.columns[:n_keep], pa.array(values[0], pa.float64()), pa.array(values[1], pa.float64()),
                  pa.array(values[2], pa.int64()), pa.array(values[3], passage)], names)
 
     return rows.mapInArrow(run, StructType([*(docs.schema[name] for name in keep), *result.fields]))
