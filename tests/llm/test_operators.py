@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gzip
 import hashlib
 import io
 import math
@@ -132,6 +133,32 @@ def test_archives_round_trip(spark, version):
     assert warc.read_warc(spark, f"{empty_base}/warc").count() == 0
 
 
+def test_archives_are_streams_of_any_bytes(spark):
+    """Blank lines anywhere in payloads and at the end of a file, several gzip members, and files cut short."""
+    rng = random.Random(3)
+    payloads = [bytes(rng.choices(b"\r\n\xff\x00a", weights=[4, 4, 1, 1, 1], k=rng.randint(0, 3000))) for _ in range(200)]
+    payloads += [bytes(rng.choices(range(256), k=3_000_000)), b"", b"\r\n\r\n\r\n", b"end\r\n\r\n"]
+    members = [warc.arc_version_block(1) + b"\n"] + [warc.arc_record(1, "http://a", p, k) + b"\n" for k, p in enumerate(payloads)]
+    members[-1] = members[-1][:-1]
+    folder = shared_dir(spark, "archives")
+    os.makedirs(folder)
+    for name, data in [("whole", members), ("without_bodies", members[:1] + [warc.arc_record(1, "http://a", b"", 0)])]:
+        with open(f"{folder}/{name}.arc.gz", "wb") as file:
+            file.write(b"".join(map(gzip.compress, data)))
+    got = warc.read_arc(spark, folder).filter("type = 'response'").collect()
+    whole = sorted((r["offset"], r["key"], bytes(r["payload"])) for r in got if r["file"] == "whole.arc.gz")
+    places = np.cumsum([len(m) for m in members])[:-1].tolist()
+    assert whole == [(place, k, p) for k, (place, p) in enumerate(zip(places, payloads))]
+    assert [bytes(r["payload"]) for r in got if r["file"] != "whole.arc.gz"] == [b""]
+    for n, lost in enumerate([1, 3, 5]):
+        cut = shared_dir(spark, f"cut-{n}")
+        os.makedirs(cut)
+        with open(f"{cut}/cut.arc.gz", "wb") as file:
+            file.write(gzip.compress(b"".join(members)[:-lost]))
+        with pytest.raises(Exception, match="cut short"):
+            warc.read_arc(spark, cut).count()
+
+
 def test_kneser_ney_levels_match_plain_counts():
     words = ["haus", "haut", "maus", "haus"]
     counts = Counter(f"   {w} "[i:i + 4] for w in words for i in range(len(w) + 1))

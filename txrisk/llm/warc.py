@@ -4,20 +4,21 @@ An ARC file starts with a version block; each record is a header line, whose fie
 bytes as the line declares. A converted record gets what WARC asks for and ARC doesn't have: an identifier, a type, a time with zone, and
 digests of block and payload. Of records with equal payloads one stays a response and the others refer to it.
 
-Archives are gzip files that Spark's text sink writes and its binary source reads, so they can lie in any store
-that Spark knows. They are read as streams, a record at a time.
+Archives are gzip files that Spark's text sink writes and its text source reads, so they can lie in any store
+that Spark knows. A file of any size is read as a stream: the source cuts it at blank lines, which heads end with, and a
+task puts the pieces together again, so that it holds a record and some pieces at a time, never the file.
 """
 
 from __future__ import annotations
 
 import base64
-import gzip
 import hashlib
 import io
 import os
 import uuid
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
+from itertools import groupby
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -31,6 +32,7 @@ ARC_FIELDS = {
 FETCHED = "19970214093000"
 LEAST_REVISIT = 1000
 BYTES_AT_ONCE = 4_000_000
+CUT = b"\r\n\r\n"
 KEY, REFERS = "X-Record-Key", "X-Refers-To-Key"
 PARSED = ("file string, offset long, version int, type string, record_id string, date string, uri string, content_type string, "
           "head binary, payload binary, payload_bytes long, payload_sha1 string, key long")
@@ -90,6 +92,59 @@ def write_arc(pages: DataFrame, path: str, key_col: str = "page_id", url_col: st
     _write(rows.mapInArrow(run, "value binary"), path, "\n")
 
 
+class Pieces:
+    """The bytes of a file from what it holds between blank lines.
+
+    The source drops a blank line at the very end. It is given back to a record that lacks just these bytes, and isn't
+    missed between records; so a last record cut short by exactly four bytes isn't noticed.
+    """
+
+    def __init__(self, pieces: Iterable[bytes]) -> None:
+        self.pieces = iter(pieces)
+        self.held, self.at, self.before = next(self.pieces, b""), 0, 0
+
+    def tell(self) -> int:
+        return self.before + self.at
+
+    def _more(self, least: int) -> bool:
+        """Hold `least` bytes more than are held now, or all there are; whether there were any."""
+        found, size = [], 0
+        while size < least and (piece := next(self.pieces, None)) is not None:
+            found += [CUT, piece]
+            size += len(CUT) + len(piece)
+        self.held, self.before, self.at = b"".join([self.held[self.at:], *found]), self.tell(), 0
+        return size > 0
+
+    def read(self, size: int) -> bytes:
+        short = size - (len(self.held) - self.at)
+        if short > 0:
+            self._more(short)
+        found = self.held[self.at:self.at + size]
+        self.at += len(found)
+        return found + CUT if size - len(found) == len(CUT) else found
+
+    def readline(self) -> bytes:
+        while not (end := self.held.find(b"\n", self.at) + 1):
+            if not self._more(1):
+                end = len(self.held)
+                break
+        found, self.at = self.held[self.at:end], end
+        return found
+
+
+def _files(spark: SparkSession, path: str) -> DataFrame:
+    """(path, piece) of gzip files; a file's pieces lie in one partition, in order."""
+    read = spark.read.option("lineSep", CUT.decode()).text(path)
+    return read.select(F.col("_metadata.file_path").alias("path"), F.col("value").cast("binary").alias("piece"))
+
+
+def _streams(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[str, Pieces]]:
+    """File by file, its name and its bytes."""
+    rows = (row for batch in batches for row in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()))
+    for path, pieces in groupby(rows, key=lambda row: row[0]):
+        yield os.path.basename(path), Pieces(piece for _, piece in pieces)
+
+
 @dataclass
 class ArcRecord:
     offset: int
@@ -98,7 +153,7 @@ class ArcRecord:
     body: bytes
 
 
-def parse_arc(stream: io.BufferedIOBase) -> Iterator[ArcRecord]:
+def parse_arc(stream: io.BufferedIOBase | Pieces) -> Iterator[ArcRecord]:
     """Records of an ARC stream, the version block first. A record cut short or a line of other fields is an error."""
     version = None
     while line := stream.readline():
@@ -153,24 +208,21 @@ def read_arc(spark: SparkSession, path: str, payloads: bool = True) -> DataFrame
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def records() -> Iterator[tuple]:
-            for batch in batches:
-                for i in range(len(batch)):
-                    name = os.path.basename(batch.column(0)[i].as_py())
-                    stream = gzip.GzipFile(fileobj=pa.BufferReader(batch.column(1)[i].as_buffer()))
-                    for record in parse_arc(stream):
-                        url, kind = record.fields["URL"], record.fields["Content-type"]
-                        type_ = warc_type(url, kind, record.body)
-                        head, mark, payload = record.body.partition(b"\r\n\r\n") if type_ == "response" else (b"", b"", record.body)
-                        identity = hashlib.sha1(f"{name}:{record.offset}".encode()).digest()[:16]
-                        yield (name, record.offset, record.version, type_, f"urn:uuid:{uuid.UUID(bytes=identity, version=5)}",
-                               warc_date(record.fields["Archive-date"]), url.encode("utf-8", "surrogateescape").decode("utf-8", "replace"),
-                               kind, head + mark, payload if payloads else None, len(payload), hashlib.sha1(payload).hexdigest(),
-                               _number(_head_value(head, KEY)))
+            for name, stream in _streams(batches):
+                for record in parse_arc(stream):
+                    url, kind = record.fields["URL"], record.fields["Content-type"]
+                    type_ = warc_type(url, kind, record.body)
+                    head, mark, payload = record.body.partition(b"\r\n\r\n") if type_ == "response" else (b"", b"", record.body)
+                    identity = hashlib.sha1(f"{name}:{record.offset}".encode()).digest()[:16]
+                    yield (name, record.offset, record.version, type_, f"urn:uuid:{uuid.UUID(bytes=identity, version=5)}",
+                           warc_date(record.fields["Archive-date"]), url.encode("utf-8", "surrogateescape").decode("utf-8", "replace"),
+                           kind, head + mark, payload if payloads else None, len(payload), hashlib.sha1(payload).hexdigest(),
+                           _number(_head_value(head, KEY)))
 
         kinds = [pa.string(), pa.int64(), pa.int32(), *[pa.string()] * 5, pa.binary(), pa.binary(), pa.int64(), pa.string(), pa.int64()]
         yield from _rows(records(), kinds, [part.split()[0] for part in PARSED.split(", ")], lambda row: 500 + len(row[9] or b""))
 
-    return spark.read.format("binaryFile").load(path).select("path", "content").mapInArrow(run, PARSED)
+    return _files(spark, path).mapInArrow(run, PARSED)
 
 
 def revisits(records: DataFrame, least: int = LEAST_REVISIT) -> DataFrame:
@@ -229,7 +281,7 @@ def convert(spark: SparkSession, arc_path: str, warc_path: str, least: int = LEA
     _write(records.mapInArrow(run, "value binary"), warc_path, "\r\n\r\n")
 
 
-def parse_warc(stream: io.BufferedIOBase) -> Iterator[tuple[dict[str, str], bytes]]:
+def parse_warc(stream: io.BufferedIOBase | Pieces) -> Iterator[tuple[dict[str, str], bytes]]:
     """Header fields, by lower-case name, and block of each record."""
     while line := stream.readline():
         if not line.strip():
@@ -259,28 +311,26 @@ def read_warc(spark: SparkSession, path: str, payloads: bool = True) -> DataFram
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def records() -> Iterator[tuple]:
-            for batch in batches:
-                for i in range(len(batch)):
-                    stream = gzip.GzipFile(fileobj=pa.BufferReader(batch.column(0)[i].as_buffer()))
-                    for fields, block in parse_warc(stream):
-                        type_ = fields["warc-type"]
-                        if type_ == "warcinfo":
-                            continue
-                        http = type_ in ("response", "revisit")
-                        head, _, payload = block.partition(b"\r\n\r\n") if http else (b"", b"", block)
-                        stated = base64.b32decode(fields["warc-payload-digest"].removeprefix("sha1:")).hex()
-                        intact = fields["warc-block-digest"] == _digest(hashlib.sha1(block).hexdigest())
-                        size = len(payload)
-                        if type_ == "revisit":
-                            size = _number(_head_value(head, "Content-Length"))
-                        else:
-                            intact = intact and hashlib.sha1(payload).hexdigest() == stated
-                        refers = fields.get("warc-refers-to")
-                        yield (type_, fields["warc-record-id"].strip("<>"), fields["warc-date"], fields["warc-target-uri"],
-                               refers and refers.strip("<>"), _number(_head_value(head, KEY)), _number(_head_value(head, REFERS)),
-                               size, stated, intact, payload if payloads else None)
+            for _, stream in _streams(batches):
+                for fields, block in parse_warc(stream):
+                    type_ = fields["warc-type"]
+                    if type_ == "warcinfo":
+                        continue
+                    http = type_ in ("response", "revisit")
+                    head, _, payload = block.partition(b"\r\n\r\n") if http else (b"", b"", block)
+                    stated = base64.b32decode(fields["warc-payload-digest"].removeprefix("sha1:")).hex()
+                    intact = fields["warc-block-digest"] == _digest(hashlib.sha1(block).hexdigest())
+                    size = len(payload)
+                    if type_ == "revisit":
+                        size = _number(_head_value(head, "Content-Length"))
+                    else:
+                        intact = intact and hashlib.sha1(payload).hexdigest() == stated
+                    refers = fields.get("warc-refers-to")
+                    yield (type_, fields["warc-record-id"].strip("<>"), fields["warc-date"], fields["warc-target-uri"],
+                           refers and refers.strip("<>"), _number(_head_value(head, KEY)), _number(_head_value(head, REFERS)),
+                           size, stated, intact, payload if payloads else None)
 
         kinds = [*[pa.string()] * 5, *[pa.int64()] * 3, pa.string(), pa.bool_(), pa.binary()]
         yield from _rows(records(), kinds, [part.split()[0] for part in READ.split(", ")], lambda row: 500 + len(row[10] or b""))
 
-    return spark.read.format("binaryFile").load(path).select("content").mapInArrow(run, READ)
+    return _files(spark, path).mapInArrow(run, READ)
