@@ -202,6 +202,44 @@ def test_languages(spark, docs, rows, empty):
     assert [r["lang"] for r in nothing] == ["und"]
 
 
+def test_models_in_pieces_give_the_same_languages(spark, docs, rows, monkeypatch):
+    """Pieces of several languages, and languages dealt over several pieces."""
+    tongues = {"aa": "the house of stone", "ab": "das haus aus stein", "ac": "la maison de pierre", "ad": "дом из камня"}
+    rng = random.Random(8)
+    more = [(1000 + i, " ".join(rng.choices(text.split() + ["x" + w[::-1] for w in text.split()], k=rng.randint(1, 40))), lang, "a")
+            for i, (lang, text) in enumerate(list(tongues.items()) * 12)]
+    more += more[:5] * 3
+    all_docs = docs.select("doc_id", "text", "lang", "source").unionAll(spark.createDataFrame(more, "doc_id long, text string, lang string, source string"))
+    keys = {"id": F.col("doc_id"), "digest": F.xxhash64(F.coalesce("text", F.lit("")))}
+
+    def found(most: int):
+        monkeypatch.setattr(langid, "MOST_RUNS", most)
+        models = langid.Models(all_docs, F.col("lang"))
+        scored = langid.score(all_docs, models, keys, lang=F.col("lang"))
+        result = scored.withColumn("rejected", langid.rejected(langid.calibrated(scored))).collect()
+        return models.pieces, sorted(result, key=lambda r: (str(r["id"]), r["digest"], str(r["own_lang"])))
+
+    one, whole = found(10_000)
+    some, by_langs = found(120)
+    many, by_parts = found(25)
+    assert len(one) == 1 and 1 < len(some) < len(many) and any(len(p) > 1 for p in some) and any(p[0][2] > 1 for p in many)
+    assert len(whole) == len(rows) + len(more) and len({r["lang"] for r in whole}) == 7
+    for other in (by_langs, by_parts):
+        for a, b in zip(whole, other, strict=True):
+            for name in ("id", "digest", "lang", "letters", "own_lang", "rejected"):
+                assert a[name] == b[name], name
+            for name in ("entropy", "score", "own_entropy", "own_within"):
+                assert a[name] == (b[name] if a[name] is None else pytest.approx(b[name], abs=1e-9))
+
+
+def test_more_than_a_thousand_languages_are_learned(spark):
+    """Language k has the two letters of its number; each text goes back to its own."""
+    data = [(k, f"{chr(0x4E00 + k)}{chr(0x6E00 + k)} " * 4, f"l{k:04}") for k in range(1100)]
+    df = spark.createDataFrame(data, "doc_id long, text string, lang string").repartition(4)
+    found = {r["id"]: r["lang"] for r in langid.identify(df, F.col("lang")).collect()}
+    assert found == {k: lang for k, _, lang in data}
+
+
 @pytest.mark.parametrize("shares", [{"a": 5, "b": 3, "c": 2}, {"a": 1}, {"a": 997, "b": 1, "c": 2}, {"a": 7, "b": 7, "c": 7, "d": 1}])
 def test_pfair_round_stays_within_a_block(shares):
     total, slots = sum(shares.values()), pfair.round_of(shares)
