@@ -30,7 +30,6 @@ WORDS = re.compile(r"[^\W\d_]+")
 STEM = 4
 # A classifier is fitted on so many rows of each class at most, those of the least hash of their id.
 MOST_ROWS = 40_000
-MOST_TOKENS = 50_000
 MOST_WORDS = 500_000
 PRIOR = 0.1
 FOLDS = 5
@@ -227,7 +226,8 @@ def _models(counts: DataFrame) -> list[Model]:
         # Above the largest value that so many tokens without any effect would be expected to reach.
         bound = math.sqrt(2 * math.log(max(kinds[i], 2)))
         sure = pairs.select("token", odds.alias("odds"), (odds / F.sqrt(1 / a + 1 / b)).alias("z")).filter(F.col("z") > bound)
-        tokens = sure.orderBy(F.desc("z"), "token").limit(MOST_TOKENS).collect()
+        # Such a token is in several texts of the bounded sample, so the sample bounds their number.
+        tokens = sure.collect()
         models.append(Model({row["token"]: row["odds"] for row in tokens}, ORDINARY, None))
     return models
 
