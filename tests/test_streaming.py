@@ -422,3 +422,45 @@ def test_one_failing_query_ends_all(spark, tmp_path):
     with pytest.raises(Exception, match="no store"):
         jobs.await_any(queries)
     assert not any(query.isActive for query in queries)
+
+
+def test_whole_accounts_and_slots_give_the_same(spark):
+    """Accounts that are worked out whole, and dense ones by slots, with context, several tails of a slot and profiles."""
+    rows = in_order(skewed(300)) + [tx(9000, 1, 700, 9.9e15), tx(9001, 1, 701, 9.9e15), tx(9002, 1, 702, -9.9e15)]
+    early, late = rows[:120], rows[120:]
+    near, df = frame(spark, early), frame(spark, late)
+    accounts = spark.createDataFrame([(1, "GOLD"), (2, "BASE")], "account_id int, kind string")
+    tails = behavior.slot_tails(near, 900)
+    want = behavior.trailing_features(df, context=near, earlier_tails=tails, profiles=accounts)
+    known = {r.tx_id: r for r in want.collect()}
+    assert len(known) == len(late)
+    for dense in ([], [1]):
+        got = behavior.trailing_features_by_account(
+            df, context=near, earlier_tails=behavior.row_tails(near, 900), profiles=accounts, dense=dense)
+        assert got.columns == want.columns and got.dtypes == want.dtypes
+        assert {r.tx_id: r for r in got.collect()} == known
+    # The rows move once, and no slot is put in order.
+    plan = behavior.trailing_features_by_account(df, context=near, earlier_tails=tails)
+    plan = plan._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("REPARTITION_BY_COL") == 1 and "slot#" not in plan[: plan.index("REPARTITION_BY_COL")]
+
+
+def test_dense_accounts_of_a_micro_batch_are_cut(spark, tmp_path):
+    rows = in_order(skewed(300))
+    store = enrichment.EnrichmentStore(f"{tmp_path}/store", fold_every=2, most_rows=20)
+    replay = Replay(spark, tmp_path, store)
+    for part in chunks(rows, 4):
+        replay.run(part)
+    assert replay.features() == expected(rows)
+
+
+def test_rows_are_not_trimmed_for_nothing(spark, tmp_path, monkeypatch):
+    """An account with fewer rows than slots are kept loses none, so its rows need no order when folded."""
+    rows = [tx(i, i % 3, i * 2000) for i in range(60)]
+    trimmed = []
+    monkeypatch.setattr(enrichment, "newest_slots", lambda *a: trimmed.append(a) or a[0])
+    replay = Replay(spark, tmp_path)
+    for part in chunks(rows, 4):
+        replay.run(part)
+    assert not trimmed and replay.store.tails.snapshots.ids(spark)
+    assert replay.features() == expected(rows)
