@@ -296,3 +296,19 @@ def test_asof_within_and_cut(spark):
             assert {r.id: r.version and r.version.vid for r in got.collect()} == plain(within, strict)
     got = asof.asof_join(f, v, "k", "t", "t", ["vid"], slot=7200, cuts=cuts)
     assert {r.id: r.version and r.version.vid for r in got.collect()} == plain(None, False)
+
+
+def test_asof_shuffles_sparse_keys_once(spark):
+    """Facts and versions of keys that a task can hold move once, without slots; dense keys have theirs."""
+    rng = random.Random(8)
+    facts = [(i, rng.choice([1, 1, 1, 2, 3, None]), at(rng.randrange(-9, 9) * 86400)) for i in range(200)]
+    versions = [(rng.choice([1, 1, 2, 4]), at(rng.randrange(-9, 9) * 86400), i) for i in range(80)]
+    f = spark.createDataFrame(facts, "id int, k int, t timestamp")
+    v = spark.createDataFrame(versions, "k int, v timestamp, n int")
+    want = versions_by_hand(facts, versions)
+    for most_rows in (1000, 60, 0):
+        got = asof.asof_join(f, v, "k", "t", "v", ["n"], most_rows=most_rows)
+        assert {r.id: r.version and r.version.n for r in got.collect()} == want
+        plan = got._jdf.queryExecution().executedPlan().toString()
+        if most_rows == 1000:
+            assert plan.count("Exchange hashpartitioning") == 1

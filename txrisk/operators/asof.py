@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from txrisk.operators.slots import MICROS, carry_in, slot_of, with_cuts
+from txrisk.operators.slots import MICROS, MOST_ROWS, carry_in, dense_keys, slot_of, with_cuts
 
 DAY = 24 * 3600
 
@@ -24,6 +24,7 @@ def asof_join(
     within: int | None = None,
     spread_by: Sequence[str] = (),
     cuts: DataFrame | None = None,
+    most_rows: int = MOST_ROWS,
 ) -> DataFrame:
     """Left join each fact to the latest version of its key at or before the fact's time.
 
@@ -32,7 +33,8 @@ def asof_join(
     `within` leaves out versions that many seconds old or older.
 
     Facts and versions are put in one ordered pass per (key, slot). No range condition and no pairs
-    are ever formed, and a hot key is spread over its slots. The version valid at a slot's start is added to it
+    are ever formed, and a hot key is spread over its slots. A key that has at most `most_rows` facts and versions is
+    one slot, and nothing is brought into it; which have more is counted first. The version valid at a slot's start is added to it
     as one more row; with `within`, versions are added to the next slot too while they are young enough, and
     slots are at least that long, so facts and versions are read once each. Facts without a key or a
     time cannot match and are spread by the hash of `spread_by` (default: all their columns).
@@ -43,8 +45,16 @@ def asof_join(
             raise ValueError("slots are only cut where versions don't expire")
         slot = max(slot, within)
 
+    # Where versions expire, or there are cuts, every key has its slots.
+    whole = within is None and cuts is None
+    dense = dense_keys(most_rows, facts.select(key), versions.select(key)) if whole else []
+    hot = F.col("_key").isin(*dense)
+
     def place(at):
-        return slot_of(at, slot, None if cuts is None else F.col("_cuts"))
+        slots = slot_of(at, slot, None if cuts is None else F.col("_cuts"))
+        if not whole:
+            return slots
+        return F.when(F.col(key).isin(*dense), slots).otherwise(0) if dense else F.lit(0).cast("bigint")
 
     versions_ = with_cuts(versions, key, cuts)
     v_at = F.unix_micros(F.col(version_time).cast("timestamp"))
@@ -67,6 +77,8 @@ def asof_join(
         young = F.when(F.col("_at") + within * MICROS > following, following)
         v = v.withColumn("_slot", F.explode(F.array_compact(F.array("_slot", young))))
         carried = None
+    elif whole:
+        carried = _brought_in(f.filter(hot), v.filter(hot)) if dense else None
     else:
         carried = _brought_in(f, v)
 
@@ -93,7 +105,7 @@ def asof_join(
 def _brought_in(f: DataFrame, v: DataFrame) -> DataFrame:
     """The version valid at the start of each (key, slot) that holds facts, as a row just before it."""
     # Last version per (key, slot), and which (key, slot) hold facts: one combined aggregate.
-    asked = f.filter("_ok").select("_key", "_slot").distinct()
+    asked = f.filter("_ok").select("_key", "_slot")
     tails = (
         v.select("_key", "_slot", "version", "_order", F.lit(False).alias("_asks"))
         .unionByName(asked.withColumn("_asks", F.lit(True)), allowMissingColumns=True)
